@@ -20,6 +20,40 @@ from stationspark.functions.clean import hour_label
 STATION_ATTRS = ("Location", "Latitude", "Longitude")
 
 
+def mean_by_station_group(fact: DataFrame, value: Column, side: DataFrame, keys=(),
+                          attrs=(), broadcast: bool = False,
+                          all_keys: DataFrame | None = None) -> DataFrame:
+    """Mean of ``value`` per ``(*attrs, *keys)`` over fact rows whose station is in ``side``.
+
+    ``side`` is ``(WBAN, *attrs)`` with one row per WBAN (a state's stations,
+    or all of them with ``State`` as attribute).  Two plans, same result:
+
+    * ``broadcast`` (the side's size is proven): join map-side and aggregate
+      fact rows straight by the output keys; each task ships one partial row
+      per output group.
+    * otherwise: reduce facts to per-station partials first, join those
+      (bounded by stations x keys) by shuffle, then combine.
+
+    ``all_keys`` (only without ``attrs``) lists key rows that must appear in
+    the output even without data; they enter the same aggregation as rows
+    without a value, so no extra join is needed.  Their value is null.
+    """
+    how = "inner" if attrs else "left_semi"
+    if all_keys is not None and attrs:
+        raise ValueError("all_keys is only supported without attrs")
+    if broadcast:
+        rows = fact.join(F.broadcast(side), "WBAN", how).select(
+            *attrs, *keys, value.cast(T.DoubleType()).alias("_v"))
+        if all_keys is not None:
+            rows = rows.unionByName(all_keys.select(*keys, F.lit(None).cast(T.DoubleType()).alias("_v")))
+        return rows.groupBy(*attrs, *keys).agg(F.avg("_v").alias("value"))
+    joined = mean_partials(fact, value, keys).join(side, "WBAN", how).drop("WBAN")
+    if all_keys is not None:
+        joined = joined.unionByName(all_keys.select(
+            *keys, F.lit(None).cast(T.DoubleType()).alias("v_sum"), F.lit(0).cast(T.LongType()).alias("v_n")))
+    return mean_of_partials(joined, keys=(*attrs, *keys))
+
+
 def mean_partials(fact: DataFrame, value: Column, keys=()) -> DataFrame:
     """``(WBAN, *keys, v_sum, v_n)``: sum and count of non-null values."""
     return fact.groupBy("WBAN", *keys).agg(F.sum(value).alias("v_sum"),
@@ -74,14 +108,17 @@ def top_k(df: DataFrame, k: int, by: str, tie_break: str = "WBAN") -> DataFrame:
     return df.orderBy(F.col(by).desc(), F.col(tie_break).asc()).limit(k)
 
 
-def complete_hours(spark: SparkSession, profile: DataFrame, value: str = "value",
-                   fill: float = 0.0) -> DataFrame:
-    """All 24 hours, with ``fill`` where ``profile`` has no (non-null) value.
+def hours_of_day(spark: SparkSession) -> DataFrame:
+    """The 24 hours ``(hour INT)``: key rows for a complete hour profile."""
+    return spark.range(24).select(F.col("id").cast(T.IntegerType()).alias("hour"))
+
+
+def finish_profile(profile: DataFrame, value: str = "value", fill: float = 0.0) -> DataFrame:
+    """Label the hours, fill hours without a value, order by hour.
 
-    ``profile`` holds at most 24 rows, so both join sides are bounded.
+    The profile holds 24 rows; ordering them inside one partition avoids the
+    sampling job and shuffle of a global sort.
     """
-    hours = spark.range(24).select(F.col("id").cast(T.IntegerType()).alias("hour"))
-    return (hours.join(profile, "hour", "left")
-            .select("hour", hour_label("hour").alias("label"),
-                    F.coalesce(F.col(value), F.lit(float(fill))).alias(value))
-            .orderBy("hour"))
+    return (profile.select("hour", hour_label("hour").alias("label"),
+                           F.coalesce(F.col(value), F.lit(float(fill))).alias(value))
+            .coalesce(1).sortWithinPartitions("hour"))

@@ -1,12 +1,11 @@
 """Station dimension operators: membership by state, attribute joins, dedup.
 
-Broadcast policy: a side is broadcast only after ``row_count_at_most`` has
-proven its row count (reading at most ``limit + 1`` rows).  A side that
-fails the check is joined by shuffle, and adaptive execution may still turn
-that into a broadcast from runtime sizes.  Aggregating queries never join
-fact rows to stations: they first reduce facts to per-station partials
-(see :mod:`stationspark.operators.aggregates`), so the join input is
-bounded by the number of stations, whatever the fact size.
+Broadcast policy: a station side is broadcast only after ``row_count_at_most``
+has proven a row bound (reading at most ``limit + 1`` rows), normally once per
+loaded dimension through :meth:`WeatherTables.station_fits`.  Without that
+proof the join is planned by shuffle, and aggregating queries first reduce the
+facts to per-station partials (see :mod:`stationspark.operators.aggregates`)
+so the shuffled join input is bounded by the number of stations.
 """
 
 from __future__ import annotations
@@ -23,10 +22,8 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def _maybe_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
-    if max_rows and row_count_at_most(df, max_rows):
-        return F.broadcast(df)
-    return df
+def _side(df: DataFrame, broadcast: bool) -> DataFrame:
+    return F.broadcast(df) if broadcast else df
 
 
 def in_state(station: DataFrame, state: str | None) -> DataFrame:
@@ -50,18 +47,18 @@ def latest_station_rows(station_by_month: DataFrame, order_col: str = "month") -
     return station_by_month.groupBy("WBAN").agg(latest).select("WBAN", "_row.*")
 
 
-def keep_stations(df: DataFrame, ids: DataFrame,
-                  max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def keep_stations(df: DataFrame, ids: DataFrame, broadcast: bool = False) -> DataFrame:
     """Rows of ``df`` whose WBAN is in ``ids``: a left-semi join.
 
     A semi join never duplicates a row even if ``ids`` repeats a station.
+    ``broadcast`` only after the side's size was proven (see
+    :meth:`WeatherTables.station_fits` and :func:`row_count_at_most`).
     """
-    return df.join(_maybe_broadcast(ids.select("WBAN"), max_broadcast_rows), "WBAN", "left_semi")
+    return df.join(_side(ids.select("WBAN"), broadcast), "WBAN", "left_semi")
 
 
 def attach_station(df: DataFrame, station: DataFrame, state: str | None = None,
-                   columns=None, how: str = "inner",
-                   max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                   columns=None, how: str = "inner", broadcast: bool = False) -> DataFrame:
     """Equi-join on WBAN with station attributes, optionally of one state.
 
     With a state the join is inner in effect (rows without a station of that
@@ -71,4 +68,4 @@ def attach_station(df: DataFrame, station: DataFrame, state: str | None = None,
     side = in_state(station, state)
     if columns is not None:
         side = side.select("WBAN", *[c for c in columns if c != "WBAN"])
-    return df.join(_maybe_broadcast(side, max_broadcast_rows), "WBAN", how)
+    return df.join(_side(side, broadcast), "WBAN", how)

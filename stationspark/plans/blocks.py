@@ -123,9 +123,11 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scan_month_range": _scan_month_range,
         "union_months": _union_months,
         "join_station_left_state": _tables(
-            lambda t: st.attach_station(t.monthly, t.station, state=STATE)),
+            lambda t: st.attach_station(t.monthly, t.station, state=STATE,
+                                        broadcast=t.station_fits(st.DEFAULT_BROADCAST_ROWS))),
         "join_station_semi": _tables(
-            lambda t: st.keep_stations(t.daily, st.station_ids(t.station, STATE))),
+            lambda t: st.keep_stations(t.daily, st.in_state(t.station, STATE),
+                                       broadcast=t.station_fits(st.DEFAULT_BROADCAST_ROWS))),
         "flag_count_per_row": _tables(lambda t: flag_count_per_row(t.daily)),
         "missing_count_by_metric": _tables(lambda t: missing_count_by_metric(t, "daily")),
         "metric_range": _tables(lambda t: metric_range(t, "daily", "Tavg")),

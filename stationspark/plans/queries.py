@@ -31,37 +31,39 @@ def _months(df: DataFrame, month_start: int, month_end: int) -> DataFrame:
 # ---------------------------------------------------------------- Q1 -------
 
 def station_metric_avg(tables: WeatherTables, state: str, month_start: int, month_end: int,
-                       metric: str = "AvgTemp", kind: str = "monthly") -> DataFrame:
+                       metric: str = "AvgTemp", kind: str = "monthly",
+                       broadcast_rows: int | None = st.DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Mean of a metric over the stations of a state and an inclusive month range.
 
     One row ``(metric, value, unit)``; ``value`` is null when nothing matches.
-    Facts are reduced per station before the state membership test.
+    Plain mean over fact rows (station-months for the monthly kind).
     """
     params.check_state(state)
     m0, m1 = params.check_month_range(month_start, month_end)
     fact = tables.fact(kind)
     params.check_metric(fact, kind, metric)
-    partials = agg.mean_partials(_months(fact, m0, m1), clean.metric(metric))
-    partials = st.keep_stations(partials, st.station_ids(tables.station, state),
-                                max_broadcast_rows=None)
-    return (agg.mean_of_partials(partials)
-            .select(F.lit(metric).alias("metric"), "value",
-                    F.lit(catalog.unit_of(kind, metric)).cast(T.StringType()).alias("unit")))
+    side = st.in_state(tables.station, state).select("WBAN")
+    means = agg.mean_by_station_group(_months(fact, m0, m1), clean.metric(metric), side,
+                                      broadcast=tables.station_fits(broadcast_rows))
+    return means.select(F.lit(metric).alias("metric"), "value",
+                        F.lit(catalog.unit_of(kind, metric)).cast(T.StringType()).alias("unit"))
 
 
 def station_metric_avg_by_state_month(tables: WeatherTables, month_start: int = 1,
                                       month_end: int = 12, metric: str = "AvgTemp",
-                                      kind: str = "monthly") -> DataFrame:
+                                      kind: str = "monthly",
+                                      broadcast_rows: int | None = st.DEFAULT_BROADCAST_ROWS
+                                      ) -> DataFrame:
     """Grouped Q1: ``(State, month, metric, value, unit)`` for every pair with data."""
     m0, m1 = params.check_month_range(month_start, month_end)
     fact = tables.fact(kind)
     params.check_metric(fact, kind, metric)
-    partials = agg.mean_partials(_months(fact, m0, m1), clean.metric(metric), keys=(MONTH,))
-    joined = st.attach_station(partials, tables.station, columns=("State",),
-                               max_broadcast_rows=None)
-    return (agg.mean_of_partials(joined, keys=("State", MONTH))
-            .select("State", MONTH, F.lit(metric).alias("metric"), "value",
-                    F.lit(catalog.unit_of(kind, metric)).cast(T.StringType()).alias("unit")))
+    side = tables.station.select("WBAN", "State")
+    means = agg.mean_by_station_group(_months(fact, m0, m1), clean.metric(metric), side,
+                                      keys=(MONTH,), attrs=("State",),
+                                      broadcast=tables.station_fits(broadcast_rows))
+    return means.select("State", MONTH, F.lit(metric).alias("metric"), "value",
+                        F.lit(catalog.unit_of(kind, metric)).cast(T.StringType()).alias("unit"))
 
 
 # ---------------------------------------------------------------- Q2 -------
@@ -170,21 +172,21 @@ def station_ids(tables: WeatherTables, state: str) -> DataFrame:
 
 # ---------------------------------------------------------------- Q6 -------
 
-def _hourly_partials(tables, month, metric, wban, include_on_hour):
+def _hourly_rows(tables, month, metric, wban, include_on_hour):
     m = params.check_month(month)
     hourly = tables.fact("hourly")
     params.check_metric(hourly, "hourly", metric)
     rows = _months(hourly, m, m)
     if wban is not None:
         rows = rows.filter(F.col("WBAN") == F.lit(int(wban)))
-    rows = (rows.withColumn("hour", clean.hour_bucket("Time", include_on_hour))
+    return (rows.withColumn("hour", clean.hour_bucket("Time", include_on_hour))
             .filter(F.col("hour").isNotNull()))
-    return agg.mean_partials(rows, clean.metric(metric), keys=("hour",))
 
 
 def hourly_profile(tables: WeatherTables, state: str, month: int,
                    metric: str = "DryBulbFarenheit", wban: int | None = None,
-                   include_on_hour: bool = False) -> DataFrame:
+                   include_on_hour: bool = False,
+                   broadcast_rows: int | None = st.DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Mean of an hourly metric per hour of day: always 24 rows ``(hour, label, value)``.
 
     Reading ``t`` (``hhmm``) counts for hour ``i`` when ``i*100 < t < (i+1)*100``,
@@ -192,23 +194,25 @@ def hourly_profile(tables: WeatherTables, state: str, month: int,
     without values reports 0.0.  One scan and one aggregation for all 24 hours.
     """
     params.check_state(state)
-    partials = _hourly_partials(tables, month, metric, wban, include_on_hour)
-    partials = st.keep_stations(partials, st.station_ids(tables.station, state),
-                                max_broadcast_rows=None)
-    profile = agg.mean_of_partials(partials, keys=("hour",))
-    return agg.complete_hours(partials.sparkSession, profile)
+    rows = _hourly_rows(tables, month, metric, wban, include_on_hour)
+    side = st.in_state(tables.station, state).select("WBAN")
+    profile = agg.mean_by_station_group(rows, clean.metric(metric), side, keys=("hour",),
+                                        broadcast=tables.station_fits(broadcast_rows),
+                                        all_keys=agg.hours_of_day(rows.sparkSession))
+    return agg.finish_profile(profile)
 
 
 def hourly_profile_by_state(tables: WeatherTables, month: int,
-                            metric: str = "DryBulbFarenheit",
-                            include_on_hour: bool = False) -> DataFrame:
+                            metric: str = "DryBulbFarenheit", include_on_hour: bool = False,
+                            broadcast_rows: int | None = st.DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Grouped Q6: ``(State, hour, label, value)`` for each hour that has readings."""
-    partials = _hourly_partials(tables, month, metric, None, include_on_hour)
-    joined = st.attach_station(partials, tables.station, columns=("State",),
-                               max_broadcast_rows=None)
-    return (agg.mean_of_partials(joined, keys=("State", "hour"))
-            .select("State", "hour", clean.hour_label("hour").alias("label"),
-                    F.coalesce(F.col("value"), F.lit(0.0)).alias("value")))
+    rows = _hourly_rows(tables, month, metric, None, include_on_hour)
+    side = tables.station.select("WBAN", "State")
+    means = agg.mean_by_station_group(rows, clean.metric(metric), side, keys=("hour",),
+                                      attrs=("State",),
+                                      broadcast=tables.station_fits(broadcast_rows))
+    return means.select("State", "hour", clean.hour_label("hour").alias("label"),
+                        F.coalesce(F.col("value"), F.lit(0.0)).alias("value"))
 
 
 # ---------------------------------------------------------------- Q7 -------
@@ -234,7 +238,8 @@ def metric_extrema(tables: WeatherTables, kind, state: str, month: int,
     params.check_state(state)
     kind, partials = _extrema_input(tables, kind, month, metric)
     joined = st.attach_station(partials, tables.station, state=state,
-                               columns=("State",) + agg.STATION_ATTRS, max_broadcast_rows=None)
+                               columns=("State",) + agg.STATION_ATTRS,
+                               broadcast=tables.station_fits(st.DEFAULT_BROADCAST_ROWS))
     return (agg.extrema_rows(joined)
             .withColumn("unit", F.lit(catalog.unit_of(kind, metric)).cast(T.StringType())))
 
@@ -244,7 +249,8 @@ def metric_extrema_by_state(tables: WeatherTables, kind, month: int,
     """Grouped Q7: two rows per state, ``(State, which, WBAN, ..., unit)``."""
     kind, partials = _extrema_input(tables, kind, month, metric)
     joined = st.attach_station(partials, tables.station,
-                               columns=("State",) + agg.STATION_ATTRS, max_broadcast_rows=None)
+                               columns=("State",) + agg.STATION_ATTRS,
+                               broadcast=tables.station_fits(st.DEFAULT_BROADCAST_ROWS))
     return (agg.extrema_rows(joined, keys=("State",))
             .withColumn("unit", F.lit(catalog.unit_of(kind, metric)).cast(T.StringType())))
 
@@ -265,8 +271,7 @@ def suspect_counts(tables: WeatherTables, month_start: int, month_end: int,
     per_row = clean.flag_count(columns, flag)
     counts = daily.groupBy("WBAN").agg(F.sum(per_row).cast(T.LongType()).alias("suspicious_count"))
     if state is not None:
-        counts = st.keep_stations(counts, st.station_ids(tables.station, params.check_state(state)),
-                                  max_broadcast_rows=None)
+        counts = st.keep_stations(counts, st.in_state(tables.station, params.check_state(state)))
     return counts
 
 

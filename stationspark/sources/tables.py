@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, field, fields
 
 from pyspark.sql import DataFrame
 
@@ -22,12 +22,28 @@ class WeatherTables:
     monthly: DataFrame | None = None
     precip: DataFrame | None = None
     remarks: DataFrame | None = None
+    # Proven station-count bounds, filled lazily by ``station_fits``.
+    _fits: dict = field(default_factory=dict, compare=False, repr=False)
 
     def fact(self, kind: str) -> DataFrame:
-        names = [f.name for f in fields(self) if f.name != "station"]
+        names = [f.name for f in fields(self) if f.name not in ("station", "_fits")]
         if kind not in names:
             raise ValueError(f"unknown fact kind {kind!r}; expected one of {names}")
         df = getattr(self, kind)
         if df is None:
             raise ValueError(f"no {kind} table was loaded")
         return df
+
+    def station_fits(self, max_rows: int | None) -> bool:
+        """True when the whole station dimension has at most ``max_rows`` rows.
+
+        Checked once per table set (one small job reading at most
+        ``max_rows + 1`` rows).  Any filter or projection of the dimension is
+        then bounded too, so every station side may be broadcast.
+        """
+        if not max_rows:
+            return False
+        if max_rows not in self._fits:
+            from stationspark.operators.stations import row_count_at_most
+            self._fits[max_rows] = row_count_at_most(self.station, max_rows)
+        return self._fits[max_rows]
