@@ -9,11 +9,9 @@ from stationspark.session import scratch_path
 from stationspark.sources import readers, sinks
 from stationspark.sources.tables import WeatherTables
 
-SF = "/root/testdata/sf0.01"
-
+from plan_utils import fact_rows_combined_before_exchange, plan
 
-def plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+SF = "/root/testdata/sf0.01"
 
 
 def formatted(df) -> str:
@@ -77,21 +75,6 @@ def test_top_k_is_take_ordered(tables):
     assert "TakeOrderedAndProject" in plan(q.unreliable_stations(tables, 1, 6))
 
 
-def _ancestors(lines, idx):
-    """Lines of the ancestors of tree line ``idx``, nearest first."""
-    def depth(line):
-        return next(i for i, ch in enumerate(line) if ch.isalnum() or ch == "*")
-    chain, d = [], depth(lines[idx])
-    for line in reversed(lines[:idx]):
-        if line.strip() and depth(line) < d:
-            chain.append(line.lstrip(" :+-").strip())
-            d = depth(line)
-    return chain
-
-
-FACT_COLUMNS = ("o_orderkey", "event_id", "l_orderkey")
-
-
 def test_fallback_never_shuffles_fact_rows_for_a_join(spark, tables):
     """Without any broadcast, fact rows pass a partial aggregate before their first exchange."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -103,14 +86,7 @@ def test_fallback_never_shuffles_fact_rows_for_a_join(spark, tables):
                    q.hourly_profile_by_state(tables, 1, broadcast_rows=None),
                    q.metric_extrema(tables, "daily", "NATION_3", 3, "Tavg"),
                    q.unreliable_stations(tables, 1, 6, state="NATION_3")):
-            lines = plan(df).splitlines()
-            scans = [i for i, line in enumerate(lines)
-                     if "FileScan" in line and any(c in line for c in FACT_COLUMNS)]
-            assert scans
-            for i in scans:
-                chain = _ancestors(lines, i)
-                first_exchange = next(k for k, line in enumerate(chain) if line.startswith("Exchange"))
-                assert any("partial_" in line for line in chain[:first_exchange]), chain[:first_exchange]
+            assert fact_rows_combined_before_exchange(df)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
