@@ -66,6 +66,17 @@ def read_delimited(spark: SparkSession, paths, kind: str, sep: str | None = None
     return type_keys(reader.csv(paths), kind)
 
 
+def header_schema(spark: SparkSession, paths, kind: str, sep: str | None = None) -> T.StructType:
+    """Schema from a header line: its names, keys typed, every other column text.
+
+    Only the header is read (no inference pass); needed where a schema must
+    be given up front, as for a streaming file source.
+    """
+    names = _text_reader(spark, sep or separator(kind)).csv(paths).columns
+    typed = typed_columns(kind)
+    return T.StructType([T.StructField(n, typed.get(n, T.StringType())) for n in names])
+
+
 def read_partitioned(spark: SparkSession, root: str, kind: str, fmt: str = "parquet",
                      schema: T.StructType | None = None) -> DataFrame:
     """The ``{root}/{kind}`` table with its ``month`` partition column."""
@@ -103,23 +114,27 @@ def union_months(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def month_file_paths(root: str, kind: str, months, year: int = 2013) -> list[str]:
+def month_file_paths(root: str, kind: str, months=None, year: int = 2013) -> list[str]:
+    """Paths of the chosen months, or one glob over every month present."""
+    if months is None:
+        return [f"{root.rstrip('/')}/{year}[01][0-9]/{kind}.txt"]
     return [f"{root.rstrip('/')}/{year}{m:02d}/{kind}.txt" for m in months]
 
 
-def read_month_files(spark: SparkSession, root: str, kind: str, months=range(1, 13),
+def read_month_files(spark: SparkSession, root: str, kind: str, months=None,
                      year: int = 2013, schema: T.StructType | None = None) -> DataFrame:
-    """Per-month files ``{root}/{yyyymm}/{kind}.txt`` for ``months``, in one scan."""
+    """Per-month files ``{root}/{yyyymm}/{kind}.txt`` in one scan (all months present
+    when ``months`` is None)."""
     paths = month_file_paths(root, kind, months, year)
     df = read_delimited(spark, paths, kind, schema=schema)
     month = F.regexp_extract(F.col("_metadata.file_path"), r"/\d{4}(\d{2})/[^/]+$", 1)
     return df.withColumn(PARTITION_COLUMN, month.cast(T.IntegerType()))
 
 
-def load_month_files(spark: SparkSession, root: str, months=range(1, 13), year: int = 2013,
+def load_month_files(spark: SparkSession, root: str, months=None, year: int = 2013,
                      station_months=(1,)) -> WeatherTables:
     """Tables over per-month files.  The station dimension keeps one row per
-    WBAN, the one of the latest month in ``station_months``."""
+    WBAN, the one of the latest month in ``station_months`` (None: all months)."""
     station = read_month_files(spark, root, "station", station_months, year)
     return WeatherTables(
         station=latest_station_rows(station),

@@ -15,14 +15,15 @@ columnar format and month partition pruning instead of re-parsing text.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stationspark.session import ensure_checkpoint_dir
-from stationspark.sources.readers import separator
-from stationspark.sources.schemas import PARTITION_COLUMN
+from stationspark.sources.readers import header_schema, separator
+from stationspark.sources.schemas import KINDS, PARTITION_COLUMN
 
 
 def month_file_stream(spark: SparkSession, raw_root: str, kind: str,
@@ -63,12 +64,21 @@ def start_ingest(spark: SparkSession, raw_root: str, kind: str, out_root: str,
     return writer.start(f"{out_root.rstrip('/')}/{kind}")
 
 
-def ingest_available(spark: SparkSession, raw_root: str, out_root: str, layouts: dict,
+def ingest_available(spark: SparkSession, raw_root: str, out_root: str,
+                     layouts: dict | None = None,
                      checkpoint_root: str | None = None) -> dict[str, int]:
-    """Ingest every new file of each kind in ``layouts`` (kind -> schema) and wait.
+    """Ingest every new file of each kind and wait; rows processed per kind.
 
-    Returns the number of input rows processed per kind in this run.
+    ``layouts`` maps kind -> schema.  Without it every kind with at least one
+    file is ingested, its schema taken from a header (see ``header_schema``).
     """
+    if layouts is None:
+        layouts = {}
+        for kind in KINDS:
+            try:
+                layouts[kind] = header_schema(spark, f"{raw_root.rstrip('/')}/*/{kind}.txt", kind)
+            except AnalysisException:      # no file of this kind yet
+                continue
     done = {}
     for kind, schema in layouts.items():
         ckpt = f"{checkpoint_root.rstrip('/')}/{kind}" if checkpoint_root else None
