@@ -258,12 +258,16 @@ def metric_extrema_by_state(tables: WeatherTables, kind, month: int,
 # ---------------------------------------------------------------- Q8 -------
 
 def suspect_counts(tables: WeatherTables, month_start: int, month_end: int,
-                   state: str | None = None, flag: str = clean.SUSPECT) -> DataFrame:
+                   state: str | None = None, flag: str = clean.SUSPECT,
+                   broadcast_rows: int | None = st.DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Per station, how many daily values carry ``flag``: ``(WBAN, suspicious_count)``.
 
     Every text column except the keys is inspected, so the count does not
     depend on how the flag columns are named.  ``state=None`` keeps all
-    stations, including ids missing from the station table.
+    stations, including ids missing from the station table.  The state test
+    is a semi join on the group key: with a proven station side Catalyst
+    applies it map-side before aggregating, otherwise after the per-station
+    counts, on station-bounded rows.
     """
     m0, m1 = params.check_month_range(month_start, month_end)
     daily = _months(tables.fact("daily"), m0, m1)
@@ -271,20 +275,21 @@ def suspect_counts(tables: WeatherTables, month_start: int, month_end: int,
     per_row = clean.flag_count(columns, flag)
     counts = daily.groupBy("WBAN").agg(F.sum(per_row).cast(T.LongType()).alias("suspicious_count"))
     if state is not None:
-        counts = st.keep_stations(counts, st.in_state(tables.station, params.check_state(state)))
+        counts = st.keep_stations(counts, st.in_state(tables.station, params.check_state(state)),
+                                  broadcast=tables.station_fits(broadcast_rows))
     return counts
 
 
 def unreliable_stations(tables: WeatherTables, month_start: int, month_end: int,
-                        state: str | None = None, k: int = 10,
-                        flag: str = clean.SUSPECT) -> DataFrame:
+                        state: str | None = None, k: int = 10, flag: str = clean.SUSPECT,
+                        broadcast_rows: int | None = st.DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """The ``k`` stations with most suspect values, ties by lowest WBAN.
 
     Stations with a zero count may appear when fewer than ``k`` have any.
     """
     params.check_positive("k", k)
-    return agg.top_k(suspect_counts(tables, month_start, month_end, state, flag), k,
-                     "suspicious_count")
+    counts = suspect_counts(tables, month_start, month_end, state, flag, broadcast_rows)
+    return agg.top_k(counts, k, "suspicious_count")
 
 
 # ---------------------------------------------------------------- Q9 -------

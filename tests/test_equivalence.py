@@ -18,7 +18,8 @@ def test_broadcast_and_per_station_paths_agree(tables):
                   lambda b: q.station_metric_avg_by_state_month(tables, broadcast_rows=b),
                   lambda b: q.hourly_profile(tables, STATE, 1, broadcast_rows=b),
                   lambda b: q.hourly_profile(tables, STATE, 1, wban=68, broadcast_rows=b),
-                  lambda b: q.hourly_profile_by_state(tables, 1, broadcast_rows=b)):
+                  lambda b: q.hourly_profile_by_state(tables, 1, broadcast_rows=b),
+                  lambda b: q.unreliable_stations(tables, 1, 6, state=STATE, broadcast_rows=b)):
         assert rows(build(st.DEFAULT_BROADCAST_ROWS)) == rows(build(None))
 
 

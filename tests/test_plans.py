@@ -85,7 +85,7 @@ def test_fallback_never_shuffles_fact_rows_for_a_join(spark, tables):
                    q.station_metric_avg_by_state_month(tables, broadcast_rows=None),
                    q.hourly_profile_by_state(tables, 1, broadcast_rows=None),
                    q.metric_extrema(tables, "daily", "NATION_3", 3, "Tavg"),
-                   q.unreliable_stations(tables, 1, 6, state="NATION_3")):
+                   q.unreliable_stations(tables, 1, 6, state="NATION_3", broadcast_rows=None)):
             assert fact_rows_combined_before_exchange(df)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
