@@ -110,20 +110,25 @@ def _extrema(table: str, metric: str, month: int, unit: str) -> str:
         "ORDER BY hi DESC, WBAN LIMIT 1)")
 
 
-def _extrema_by_state() -> str:
-    side = ("SELECT mn.State, '{w}' AS which, {s}.WBAN, {s}.Location, {s}.Latitude, {s}.Longitude, "
-            "ROUND({s}.{v}, 2) AS value, ROUND(mx.hi, 2) - ROUND(mn.lo, 2) AS difference, "
-            "'°F' AS unit FROM mn JOIN mx USING (State)")
+def _extrema_by_state(table: str = "daily", metric: str = "Tavg", month: int | None = 3,
+                      unit: str = "°F") -> str:
+    keys = "State" if month is not None else "State, month"
+    where = f"WHERE month = {month} " if month is not None else ""
+    per_keys = "WBAN" if month is not None else "WBAN, month"
+    out_keys = "mn.State" if month is not None else "mn.State, mn.month"
+    side = (f"SELECT {out_keys}, '{{w}}' AS which, {{s}}.WBAN, {{s}}.Location, {{s}}.Latitude, "
+            "{s}.Longitude, ROUND({s}.{v}, 2) AS value, ROUND(mx.hi, 2) - ROUND(mn.lo, 2) AS difference, "
+            f"'{unit}' AS unit FROM mn JOIN mx USING ({keys})")
     return _sql(
         side.format(w="min", s="mn", v="lo") + " UNION ALL " + side.format(w="max", s="mx", v="hi"),
-        f"per AS (SELECT WBAN, MIN({_num('Tavg')}) AS lo, MAX({_num('Tavg')}) AS hi "
-        f"FROM daily WHERE month = 3 GROUP BY WBAN)",
+        f"per AS (SELECT {per_keys}, MIN({_num(metric)}) AS lo, MAX({_num(metric)}) AS hi "
+        f"FROM {table} {where}GROUP BY {per_keys})",
         "j AS (SELECT per.*, s.State, s.Location, s.Latitude, s.Longitude "
         "FROM per JOIN station s USING (WBAN) WHERE lo IS NOT NULL)",
-        "mn AS (SELECT * FROM (SELECT j.*, row_number() OVER (PARTITION BY State ORDER BY lo, WBAN) AS rn "
+        f"mn AS (SELECT * FROM (SELECT j.*, row_number() OVER (PARTITION BY {keys} ORDER BY lo, WBAN) AS rn "
         "FROM j) WHERE rn = 1)",
-        "mx AS (SELECT * FROM (SELECT j.*, row_number() OVER (PARTITION BY State ORDER BY hi DESC, WBAN) AS rn "
-        "FROM j) WHERE rn = 1)")
+        f"mx AS (SELECT * FROM (SELECT j.*, row_number() OVER (PARTITION BY {keys} ORDER BY hi DESC, WBAN) "
+        "AS rn FROM j) WHERE rn = 1)")
 
 
 def _unreliable(where: str) -> str:
@@ -197,10 +202,16 @@ ORACLE = {
         f"COALESCE(AVG({_num('h.DryBulbFarenheit')}), CAST(0 AS DOUBLE)) AS value "
         f"FROM hourly h JOIN station s USING (WBAN) WHERE h.month = 1 AND {_OFF_HOUR} "
         f"GROUP BY 1, 2"),
+    "hourly_profile_by_state_month": _sql(
+        f"SELECT s.State, h.month, CAST(h.Time // 100 AS INTEGER) AS hour, "
+        f"CAST(CAST(h.Time // 100 AS INTEGER) AS VARCHAR) || ':00' AS label, "
+        f"COALESCE(AVG({_num('h.DryBulbFarenheit')}), CAST(0 AS DOUBLE)) AS value "
+        f"FROM hourly h JOIN station s USING (WBAN) WHERE {_OFF_HOUR} GROUP BY 1, 2, 3"),
     "metric_extrema_daily": _extrema("daily", "Tavg", 3, "°F"),
     "metric_extrema_hourly": _extrema("hourly", "DryBulbFarenheit", 1, "°F"),
     "metric_extrema_monthly": _extrema("monthly", "AvgTemp", 3, "°F"),
     "metric_extrema_by_state": _extrema_by_state(),
+    "metric_extrema_by_state_month": _extrema_by_state("monthly", "AvgTemp", None),
     "unreliable_top10_all": _unreliable(""),
     "unreliable_top10_state": _unreliable(f" AND {IN_STATE}"),
     # building blocks

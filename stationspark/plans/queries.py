@@ -173,10 +173,13 @@ def station_ids(tables: WeatherTables, state: str) -> DataFrame:
 # ---------------------------------------------------------------- Q6 -------
 
 def _hourly_rows(tables, month, metric, wban, include_on_hour):
-    m = params.check_month(month)
+    """Hourly rows with an ``hour`` bucket; all months when ``month`` is None."""
     hourly = tables.fact("hourly")
     params.check_metric(hourly, "hourly", metric)
-    rows = _months(hourly, m, m)
+    rows = hourly
+    if month is not None:
+        m = params.check_month(month)
+        rows = _months(hourly, m, m)
     if wban is not None:
         rows = rows.filter(F.col("WBAN") == F.lit(int(wban)))
     return (rows.withColumn("hour", clean.hour_bucket("Time", include_on_hour))
@@ -194,7 +197,7 @@ def hourly_profile(tables: WeatherTables, state: str, month: int,
     without values reports 0.0.  One scan and one aggregation for all 24 hours.
     """
     params.check_state(state)
-    rows = _hourly_rows(tables, month, metric, wban, include_on_hour)
+    rows = _hourly_rows(tables, params.check_month(month), metric, wban, include_on_hour)
     side = st.in_state(tables.station, state).select("WBAN")
     profile = agg.mean_by_station_group(rows, clean.metric(metric), side, keys=("hour",),
                                         broadcast=tables.station_fits(broadcast_rows),
@@ -202,26 +205,34 @@ def hourly_profile(tables: WeatherTables, state: str, month: int,
     return agg.finish_profile(profile)
 
 
-def hourly_profile_by_state(tables: WeatherTables, month: int,
+def hourly_profile_by_state(tables: WeatherTables, month: int | None,
                             metric: str = "DryBulbFarenheit", include_on_hour: bool = False,
                             broadcast_rows: int | None = st.DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Grouped Q6: ``(State, hour, label, value)`` for each hour that has readings."""
+    """Grouped Q6: ``(State, hour, label, value)`` for each hour that has readings.
+
+    With ``month=None`` the month becomes a key too:
+    ``(State, month, hour, label, value)`` for every month in one job.
+    """
     rows = _hourly_rows(tables, month, metric, None, include_on_hour)
+    keys = ("hour",) if month is not None else (MONTH, "hour")
     side = tables.station.select("WBAN", "State")
-    means = agg.mean_by_station_group(rows, clean.metric(metric), side, keys=("hour",),
+    means = agg.mean_by_station_group(rows, clean.metric(metric), side, keys=keys,
                                       attrs=("State",),
                                       broadcast=tables.station_fits(broadcast_rows))
-    return means.select("State", "hour", clean.hour_label("hour").alias("label"),
+    return means.select("State", *keys, clean.hour_label("hour").alias("label"),
                         F.coalesce(F.col("value"), F.lit(0.0)).alias("value"))
 
 
 # ---------------------------------------------------------------- Q7 -------
 
 def _extrema_input(tables, kind, month, metric):
+    """Per-station min / max of the month, or per station and month when ``month`` is None."""
     kind = catalog.kind_of(kind)
-    m = params.check_month(month)
     fact = tables.fact(kind)
     params.check_metric(fact, kind, metric)
+    if month is None:
+        return kind, agg.extrema_partials(fact, clean.metric(metric), keys=(MONTH,))
+    m = params.check_month(month)
     return kind, agg.extrema_partials(_months(fact, m, m), clean.metric(metric))
 
 
@@ -236,7 +247,7 @@ def metric_extrema(tables: WeatherTables, kind, state: str, month: int,
     catalog of that kind.
     """
     params.check_state(state)
-    kind, partials = _extrema_input(tables, kind, month, metric)
+    kind, partials = _extrema_input(tables, kind, params.check_month(month), metric)
     joined = st.attach_station(partials, tables.station, state=state,
                                columns=("State",) + agg.STATION_ATTRS,
                                broadcast=tables.station_fits(st.DEFAULT_BROADCAST_ROWS))
@@ -244,14 +255,18 @@ def metric_extrema(tables: WeatherTables, kind, state: str, month: int,
             .withColumn("unit", F.lit(catalog.unit_of(kind, metric)).cast(T.StringType())))
 
 
-def metric_extrema_by_state(tables: WeatherTables, kind, month: int,
+def metric_extrema_by_state(tables: WeatherTables, kind, month: int | None,
                             metric: str) -> DataFrame:
-    """Grouped Q7: two rows per state, ``(State, which, WBAN, ..., unit)``."""
+    """Grouped Q7: two rows per state, ``(State, which, WBAN, ..., unit)``.
+
+    With ``month=None``, two rows per state and month (``month`` added).
+    """
     kind, partials = _extrema_input(tables, kind, month, metric)
     joined = st.attach_station(partials, tables.station,
                                columns=("State",) + agg.STATION_ATTRS,
                                broadcast=tables.station_fits(st.DEFAULT_BROADCAST_ROWS))
-    return (agg.extrema_rows(joined, keys=("State",))
+    keys = ("State",) if month is not None else ("State", MONTH)
+    return (agg.extrema_rows(joined, keys=keys)
             .withColumn("unit", F.lit(catalog.unit_of(kind, metric)).cast(T.StringType())))
 
 

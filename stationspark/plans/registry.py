@@ -44,10 +44,12 @@ COMPOSITE: dict[str, Callable] = {
     "hourly_profile": lambda t: q.hourly_profile(t, STATE, 1),
     "hourly_profile_station": lambda t: q.hourly_profile(t, STATE, 1, wban=STATION),
     "hourly_profile_by_state": lambda t: q.hourly_profile_by_state(t, 1),
+    "hourly_profile_by_state_month": lambda t: q.hourly_profile_by_state(t, None),
     "metric_extrema_daily": lambda t: q.metric_extrema(t, "daily", STATE, 3, "Tavg"),
     "metric_extrema_hourly": lambda t: q.metric_extrema(t, 2, STATE, 1, "DryBulbFarenheit"),
     "metric_extrema_monthly": lambda t: q.metric_extrema(t, "monthly", STATE, 3, "AvgTemp"),
     "metric_extrema_by_state": lambda t: q.metric_extrema_by_state(t, "daily", 3, "Tavg"),
+    "metric_extrema_by_state_month": lambda t: q.metric_extrema_by_state(t, "monthly", None, "AvgTemp"),
     "unreliable_top10_all": lambda t: q.unreliable_stations(t, 1, 6),
     "unreliable_top10_state": lambda t: q.unreliable_stations(t, 1, 6, state=STATE),
 }
