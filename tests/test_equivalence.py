@@ -70,3 +70,12 @@ def test_suspect_count_top_k_is_prefix_of_full_ranking(tables):
     full = q.suspect_counts(tables, 1, 6).orderBy(F.desc("suspicious_count"), "WBAN").collect()
     top = q.unreliable_stations(tables, 1, 6, k=10).collect()
     assert [tuple(r) for r in top] == [tuple(r) for r in full[:10]]
+
+
+def test_month_keyed_grouped_forms_match_single_month(tables):
+    by_month = q.hourly_profile_by_state(tables, None).filter(F.col("month") == 1).drop("month")
+    assert rows(by_month) == rows(q.hourly_profile_by_state(tables, 1))
+    ext_all = q.metric_extrema_by_state(tables, "monthly", None, "AvgTemp").filter(F.col("month") == 3)
+    assert rows(ext_all.drop("month")) == rows(q.metric_extrema_by_state(tables, "monthly", 3, "AvgTemp"))
+    avg_all = q.station_metric_avg_by_state_month(tables).filter((F.col("State") == STATE) & (F.col("month") == 4))
+    assert avg_all.first().value == q.station_metric_avg(tables, STATE, 4, 4).first().value
