@@ -131,28 +131,26 @@ def read_month_files(spark: SparkSession, root: str, kind: str, months=None,
     return df.withColumn(PARTITION_COLUMN, month.cast(T.IntegerType()))
 
 
+FACTS = ("daily", "hourly", "monthly")
+
+
 def load_month_files(spark: SparkSession, root: str, months=None, year: int = 2013,
-                     station_months=(1,)) -> WeatherTables:
+                     station_months=(1,), kinds=FACTS) -> WeatherTables:
     """Tables over per-month files.  The station dimension keeps one row per
-    WBAN, the one of the latest month in ``station_months`` (None: all months)."""
+    WBAN, the one of the latest month in ``station_months`` (None: all months).
+    ``kinds`` chooses the fact tables to read (``precip``, ``remarks`` too)."""
     station = read_month_files(spark, root, "station", station_months, year)
-    return WeatherTables(
-        station=latest_station_rows(station),
-        daily=read_month_files(spark, root, "daily", months, year),
-        hourly=read_month_files(spark, root, "hourly", months, year),
-        monthly=read_month_files(spark, root, "monthly", months, year),
-    )
+    facts = {k: read_month_files(spark, root, k, months, year) for k in kinds}
+    return WeatherTables(station=latest_station_rows(station), **facts)
 
 
-def load_partitioned(spark: SparkSession, root: str, fmt: str = "parquet") -> WeatherTables:
-    """Tables over the partitioned layout written by :mod:`stationspark.sources.sinks`."""
+def load_partitioned(spark: SparkSession, root: str, fmt: str = "parquet",
+                     kinds=FACTS) -> WeatherTables:
+    """Tables over the partitioned layout written by :mod:`stationspark.sources.sinks`
+    or by the streaming ingest."""
     if fmt == "parquet":
         station = spark.read.parquet(f"{root.rstrip('/')}/station")
     else:
         station = read_delimited(spark, f"{root.rstrip('/')}/station", "station")
-    return WeatherTables(
-        station=station,
-        daily=read_partitioned(spark, root, "daily", fmt),
-        hourly=read_partitioned(spark, root, "hourly", fmt),
-        monthly=read_partitioned(spark, root, "monthly", fmt),
-    )
+    facts = {k: read_partitioned(spark, root, k, fmt) for k in kinds}
+    return WeatherTables(station=station, **facts)
