@@ -7,7 +7,7 @@ grouped forms) over ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
   {"metric": "total_query_seconds", "value": N, "unit": "sec",
    "queries": {"name": sec, ...}, "sf": ...}
 
-Each query runs once to warm up, then ``$BENCH_REPEAT`` times (default 3);
+Each query runs once to warm up, then ``$BENCH_REPEAT`` times (default 5);
 the reported time is the median.  Results are consumed by the ``noop``
 sink, so the full plan executes on the executors without a driver collect.
 
@@ -36,7 +36,7 @@ from stationspark.sources import fixtures, readers, sinks  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "5"))
     only = [n for n in os.environ.get("BENCH_ONLY", "").split(",") if n]
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus,
                           app_name="stationspark-bench",

@@ -109,8 +109,8 @@ def top_k(df: DataFrame, k: int, by: str, tie_break: str = "WBAN") -> DataFrame:
 
 
 def hours_of_day(spark: SparkSession) -> DataFrame:
-    """The 24 hours ``(hour INT)``: key rows for a complete hour profile."""
-    return spark.range(24).select(F.col("id").cast(T.IntegerType()).alias("hour"))
+    """The 24 hours ``(hour INT)``: key rows for a complete hour profile (one partition)."""
+    return spark.range(0, 24, 1, 1).select(F.col("id").cast(T.IntegerType()).alias("hour"))
 
 
 def finish_profile(profile: DataFrame, value: str = "value", fill: float = 0.0) -> DataFrame:
