@@ -1,12 +1,21 @@
-"""Aggregation operators built as two levels: per station, then per group.
-
-Level 1 (``*_partials``) groups fact rows by ``WBAN`` plus any extra keys.
-Spark plans it as a partial aggregate before the shuffle and a final one
-after it, so a station holding a third of all rows still ships one partial
-row per map task.  Level 2 combines the partials (at most one row per
-station and key) after station attributes were attached.  The result equals
-aggregating the joined fact rows directly, because every fact row of a
-station carries the same station attributes.
+"""Aggregation operators over facts and the station dimension.
+
+Every fact-level aggregation is planned by Spark as a partial aggregate
+before the shuffle and a final one after it, so a station holding a third of
+all rows still ships one partial row per map task.
+
+Station attributes (state, location) enter in one of two ways, with the
+same result:
+
+* the station side is proven small: it is broadcast, joined map-side, and
+  fact rows aggregate straight by the output keys;
+* otherwise facts are first reduced per station (``*_partials``: at most one
+  row per station and key), and only those rows meet the station side in a
+  shuffle join before the partials are combined.
+
+Extrema always go through per-station min / max (fixed-width hash
+aggregation); ``min_by`` / ``max_by`` with station attributes then run over
+station-level rows only.
 """
 
 from __future__ import annotations

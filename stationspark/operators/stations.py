@@ -1,8 +1,8 @@
 """Station dimension operators: membership by state, attribute joins, dedup.
 
 Broadcast policy: a station side is broadcast only after ``row_count_at_most``
-has proven a row bound (reading at most ``limit + 1`` rows), normally once per
-loaded dimension through :meth:`WeatherTables.station_fits`.  Without that
+has proven a row bound (a limited count), normally once per loaded dimension
+through :meth:`WeatherTables.station_fits`.  Without that
 proof the join is planned by shuffle, and aggregating queries first reduce the
 facts to per-station partials (see :mod:`stationspark.operators.aggregates`)
 so the shuffled join input is bounded by the number of stations.
@@ -18,7 +18,12 @@ DEFAULT_BROADCAST_ROWS = 250_000
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads ``max_rows + 1`` at most."""
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    A bounded probe: every scan task stops after ``max_rows + 1`` rows (local
+    limit) and only the count of at most ``max_rows + 1`` rows reaches the
+    driver, whatever the size of ``df``.
+    """
     return df.limit(max_rows + 1).count() <= max_rows
 
 
