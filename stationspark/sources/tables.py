@@ -37,8 +37,9 @@ class WeatherTables:
     def station_fits(self, max_rows: int | None) -> bool:
         """True when the whole station dimension has at most ``max_rows`` rows.
 
-        Checked once per table set (one small limited-count job).  Any filter or projection of the dimension is
-        then bounded too, so every station side may be broadcast.
+        Checked once per table set (one small limited-count job).  Any filter
+        or projection of the dimension is then bounded too, so every station
+        side may be broadcast.
         """
         if not max_rows:
             return False
