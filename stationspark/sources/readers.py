@@ -147,10 +147,10 @@ def load_month_files(spark: SparkSession, root: str, months=None, year: int = 20
 def load_partitioned(spark: SparkSession, root: str, fmt: str = "parquet",
                      kinds=FACTS) -> WeatherTables:
     """Tables over the partitioned layout written by :mod:`stationspark.sources.sinks`
-    or by the streaming ingest."""
-    if fmt == "parquet":
-        station = spark.read.parquet(f"{root.rstrip('/')}/station")
-    else:
-        station = read_delimited(spark, f"{root.rstrip('/')}/station", "station")
+    or by the streaming ingest.  A station table kept per month (as the ingest
+    writes it) is reduced to the latest row per WBAN."""
+    station = read_partitioned(spark, root, "station", fmt)
+    if PARTITION_COLUMN in station.columns:
+        station = latest_station_rows(station)
     facts = {k: read_partitioned(spark, root, k, fmt) for k in kinds}
     return WeatherTables(station=station, **facts)

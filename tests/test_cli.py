@@ -39,6 +39,9 @@ def test_cli_month_files_ingest_and_partitioned(spark, tmp_path, capsys):
                   for f in files for x in open(os.path.join(local_path(records), f)))
     assert rows == [(3011, 3), (14739, 3)]
 
+    from stationspark.sources import readers
+    layer = readers.load_partitioned(spark, out_root)
+    assert layer.station.count() == 2                              # one row per station, not per month
     assert main(["--data", out_root, "--layout", "partitioned", "hourly", "CO", "2"]) == 0
     shown = capsys.readouterr().out
     assert "|1   |1:00 |40.0 |" in shown and "|2   |2:00 |0.0  |" in shown

@@ -2,10 +2,8 @@
 
 from pyspark.sql import types as T
 
-from stationspark.operators.stations import latest_station_rows
 from stationspark.plans import queries as q
 from stationspark.sources import readers, schemas
-from stationspark.sources.tables import WeatherTables
 from stationspark.streaming import ingest
 
 MONTHLY = T.StructType([T.StructField("WBAN", T.IntegerType()), T.StructField("YearMonth", T.IntegerType()),
@@ -40,7 +38,6 @@ def test_ingest_is_incremental_and_exactly_once(spark, tmp_path):
     got = sorted((r.WBAN, r.month, r.AvgTemp) for r in monthly.collect())
     assert got == [(7, 1, "M"), (7, 3, "70"), (3011, 1, "40"), (3011, 2, "50"), (3011, 3, "60")]
 
-    station = latest_station_rows(readers.read_partitioned(spark, str(out), "station"))
-    assert sorted(r.WBAN for r in station.collect()) == [7, 3011]
-    tables = WeatherTables(station=station, monthly=monthly)
+    tables = readers.load_partitioned(spark, str(out), kinds=("monthly",))
+    assert sorted(r.WBAN for r in tables.station.collect()) == [7, 3011]
     assert q.station_metric_avg(tables, "CO", 1, 3).first().value == 50.0
