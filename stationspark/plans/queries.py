@@ -225,11 +225,17 @@ def hourly_profile_by_state(tables: WeatherTables, month: int | None,
 
 # ---------------------------------------------------------------- Q7 -------
 
-def _extrema_input(tables, kind, month, metric):
-    """Per-station min / max of the month, or per station and month when ``month`` is None."""
+def _extrema_input(tables, kind, month, metric, state=None):
+    """Per-station min / max of the month, or per station and month when ``month`` is None.
+
+    With a state and a proven station side, fact rows of other states are
+    dropped by a broadcast semi join before aggregating.
+    """
     kind = catalog.kind_of(kind)
     fact = tables.fact(kind)
     params.check_metric(fact, kind, metric)
+    if state is not None and tables.station_fits(st.DEFAULT_BROADCAST_ROWS):
+        fact = st.keep_stations(fact, st.in_state(tables.station, state), broadcast=True)
     if month is None:
         return kind, agg.extrema_partials(fact, clean.metric(metric), keys=(MONTH,))
     m = params.check_month(month)
@@ -247,7 +253,7 @@ def metric_extrema(tables: WeatherTables, kind, state: str, month: int,
     catalog of that kind.
     """
     params.check_state(state)
-    kind, partials = _extrema_input(tables, kind, params.check_month(month), metric)
+    kind, partials = _extrema_input(tables, kind, params.check_month(month), metric, state)
     joined = st.attach_station(partials, tables.station, state=state,
                                columns=("State",) + agg.STATION_ATTRS,
                                broadcast=tables.station_fits(st.DEFAULT_BROADCAST_ROWS))
