@@ -74,9 +74,10 @@ def _build(spark, args):
     if args.query == "avg":
         if args.by_state_month:
             return q.station_metric_avg_by_state_month(t, args.month_start, args.month_end, args.metric)
-        return q.station_metric_avg(t, args.state, args.month_start, args.month_end, args.metric)
+        return q.station_metric_avg(t, args.state, args.month_start, args.month_end, args.metric,
+                                    digits=2)
     if args.query == "monthly-temp":
-        return q.monthly_avg_temperature(t, args.month, args.offset)
+        return q.monthly_avg_temperature(t, args.month, args.offset, digits=2)
     if args.query == "anomalous":
         return q.anomalous_days_formatted(t, args.month)
     if args.query == "agri":

@@ -161,6 +161,9 @@ ORACLE = {
     "station_metric_avg": _sql(
         f"SELECT 'AvgTemp' AS metric, AVG({_num('AvgTemp')}) AS value, '°F' AS unit "
         f"FROM monthly WHERE month BETWEEN 2 AND 5 AND {IN_STATE}"),
+    "station_metric_avg_rounded": _sql(
+        f"SELECT 'Tavg' AS metric, ROUND(AVG({_num('Tavg')}), 2) AS value, '°F' AS unit "
+        f"FROM daily WHERE {IN_STATE}"),
     "station_metric_avg_by_state_month": _sql(
         f"SELECT s.State, m.month, 'AvgTemp' AS metric, AVG({_num('m.AvgTemp')}) AS value, "
         f"'°F' AS unit FROM monthly m JOIN station s USING (WBAN) GROUP BY s.State, m.month"),
@@ -193,6 +196,8 @@ ORACLE = {
         f"{_num('PrecipTotal')} AS PrecipTotal, {_num('WetBulb')} AS WetBulb FROM daily "
         f"WHERE {_AGRI_WHERE} AND WBAN = 1"),
     "agri_days_stations": _sql(f"SELECT DISTINCT WBAN FROM daily WHERE {_AGRI_WHERE}"),
+    "agri_days_count": _sql(
+        f"SELECT CAST(6 AS INTEGER) AS month, COUNT(*) AS n_days FROM daily WHERE {_AGRI_WHERE}"),
     "station_ids": _sql(f"SELECT DISTINCT WBAN FROM station WHERE State = {STATE}"),
     "hourly_profile": _profile(""),
     "hourly_profile_station": _profile(" AND WBAN = 68"),

@@ -30,13 +30,19 @@ def _months(df: DataFrame, month_start: int, month_end: int) -> DataFrame:
 
 # ---------------------------------------------------------------- Q1 -------
 
+def _rounded(value: str, digits: int | None):
+    return F.col(value) if digits is None else F.round(value, digits).alias(value)
+
+
 def station_metric_avg(tables: WeatherTables, state: str, month_start: int, month_end: int,
                        metric: str = "AvgTemp", kind: str = "monthly",
-                       broadcast_rows: int | None = st.DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                       broadcast_rows: int | None = st.DEFAULT_BROADCAST_ROWS,
+                       digits: int | None = None) -> DataFrame:
     """Mean of a metric over the stations of a state and an inclusive month range.
 
     One row ``(metric, value, unit)``; ``value`` is null when nothing matches.
-    Plain mean over fact rows (station-months for the monthly kind).
+    Plain mean over fact rows (station-months for the monthly kind); rounded
+    to ``digits`` places on output when given.
     """
     params.check_state(state)
     m0, m1 = params.check_month_range(month_start, month_end)
@@ -45,7 +51,7 @@ def station_metric_avg(tables: WeatherTables, state: str, month_start: int, mont
     side = st.in_state(tables.station, state).select("WBAN")
     means = agg.mean_by_station_group(_months(fact, m0, m1), clean.metric(metric), side,
                                       broadcast=tables.station_fits(broadcast_rows))
-    return means.select(F.lit(metric).alias("metric"), "value",
+    return means.select(F.lit(metric).alias("metric"), _rounded("value", digits),
                         F.lit(catalog.unit_of(kind, metric)).cast(T.StringType()).alias("unit"))
 
 
@@ -69,12 +75,14 @@ def station_metric_avg_by_state_month(tables: WeatherTables, month_start: int =
 # ---------------------------------------------------------------- Q2 -------
 
 def monthly_avg_temperature(tables: WeatherTables, month: int | None = None,
-                            offset: float = 32.0, metric: str = "AvgTemp") -> DataFrame:
+                            offset: float = 32.0, metric: str = "AvgTemp",
+                            digits: int | None = None) -> DataFrame:
     """National mean of the monthly mean temperature, in °C, per month.
 
     A plain mean over station-month rows.  ``(month, month_label, avg_c)``;
     with ``month`` given, a single row for that month (null when empty).
-    ``offset=31.0`` reproduces the original application's figures.
+    ``offset=31.0`` reproduces the original application's figures; ``digits``
+    rounds on output.
     """
     fact = tables.fact("monthly")
     params.check_metric(fact, "monthly", metric)
@@ -84,7 +92,7 @@ def monthly_avg_temperature(tables: WeatherTables, month: int | None = None,
     else:
         m = params.check_month(month)
         out = _months(fact, m, m).agg(celsius).select(F.lit(m).alias(MONTH), "avg_c")
-    return out.select(MONTH, clean.month_label(MONTH).alias("month_label"), "avg_c")
+    return out.select(MONTH, clean.month_label(MONTH).alias("month_label"), _rounded("avg_c", digits))
 
 
 # ---------------------------------------------------------------- Q3 -------
@@ -158,6 +166,15 @@ def agri_days_formatted(tables: WeatherTables, month: int, wban: int | None = No
                        *[F.round(c, 2).alias(c) for c in AGRI_COLUMNS[2:]])
 
 
+def agri_days_count(tables: WeatherTables, month: int, wban: int | None = None,
+                    **kw) -> DataFrame:
+    """How many good farming station-days the month has: ``(month, n_days)``."""
+    m = params.check_month(month)
+    return (agri_days(tables, m, wban, **kw)
+            .agg(F.count(F.lit(1)).alias("n_days"))
+            .select(F.lit(m).alias(MONTH), "n_days"))
+
+
 def agri_days_stations(tables: WeatherTables, month: int, **kw) -> DataFrame:
     """Distinct stations having at least one good farming day: ``(WBAN)``."""
     return agri_days(tables, month, **kw).select("WBAN").distinct()

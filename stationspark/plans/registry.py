@@ -30,6 +30,8 @@ def _on_tables(build: Callable) -> Callable[[SparkSession, str], DataFrame]:
 
 COMPOSITE: dict[str, Callable] = {
     "station_metric_avg": lambda t: q.station_metric_avg(t, STATE, 2, 5, "AvgTemp"),
+    "station_metric_avg_rounded": lambda t: q.station_metric_avg(t, STATE, 1, 12, "Tavg", "daily",
+                                                                 digits=2),
     "station_metric_avg_by_state_month": lambda t: q.station_metric_avg_by_state_month(t),
     "monthly_avg_temp_c": lambda t: q.monthly_avg_temperature(t),
     "monthly_avg_temp_c_offset31": lambda t: q.monthly_avg_temperature(t, offset=31.0),
@@ -40,6 +42,7 @@ COMPOSITE: dict[str, Callable] = {
     "agri_days_formatted": lambda t: q.agri_days_formatted(t, 6),
     "agri_days_station": lambda t: q.agri_days(t, 6, wban=1),
     "agri_days_stations": lambda t: q.agri_days_stations(t, 6),
+    "agri_days_count": lambda t: q.agri_days_count(t, 6),
     "station_ids": lambda t: q.station_ids(t, STATE),
     "hourly_profile": lambda t: q.hourly_profile(t, STATE, 1),
     "hourly_profile_station": lambda t: q.hourly_profile(t, STATE, 1, wban=STATION),
