@@ -113,17 +113,18 @@ SOURCE_SCHEMAS = {
 }
 
 
-# Views already built, per (application, directory).  A view is an immutable
-# logical plan, so one instance serves every query of a session; building it
-# again would only repeat the Python-to-JVM calls that assemble it.
-_loaded: dict[tuple[str, str], WeatherTables] = {}
+# Views already built, per (application, session, directory).  A view is an
+# immutable logical plan, so one instance serves every query of a session;
+# building it again would only repeat the Python-to-JVM calls that assemble it.
+_loaded: dict[tuple, WeatherTables] = {}
 
 
 def load(spark: SparkSession, sf_dir: str) -> WeatherTables:
     """Weather tables over ``{sf_dir}/{table}.parquet``."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    sf_dir = sf_dir.rstrip("/")
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
     if key not in _loaded:
-        _loaded[key] = build(spark, key[1])
+        _loaded[key] = build(spark, sf_dir)
     return _loaded[key]
 
 
