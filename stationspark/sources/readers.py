@@ -17,6 +17,8 @@ columns cast afterwards.  Inference would cost a full extra pass per file.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -121,14 +123,20 @@ def month_file_paths(root: str, kind: str, months=None, year: int = 2013) -> lis
     return [f"{root.rstrip('/')}/{year}{m:02d}/{kind}.txt" for m in months]
 
 
+def month_of_path(kind: str):
+    """``month`` from the path of a ``{yyyymm}/{kind}.txt`` file (or of a part
+    file inside a ``{kind}.txt`` directory written by Spark); null otherwise."""
+    pattern = rf"/\d{{4}}(\d{{2}})/{re.escape(kind)}\.txt(?:/[^/]+)?$"
+    return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1).try_cast(T.IntegerType())
+
+
 def read_month_files(spark: SparkSession, root: str, kind: str, months=None,
                      year: int = 2013, schema: T.StructType | None = None) -> DataFrame:
     """Per-month files ``{root}/{yyyymm}/{kind}.txt`` in one scan (all months present
     when ``months`` is None)."""
     paths = month_file_paths(root, kind, months, year)
     df = read_delimited(spark, paths, kind, schema=schema)
-    month = F.regexp_extract(F.col("_metadata.file_path"), r"/\d{4}(\d{2})/[^/]+$", 1)
-    return df.withColumn(PARTITION_COLUMN, month.cast(T.IntegerType()))
+    return df.withColumn(PARTITION_COLUMN, month_of_path(kind))
 
 
 FACTS = ("daily", "hourly", "monthly")

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stationspark.session import ensure_checkpoint_dir
-from stationspark.sources.readers import header_schema, separator
+from stationspark.sources.readers import header_schema, month_of_path, separator
 from stationspark.sources.schemas import KINDS, PARTITION_COLUMN
 
 
@@ -40,8 +40,7 @@ def month_file_stream(spark: SparkSession, raw_root: str, kind: str,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = reader.csv(f"{raw_root.rstrip('/')}/*/{kind}.txt")
-    month = F.regexp_extract(F.col("_metadata.file_path"), r"/\d{4}(\d{2})/[^/]+$", 1)
-    return rows.withColumn(PARTITION_COLUMN, month.cast(T.IntegerType()))
+    return rows.withColumn(PARTITION_COLUMN, month_of_path(kind))
 
 
 def default_checkpoint(spark: SparkSession, out_root: str, kind: str) -> str:

@@ -114,3 +114,15 @@ def test_json_records(spark, tables):
 def test_latest_station_rows(spark):
     df = spark.createDataFrame([(1, "A", 1), (1, "B", 3), (2, "C", 2)], "WBAN int, State string, month int")
     assert rows(latest_station_rows(df)) == [(1, "B"), (2, "C")]
+
+
+def test_month_files_written_by_spark(spark, tables):
+    """A ``{yyyymm}/{kind}.txt`` written by Spark is a directory of part files."""
+    root = scratch_path(spark, "month-files")
+    for m in (2, 3):
+        one = tables.daily.filter(F.col("month") == m).drop("month")
+        sinks.write_delimited(one, f"{root}/2013{m:02d}/daily.txt", "daily", partitioned=False)
+    back = readers.read_month_files(spark, root, "daily")
+    assert rows(back.select(*tables.daily.columns)) == rows(tables.daily.filter(F.col("month").isin(2, 3)))
+    only_march = readers.read_month_files(spark, root, "daily", months=[3])
+    assert {r.month for r in only_march.select("month").distinct().collect()} == {3}
