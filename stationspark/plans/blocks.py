@@ -35,6 +35,8 @@ def _materialized(spark: SparkSession, sf_dir: str, kind: str, fmt: str) -> str:
         root = scratch_path(spark, f"layout-{fmt}")
         if fmt == "parquet":
             sinks.write_parquet(df, f"{root}/{kind}")
+        elif fmt == "month-files":
+            sinks.write_month_files(df, root, kind)
         else:
             sinks.write_delimited(df, f"{root}/{kind}", kind)
         _written[key] = root
@@ -107,6 +109,11 @@ def _scan_month_range(spark, sf_dir):
     return daily.filter(F.col("month").between(2, 4))
 
 
+def _scan_month_files(spark, sf_dir):
+    root = _materialized(spark, sf_dir, "daily", "month-files")
+    return readers.read_month_files(spark, root, "daily", months=[2, 3, 4])
+
+
 def _union_months(spark, sf_dir):
     root = _materialized(spark, sf_dir, "daily", "parquet")
     return readers.union_months([readers.read_month(spark, root, "daily", m) for m in range(1, 13)])
@@ -121,6 +128,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scan_csv_comma": _scan_csv_comma,
         "scan_csv_pipe": _scan_csv_pipe,
         "scan_month_range": _scan_month_range,
+        "scan_month_files": _scan_month_files,
         "union_months": _union_months,
         "join_station_left_state": _tables(
             lambda t: st.attach_station(t.monthly, t.station, state=STATE,

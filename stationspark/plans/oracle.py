@@ -223,6 +223,7 @@ ORACLE = {
     "scan_csv_comma": _sql("SELECT * FROM daily"),
     "scan_csv_pipe": _sql("SELECT * FROM station"),
     "scan_month_range": _sql("SELECT * FROM daily WHERE month BETWEEN 2 AND 4"),
+    "scan_month_files": _sql("SELECT * FROM daily WHERE month BETWEEN 2 AND 4"),
     "union_months": _sql("SELECT * FROM daily"),
     "join_station_left_state": _sql(
         f"SELECT * FROM monthly JOIN station USING (WBAN) WHERE State = {STATE}"),

@@ -37,6 +37,20 @@ def write_delimited(df: DataFrame, path: str, kind: str, partitioned: bool = Tru
     return path
 
 
+def write_month_files(df: DataFrame, root: str, kind: str, year: int = 2013) -> str:
+    """The distributed layout ``{root}/{yyyymm}/{kind}.txt``: header + delimited
+    text, one directory of part files per month present in ``df``.
+
+    One write per month (each a pruned scan when ``df`` is month-partitioned);
+    meant for exchanging data in the original layout, not for bulk loads.
+    """
+    months = sorted(r[0] for r in df.select(PARTITION_COLUMN).distinct().collect())
+    for m in months:
+        one = df.filter(F.col(PARTITION_COLUMN) == m).drop(PARTITION_COLUMN)
+        write_delimited(one, f"{root.rstrip('/')}/{year}{m:02d}/{kind}.txt", kind, partitioned=False)
+    return root
+
+
 def write_tables(tables, root: str, fmt: str = "parquet") -> str:
     """Write every loaded table of ``tables`` below ``root/{kind}``."""
     root = root.rstrip("/")
