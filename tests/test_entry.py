@@ -36,10 +36,16 @@ def _canon(columns, records):
     return sorted((tuple(norm(r[i]) for i in order) for r in records), key=repr)
 
 
+SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+
+
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     got = df.collect()
+    rel = duck.sql(entry.oracle_sql()[name])
+    assert {c: SQL_TYPES.get(t, t) for c, t in df.dtypes} == \
+        {c: str(t) for c, t in zip(rel.columns, rel.types)}
     res = duck.execute(entry.oracle_sql()[name])
     cols = [d[0] for d in res.description]
     want = res.fetchall()
