@@ -38,7 +38,11 @@ def separator(kind: str) -> str:
 
 def _text_reader(spark: SparkSession, sep: str):
     # Blanks are data (a blank weather code is not a missing one): keep them.
+    # Every file's header is checked against the schema (``enforceSchema``
+    # off): a file with another column order fails instead of being read
+    # by position into the wrong columns.
     return (spark.read.option("header", True).option("sep", sep)
+            .option("enforceSchema", False)
             .option("ignoreLeadingWhiteSpace", False)
             .option("ignoreTrailingWhiteSpace", False)
             .option("mode", "PERMISSIVE"))
@@ -64,7 +68,7 @@ def read_delimited(spark: SparkSession, paths, kind: str, sep: str | None = None
     """
     reader = _text_reader(spark, sep or separator(kind))
     if schema is not None:
-        return reader.schema(schema).option("enforceSchema", False).csv(paths)
+        return reader.schema(schema).csv(paths)
     return type_keys(reader.csv(paths), kind)
 
 
@@ -131,9 +135,22 @@ def month_of_path(kind: str):
 
 
 def read_month_files(spark: SparkSession, root: str, kind: str, months=None,
-                     year: int = 2013, schema: T.StructType | None = None) -> DataFrame:
-    """Per-month files ``{root}/{yyyymm}/{kind}.txt`` in one scan (all months present
-    when ``months`` is None)."""
+                     year: int = 2013, schema: T.StructType | None = None,
+                     by_name: bool = False) -> DataFrame:
+    """Per-month files ``{root}/{yyyymm}/{kind}.txt`` (all months present when
+    ``months`` is None).
+
+    Default: one scan of all files, whose headers must all match.  With
+    ``by_name`` (months whose files order their columns differently) each
+    month is read on its own and the months are unioned by column name; every
+    file is still read once.
+    """
+    if by_name:
+        if months is None:
+            raise ValueError("by_name needs the list of months")
+        frames = [read_delimited(spark, month_file_paths(root, kind, [m], year), kind, schema=schema)
+                  .withColumn(PARTITION_COLUMN, F.lit(m).cast(T.IntegerType())) for m in months]
+        return union_months(frames)
     paths = month_file_paths(root, kind, months, year)
     df = read_delimited(spark, paths, kind, schema=schema)
     return df.withColumn(PARTITION_COLUMN, month_of_path(kind))
@@ -143,12 +160,13 @@ FACTS = ("daily", "hourly", "monthly")
 
 
 def load_month_files(spark: SparkSession, root: str, months=None, year: int = 2013,
-                     station_months=(1,), kinds=FACTS) -> WeatherTables:
+                     station_months=(1,), kinds=FACTS, by_name: bool = False) -> WeatherTables:
     """Tables over per-month files.  The station dimension keeps one row per
     WBAN, the one of the latest month in ``station_months`` (None: all months).
-    ``kinds`` chooses the fact tables to read (``precip``, ``remarks`` too)."""
-    station = read_month_files(spark, root, "station", station_months, year)
-    facts = {k: read_month_files(spark, root, k, months, year) for k in kinds}
+    ``kinds`` chooses the fact tables to read (``precip``, ``remarks`` too);
+    ``by_name`` aligns months whose files order their columns differently."""
+    station = read_month_files(spark, root, "station", station_months, year, by_name=by_name)
+    facts = {k: read_month_files(spark, root, k, months, year, by_name=by_name) for k in kinds}
     return WeatherTables(station=latest_station_rows(station), **facts)
 
 

@@ -126,3 +126,13 @@ def test_month_files_written_by_spark(spark, tables):
     assert rows(back.select(*tables.daily.columns)) == rows(tables.daily.filter(F.col("month").isin(2, 3)))
     only_march = readers.read_month_files(spark, root, "daily", months=[3])
     assert {r.month for r in only_march.select("month").distinct().collect()} == {3}
+
+
+def test_month_files_with_different_column_orders(spark, tmp_path):
+    for m, header, row in ((1, "WBAN,YearMonth,AvgTemp", "3011,201301,40"),
+                           (2, "AvgTemp,WBAN,YearMonth", "50,3011,201302")):
+        _write_month(tmp_path, f"2013{m:02d}", "monthly", f"{header}\n{row}\n")
+    with pytest.raises(Exception):
+        readers.read_month_files(spark, str(tmp_path), "monthly").collect()
+    by_name = readers.read_month_files(spark, str(tmp_path), "monthly", months=[1, 2], by_name=True)
+    assert sorted((r.WBAN, r.month, r.AvgTemp) for r in by_name.collect()) == [(3011, 1, "40"), (3011, 2, "50")]
