@@ -79,8 +79,10 @@ _SUSPECT = " + ".join(f"(CASE WHEN {c} = 's' THEN 1 ELSE 0 END)" for c in _DAILY
 
 _ANOMALY_WHERE = (f"month = 3 AND {_num('Depart')} > 5 AND "
                   f"({_num('Max5Speed')} > 20 OR {_num('PrecipTotal')} > 1)")
-_AGRI_WHERE = (f"month = 6 AND {_num('Tavg')} BETWEEN 60 AND 75 AND {_num('DewPoint')} BETWEEN 40 AND 60 "
-               f"AND NOT (CodeSum LIKE '%TS%') AND {_num('PrecipTotal')} = 0")
+_AGRI_ALL = (f"{_num('Tavg')} BETWEEN 60 AND 75 AND {_num('DewPoint')} BETWEEN 40 AND 60 "
+             f"AND NOT (CodeSum LIKE '%TS%') AND {_num('PrecipTotal')} = 0")
+_AGRI_WHERE = f"month = 6 AND {_AGRI_ALL}"
+_ANOMALY_ALL = f"{_num('Depart')} > 5 AND ({_num('Max5Speed')} > 20 OR {_num('PrecipTotal')} > 1)"
 _OFF_HOUR = "Time > 0 AND Time < 2400 AND Time % 100 <> 0"
 
 
@@ -196,6 +198,10 @@ ORACLE = {
         f"{_num('PrecipTotal')} AS PrecipTotal, {_num('WetBulb')} AS WetBulb FROM daily "
         f"WHERE {_AGRI_WHERE} AND WBAN = 1"),
     "agri_days_stations": _sql(f"SELECT DISTINCT WBAN FROM daily WHERE {_AGRI_WHERE}"),
+    "anomalous_days_count_by_month": _sql(
+        f"SELECT month, COUNT(*) AS n_days FROM daily WHERE {_ANOMALY_ALL} GROUP BY month"),
+    "agri_days_count_by_month": _sql(
+        f"SELECT month, COUNT(*) AS n_days FROM daily WHERE {_AGRI_ALL} GROUP BY month"),
     "agri_days_count": _sql(
         f"SELECT CAST(6 AS INTEGER) AS month, COUNT(*) AS n_days FROM daily WHERE {_AGRI_WHERE}"),
     "station_ids": _sql(f"SELECT DISTINCT WBAN FROM station WHERE State = {STATE}"),

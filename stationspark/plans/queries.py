@@ -100,17 +100,23 @@ def monthly_avg_temperature(tables: WeatherTables, month: int | None = None,
 ANOMALY_COLUMNS = ("YearMonthDay", "WBAN", "Depart", "Max5Speed", "PrecipTotal")
 
 
-def anomalous_days(tables: WeatherTables, month: int, depart_gt: float = 5,
+def _month_or_all(df: DataFrame, month: int | None) -> DataFrame:
+    if month is None:
+        return df
+    m = params.check_month(month)
+    return _months(df, m, m)
+
+
+def anomalous_days(tables: WeatherTables, month: int | None, depart_gt: float = 5,
                    wind_gt: float = 20, precip_gt: float = 1) -> DataFrame:
     """Days with a positive departure above ``depart_gt`` and strong wind or rain.
 
     Comparisons are on DOUBLE values (``5.7 > 5`` and ``1.50 > 1`` hold); a
     missing value makes its comparison unknown, so a day still qualifies
-    through the other branch of the disjunction.
+    through the other branch of the disjunction.  ``month=None``: all months.
     """
-    m = params.check_month(month)
     dep, wind, rain = (clean.metric(c) for c in ("Depart", "Max5Speed", "PrecipTotal"))
-    return (_months(tables.fact("daily"), m, m)
+    return (_month_or_all(tables.fact("daily"), month)
             .filter((dep > F.lit(depart_gt)) & ((wind > F.lit(wind_gt)) | (rain > F.lit(precip_gt))))
             .select("YearMonthDay", "WBAN", dep.alias("Depart"), wind.alias("Max5Speed"),
                     rain.alias("PrecipTotal")))
@@ -122,12 +128,24 @@ def anomalous_days_formatted(tables: WeatherTables, month: int, **kw) -> DataFra
             .select(clean.ymd_text("YearMonthDay").alias("date"), *ANOMALY_COLUMNS[1:]))
 
 
-def anomalous_days_count(tables: WeatherTables, month: int, **kw) -> DataFrame:
-    """How many anomalous station-days the month has: ``(month, n_days)``."""
-    m = params.check_month(month)
-    return (anomalous_days(tables, m, **kw)
-            .agg(F.count(F.lit(1)).alias("n_days"))
-            .select(F.lit(m).alias(MONTH), "n_days"))
+def _count_days(rows: DataFrame, month: int | None) -> DataFrame:
+    """``(month, n_days)``: one row for a given month, or one per month with rows."""
+    if month is None:
+        return rows.groupBy(MONTH).agg(F.count(F.lit(1)).alias("n_days"))
+    return rows.agg(F.count(F.lit(1)).alias("n_days")).select(F.lit(month).alias(MONTH), "n_days")
+
+
+def _with_month(rows: DataFrame, month: int | None) -> DataFrame:
+    # The day number carries the month; derive it for the all-months count.
+    return rows if month is not None else rows.withColumn(
+        MONTH, (F.col("YearMonthDay") / 100 % 100).cast(T.IntegerType()))
+
+
+def anomalous_days_count(tables: WeatherTables, month: int | None, **kw) -> DataFrame:
+    """How many anomalous station-days a month has: ``(month, n_days)``;
+    ``month=None`` counts every month in one job."""
+    m = None if month is None else params.check_month(month)
+    return _count_days(_with_month(anomalous_days(tables, m, **kw), m), m)
 
 
 # ---------------------------------------------------------------- Q4 -------
@@ -135,21 +153,20 @@ def anomalous_days_count(tables: WeatherTables, month: int, **kw) -> DataFrame:
 AGRI_COLUMNS = ("WBAN", "YearMonthDay", "Tavg", "DewPoint", "PrecipTotal", "WetBulb")
 
 
-def agri_days(tables: WeatherTables, month: int, wban: int | None = None,
+def agri_days(tables: WeatherTables, month: int | None, wban: int | None = None,
               tavg_range=(60, 75), dew_range=(40, 60),
               null_code_is_clear: bool = False) -> DataFrame:
     """Good farming days: mild mean temperature and dew point, no thunder, no rain.
 
     A null weather code fails ``NOT LIKE '%TS%'`` (unknown) and drops the day
     unless ``null_code_is_clear``; a blank code passes.  Trace rain (``T``)
-    is not a number, so it is not ``== 0`` either.
+    is not a number, so it is not ``== 0`` either.  ``month=None``: all months.
     """
-    m = params.check_month(month)
     tavg, dew, rain, wet = (clean.metric(c) for c in ("Tavg", "DewPoint", "PrecipTotal", "WetBulb"))
     no_storm = ~F.col("CodeSum").like("%TS%")
     if null_code_is_clear:
         no_storm = F.coalesce(no_storm, F.lit(True))
-    days = _months(tables.fact("daily"), m, m)
+    days = _month_or_all(tables.fact("daily"), month)
     if wban is not None:
         days = days.filter(F.col("WBAN") == F.lit(int(wban)))
     return (days.filter(tavg.between(*tavg_range) & dew.between(*dew_range)
@@ -166,13 +183,12 @@ def agri_days_formatted(tables: WeatherTables, month: int, wban: int | None = No
                        *[F.round(c, 2).alias(c) for c in AGRI_COLUMNS[2:]])
 
 
-def agri_days_count(tables: WeatherTables, month: int, wban: int | None = None,
+def agri_days_count(tables: WeatherTables, month: int | None, wban: int | None = None,
                     **kw) -> DataFrame:
-    """How many good farming station-days the month has: ``(month, n_days)``."""
-    m = params.check_month(month)
-    return (agri_days(tables, m, wban, **kw)
-            .agg(F.count(F.lit(1)).alias("n_days"))
-            .select(F.lit(m).alias(MONTH), "n_days"))
+    """How many good farming station-days a month has: ``(month, n_days)``;
+    ``month=None`` counts every month in one job."""
+    m = None if month is None else params.check_month(month)
+    return _count_days(_with_month(agri_days(tables, m, wban, **kw), m), m)
 
 
 def agri_days_stations(tables: WeatherTables, month: int, **kw) -> DataFrame:

@@ -38,11 +38,13 @@ COMPOSITE: dict[str, Callable] = {
     "anomalous_days": lambda t: q.anomalous_days(t, 3),
     "anomalous_days_formatted": lambda t: q.anomalous_days_formatted(t, 3),
     "anomalous_days_count": lambda t: q.anomalous_days_count(t, 3),
+    "anomalous_days_count_by_month": lambda t: q.anomalous_days_count(t, None),
     "agri_days": lambda t: q.agri_days(t, 6),
     "agri_days_formatted": lambda t: q.agri_days_formatted(t, 6),
     "agri_days_station": lambda t: q.agri_days(t, 6, wban=1),
     "agri_days_stations": lambda t: q.agri_days_stations(t, 6),
     "agri_days_count": lambda t: q.agri_days_count(t, 6),
+    "agri_days_count_by_month": lambda t: q.agri_days_count(t, None),
     "station_ids": lambda t: q.station_ids(t, STATE),
     "hourly_profile": lambda t: q.hourly_profile(t, STATE, 1),
     "hourly_profile_station": lambda t: q.hourly_profile(t, STATE, 1, wban=STATION),

@@ -79,3 +79,12 @@ def test_month_keyed_grouped_forms_match_single_month(tables):
     assert rows(ext_all.drop("month")) == rows(q.metric_extrema_by_state(tables, "monthly", 3, "AvgTemp"))
     avg_all = q.station_metric_avg_by_state_month(tables).filter((F.col("State") == STATE) & (F.col("month") == 4))
     assert avg_all.first().value == q.station_metric_avg(tables, STATE, 4, 4).first().value
+
+
+def test_counts_by_month_match_single_months(tables):
+    by_month = {r.month: r.n_days for r in q.anomalous_days_count(tables, None).collect()}
+    for m in (1, 3, 12):
+        assert by_month.get(m, 0) == q.anomalous_days_count(tables, m).first().n_days
+    agri = {r.month: r.n_days for r in q.agri_days_count(tables, None).collect()}
+    assert agri.get(6, 0) == q.agri_days_count(tables, 6).first().n_days == 59
+    assert q.anomalous_days(tables, None).count() == sum(by_month.values())
