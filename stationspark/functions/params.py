@@ -47,6 +47,13 @@ def check_metric(df: DataFrame, kind: str, metric: str, in_catalog: bool = True)
     return metric
 
 
+def require_columns(df: DataFrame, kind: str, columns) -> None:
+    """Every column a fixed-column question needs must be in the data."""
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"the {kind} data lacks column(s) {missing}")
+
+
 def is_numeric(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, T.NumericType)
 

@@ -115,8 +115,10 @@ def anomalous_days(tables: WeatherTables, month: int | None, depart_gt: float =
     missing value makes its comparison unknown, so a day still qualifies
     through the other branch of the disjunction.  ``month=None``: all months.
     """
+    daily = tables.fact("daily")
+    params.require_columns(daily, "daily", ANOMALY_COLUMNS)
     dep, wind, rain = (clean.metric(c) for c in ("Depart", "Max5Speed", "PrecipTotal"))
-    return (_month_or_all(tables.fact("daily"), month)
+    return (_month_or_all(daily, month)
             .filter((dep > F.lit(depart_gt)) & ((wind > F.lit(wind_gt)) | (rain > F.lit(precip_gt))))
             .select("YearMonthDay", "WBAN", dep.alias("Depart"), wind.alias("Max5Speed"),
                     rain.alias("PrecipTotal")))
@@ -166,7 +168,9 @@ def agri_days(tables: WeatherTables, month: int | None, wban: int | None = None,
     no_storm = ~F.col("CodeSum").like("%TS%")
     if null_code_is_clear:
         no_storm = F.coalesce(no_storm, F.lit(True))
-    days = _month_or_all(tables.fact("daily"), month)
+    daily = tables.fact("daily")
+    params.require_columns(daily, "daily", AGRI_COLUMNS + ("CodeSum",))
+    days = _month_or_all(daily, month)
     if wban is not None:
         days = days.filter(F.col("WBAN") == F.lit(int(wban)))
     return (days.filter(tavg.between(*tavg_range) & dew.between(*dew_range)

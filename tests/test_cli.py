@@ -13,8 +13,10 @@ def _month(root, m):
     (d / "station.txt").write_text("WBAN|State|Location|Latitude|Longitude\n"
                                    "03011|CO|TELLURIDE|37.95|-107.9\n14739|MA|BOSTON|42.36|-71.01\n")
     (d / "monthly.txt").write_text(f"WBAN,YearMonth,AvgTemp\n03011,2013{m:02d},{30 + m}\n14739,2013{m:02d},M\n")
-    (d / "daily.txt").write_text("WBAN,YearMonthDay,Tavg,TavgFlag,Depart,Max5Speed,PrecipTotal,CodeSum\n"
-                                 f"03011,2013{m:02d}01,61,s,7,25,0.00, \n14739,2013{m:02d}01,M,s,M,M,  T,RA\n")
+    (d / "daily.txt").write_text("WBAN,YearMonthDay,Tavg,TavgFlag,Depart,DewPoint,WetBulb,Max5Speed,"
+                                 "PrecipTotal,CodeSum\n"
+                                 f"03011,2013{m:02d}01,61,s,7,45,50,25,0.00, \n"
+                                 f"14739,2013{m:02d}01,M,s,M,M,M,M,  T,RA\n")
     (d / "hourly.txt").write_text("WBAN,YearMonthDay,Time,DryBulbFarenheit\n"
                                   f"03011,2013{m:02d}01,0153,40\n03011,2013{m:02d}01,0200,99\n")
 
@@ -37,7 +39,7 @@ def test_cli_month_files_ingest_and_partitioned(spark, tmp_path, capsys):
     files = [f for f in os.listdir(local_path(records)) if f.endswith(".json")]
     rows = sorted((json.loads(x)["WBAN"], json.loads(x)["suspicious_count"])
                   for f in files for x in open(os.path.join(local_path(records), f)))
-    assert rows == [(3011, 3), (14739, 3)]
+    assert rows == [(3011, 3), (14739, 3)]            # one "s" flag per station and month
 
     from stationspark.sources import readers
     layer = readers.load_partitioned(spark, out_root)
@@ -47,3 +49,26 @@ def test_cli_month_files_ingest_and_partitioned(spark, tmp_path, capsys):
     assert "|1   |1:00 |40.0 |" in shown and "|2   |2:00 |0.0  |" in shown
     assert main(["--data", str(raw), "catalog", "2"]) == 0
     assert "DryBulbFarenheit" in capsys.readouterr().out
+
+
+def test_cli_every_question(spark, tmp_path, capsys):
+    raw = tmp_path / "dataset"
+    raw.mkdir()
+    for m in (1, 2):
+        _month(raw, m)
+    data = ["--data", str(raw)]
+    commands = [
+        (["avg", "CO", "1", "2", "--by-state-month"], "CO"),
+        (["monthly-temp", "1"], "01"),
+        (["monthly-temp"], "02"),
+        (["anomalous", "1"], "01/01/2013"),
+        (["agri", "2", "--wban", "3011"], "01/02/2013"),
+        (["stations", "CO"], "3011"),
+        (["hourly", "CO", "1", "--include-on-hour"], "2:00"),
+        (["extrema", "daily", "CO", "1", "Tavg"], "TELLURIDE"),
+        (["extrema", "3", "CO", "2", "AvgTemp"], "32.0"),
+        (["unreliable", "1", "2", "--state", "MA", "-k", "1"], "14739"),
+    ]
+    for args, expected in commands:
+        assert main(data + args) == 0
+        assert expected in capsys.readouterr().out, args

@@ -47,6 +47,9 @@ def test_queries_reject_bad_parameters(tables):
         q.metric_extrema(tables, "daily", "NATION_3", 1, "NoSuchMetric")
     with pytest.raises(ValueError):
         q.unreliable_stations(tables, 1, 2, k=0)
+    no_dew = type(tables)(station=tables.station, daily=tables.daily.drop("DewPoint"))
+    with pytest.raises(ValueError, match="DewPoint"):
+        q.agri_days(no_dew, 6)
 
 
 def test_catalog_values():
