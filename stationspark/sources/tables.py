@@ -22,8 +22,10 @@ class WeatherTables:
     monthly: DataFrame | None = None
     precip: DataFrame | None = None
     remarks: DataFrame | None = None
-    # Proven station-count bounds, filled lazily by ``station_fits``.
-    _fits: dict = field(default_factory=dict, compare=False, repr=False)
+    # Proven station-count bounds, filled lazily by ``station_fits``.  Not an
+    # init field: ``dataclasses.replace`` (e.g. with another station table)
+    # starts with an empty cache instead of inheriting a stale proof.
+    _fits: dict = field(default_factory=dict, init=False, compare=False, repr=False)
 
     def fact(self, kind: str) -> DataFrame:
         names = [f.name for f in fields(self) if f.name not in ("station", "_fits")]

@@ -90,3 +90,10 @@ def test_fallback_never_shuffles_fact_rows_for_a_join(spark, tables):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_station_proof_is_not_inherited(spark, tables):
+    import dataclasses
+    assert tables.station_fits(250_000)
+    big = dataclasses.replace(tables, station=tables.station)
+    assert big._fits == {} and big.station_fits(10) is False and tables.station_fits(250_000)
