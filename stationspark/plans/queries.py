@@ -140,7 +140,7 @@ def _count_days(rows: DataFrame, month: int | None) -> DataFrame:
 def _with_month(rows: DataFrame, month: int | None) -> DataFrame:
     # The day number carries the month; derive it for the all-months count.
     return rows if month is not None else rows.withColumn(
-        MONTH, (F.col("YearMonthDay") / 100 % 100).cast(T.IntegerType()))
+        MONTH, (F.floor(F.col("YearMonthDay") / 100) % 100).cast(T.IntegerType()))
 
 
 def anomalous_days_count(tables: WeatherTables, month: int | None, **kw) -> DataFrame:
