@@ -43,23 +43,23 @@ def mean_by_station_group(fact: DataFrame, value: Column, side: DataFrame, keys=
     * otherwise: reduce facts to per-station partials first, join those
       (bounded by stations x keys) by shuffle, then combine.
 
-    ``all_keys`` (only without ``attrs``) lists key rows that must appear in
-    the output even without data; they enter the same aggregation as rows
-    without a value, so no extra join is needed.  Their value is null.
+    ``all_keys`` lists ``(*attrs, *keys)`` rows that must appear in the
+    output even without data; they enter the same aggregation as rows without
+    a value, so no extra join is needed.  Their value is null.
     """
     how = "inner" if attrs else "left_semi"
-    if all_keys is not None and attrs:
-        raise ValueError("all_keys is only supported without attrs")
     if broadcast:
         rows = fact.join(F.broadcast(side), "WBAN", how).select(
             *attrs, *keys, value.cast(T.DoubleType()).alias("_v"))
         if all_keys is not None:
-            rows = rows.unionByName(all_keys.select(*keys, F.lit(None).cast(T.DoubleType()).alias("_v")))
+            rows = rows.unionByName(all_keys.select(*attrs, *keys,
+                                                    F.lit(None).cast(T.DoubleType()).alias("_v")))
         return rows.groupBy(*attrs, *keys).agg(F.avg("_v").alias("value"))
     joined = mean_partials(fact, value, keys).join(side, "WBAN", how).drop("WBAN")
     if all_keys is not None:
         joined = joined.unionByName(all_keys.select(
-            *keys, F.lit(None).cast(T.DoubleType()).alias("v_sum"), F.lit(0).cast(T.LongType()).alias("v_n")))
+            *attrs, *keys, F.lit(None).cast(T.DoubleType()).alias("v_sum"),
+            F.lit(0).cast(T.LongType()).alias("v_n")))
     return mean_of_partials(joined, keys=(*attrs, *keys))
 
 
@@ -122,6 +122,16 @@ def hours_of_day(spark: SparkSession) -> DataFrame:
     return spark.range(0, 24, 1, 1).select(F.col("id").cast(T.IntegerType()).alias("hour"))
 
 
+def state_hours(station: DataFrame) -> DataFrame:
+    """``(State, hour)`` for every state of the dimension and hour 0..23.
+
+    Built by a generator over the distinct states (at most one row per
+    state enters it), not by a join.
+    """
+    hours = F.sequence(F.lit(0), F.lit(23)).cast("array<int>")
+    return station.select("State").distinct().select("State", F.explode(hours).alias("hour"))
+
+
 def finish_profile(profile: DataFrame, value: str = "value", fill: float = 0.0) -> DataFrame:
     """Label the hours, fill hours without a value, order by hour.
 

@@ -244,18 +244,25 @@ def hourly_profile(tables: WeatherTables, state: str, month: int,
 
 def hourly_profile_by_state(tables: WeatherTables, month: int | None,
                             metric: str = "DryBulbFarenheit", include_on_hour: bool = False,
-                            broadcast_rows: int | None = st.DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                            broadcast_rows: int | None = st.DEFAULT_BROADCAST_ROWS,
+                            complete: bool = False) -> DataFrame:
     """Grouped Q6: ``(State, hour, label, value)`` for each hour that has readings.
 
-    With ``month=None`` the month becomes a key too:
+    With ``complete`` every state of the dimension gets all 24 hours (0.0
+    where it has no value), as the single-state form does.  With
+    ``month=None`` the month becomes a key too:
     ``(State, month, hour, label, value)`` for every month in one job.
     """
+    if complete and month is None:
+        raise ValueError("complete profiles need a month")
     rows = _hourly_rows(tables, month, metric, None, include_on_hour)
     keys = ("hour",) if month is not None else (MONTH, "hour")
     side = tables.station.select("WBAN", "State")
+    seeds = agg.state_hours(tables.station) if complete else None
     means = agg.mean_by_station_group(rows, clean.metric(metric), side, keys=keys,
                                       attrs=("State",),
-                                      broadcast=tables.station_fits(broadcast_rows))
+                                      broadcast=tables.station_fits(broadcast_rows),
+                                      all_keys=seeds)
     return means.select("State", *keys, clean.hour_label("hour").alias("label"),
                         F.coalesce(F.col("value"), F.lit(0.0)).alias("value"))
 

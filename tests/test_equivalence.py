@@ -88,3 +88,13 @@ def test_counts_by_month_match_single_months(tables):
     agri = {r.month: r.n_days for r in q.agri_days_count(tables, None).collect()}
     assert agri.get(6, 0) == q.agri_days_count(tables, 6).first().n_days == 59
     assert q.anomalous_days(tables, None).count() == sum(by_month.values())
+
+
+def test_complete_grouped_profile_matches_single_profiles(tables):
+    for rows_bound in (st.DEFAULT_BROADCAST_ROWS, None):
+        full = q.hourly_profile_by_state(tables, 1, complete=True, broadcast_rows=rows_bound)
+        n_states = tables.station.select("State").distinct().count()
+        assert full.count() == 24 * n_states
+        mine = sorted((r.hour, r.label, r.value) for r in full.filter(F.col("State") == STATE).collect())
+        single = sorted((r.hour, r.label, r.value) for r in q.hourly_profile(tables, STATE, 1).collect())
+        assert mine == single
