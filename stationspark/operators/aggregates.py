@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationspark.functions.clean import hour_label
+from stationspark.operators import stations as st
 
 STATION_ATTRS = ("Location", "Latitude", "Longitude")
 
@@ -39,7 +40,8 @@ def mean_by_station_group(fact: DataFrame, value: Column, side: DataFrame, keys=
 
     * ``broadcast`` (the side's size is proven): join map-side and aggregate
       fact rows straight by the output keys; each task ships one partial row
-      per output group.
+      per output group.  Attributes travel as an integer group code
+      (:func:`stations.group_codes`) and are named after the aggregation.
     * otherwise: reduce facts to per-station partials first, join those
       (bounded by stations x keys) by shuffle, then combine.
 
@@ -48,13 +50,23 @@ def mean_by_station_group(fact: DataFrame, value: Column, side: DataFrame, keys=
     a value, so no extra join is needed.  Their value is null.
     """
     how = "inner" if attrs else "left_semi"
+    if broadcast and attrs:
+        # Group fact rows on an integer code of the attributes, then name them.
+        per_station, per_group = st.group_codes(side, attrs)
+        rows = fact.join(F.broadcast(per_station), "WBAN").select(
+            "_code", *keys, value.cast(T.DoubleType()).alias("_v"))
+        if all_keys is not None:
+            same = [all_keys[a].eqNullSafe(per_group[a]) for a in attrs]
+            rows = rows.unionByName(all_keys.join(per_group, same).select(
+                "_code", *keys, F.lit(None).cast(T.DoubleType()).alias("_v")))
+        means = rows.groupBy("_code", *keys).agg(F.avg("_v").alias("value"))
+        return means.join(F.broadcast(per_group), "_code").select(*attrs, *keys, "value")
     if broadcast:
         rows = fact.join(F.broadcast(side), "WBAN", how).select(
-            *attrs, *keys, value.cast(T.DoubleType()).alias("_v"))
+            *keys, value.cast(T.DoubleType()).alias("_v"))
         if all_keys is not None:
-            rows = rows.unionByName(all_keys.select(*attrs, *keys,
-                                                    F.lit(None).cast(T.DoubleType()).alias("_v")))
-        return rows.groupBy(*attrs, *keys).agg(F.avg("_v").alias("value"))
+            rows = rows.unionByName(all_keys.select(*keys, F.lit(None).cast(T.DoubleType()).alias("_v")))
+        return rows.groupBy(*keys).agg(F.avg("_v").alias("value"))
     joined = mean_partials(fact, value, keys).join(side, "WBAN", how).drop("WBAN")
     if all_keys is not None:
         joined = joined.unionByName(all_keys.select(

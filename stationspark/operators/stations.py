@@ -10,7 +10,7 @@ so the shuffled join input is bounded by the number of stations.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Largest station side we broadcast: 5 narrow columns, well below 100 MB.
@@ -74,3 +74,18 @@ def attach_station(df: DataFrame, station: DataFrame, state: str | None = None,
     if columns is not None:
         side = side.select("WBAN", *[c for c in columns if c != "WBAN"])
     return df.join(_side(side, broadcast), "WBAN", how)
+
+
+def group_codes(side: DataFrame, attrs) -> tuple[DataFrame, DataFrame]:
+    """One INT code per group of station attributes (e.g. per ``State``).
+
+    The code of a group is the smallest WBAN in it: deterministic (so every
+    use and every recomputation agrees) and unique, since each station
+    belongs to exactly one group.  Returns ``(WBAN, _code)`` per station and
+    ``(_code, *attrs)`` per group.  Fact rows can then be grouped on an
+    integer instead of carrying and hashing the attribute text.
+    """
+    code = F.min("WBAN").over(Window.partitionBy(*attrs))
+    per_station = side.select("WBAN", code.alias("_code"))
+    per_group = side.groupBy(*attrs).agg(F.min("WBAN").alias("_code"))
+    return per_station, per_group
