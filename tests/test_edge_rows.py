@@ -116,3 +116,14 @@ def test_monthly_avg_temperature(make_tables):
 def test_station_ids_distinct(make_tables):
     t = make_tables(STATIONS + [(1, "AA", "Alpha again", 30.0, -80.0)])
     assert sorted(r.WBAN for r in q.station_ids(t, "AA").collect()) == [1, 2, 4]
+
+
+def test_grouped_mean_keeps_null_state_group_in_both_plans(make_tables):
+    stations = STATIONS + [(7, None, "Nowhere", 0.0, 0.0), (8, None, "Nowhere 2", 0.0, 0.0)]
+    t = make_tables(stations, monthly=[(1, 201301, "50", 1), (2, 201301, "70", 1), (7, 201301, "10", 1),
+                                       (8, 201301, "20", 1), (3, 201301, "M", 1)])
+    want = {("AA", 1): 60.0, (None, 1): 15.0, ("BB", 1): None}
+    for bound in (250_000, None):
+        got = {(r.State, r.month): r.value for r in
+               q.station_metric_avg_by_state_month(t, 1, 1, broadcast_rows=bound).collect()}
+        assert got == want
