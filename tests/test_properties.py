@@ -1,4 +1,4 @@
-"""Property tests: random daily rows against a plain-Python model of each question."""
+"""Property tests: random daily and hourly rows against a plain-Python model of each question."""
 
 from __future__ import annotations
 
@@ -112,3 +112,25 @@ def test_extrema_and_mean_model(make_tables, rows):
             assert math.isclose(mean, sum(v for v, _ in vals) / len(vals), rel_tol=1e-12)
         else:
             assert mean is None
+
+
+hour_row = st.tuples(st.integers(1, 8),                                   # WBAN (7, 8: no station)
+                     st.sampled_from([0, 1, 59, 100, 101, 159, 200, 1230, 2300, 2359, 2400, 2459]),
+                     st.sampled_from(TOKENS),
+                     st.sampled_from([1, 1, 2]))
+
+
+@SETTINGS
+@given(st.lists(hour_row, max_size=40))
+def test_hourly_profile_model(make_tables, rows):
+    t = make_tables(STATIONS, hourly=[(w, 20130101, tm, v, m) for w, tm, v, m in rows])
+    in_aa = {w for w, s, *_ in STATIONS if s == "AA"}
+    sums: dict[int, list[float]] = {}
+    for w, tm, v, m in rows:
+        if m == 1 and w in in_aa and 0 < tm < 2400 and tm % 100 != 0 and num(v) is not None:
+            sums.setdefault(tm // 100, []).append(num(v))
+    want = [(h, sum(sums[h]) / len(sums[h]) if h in sums else 0.0) for h in range(24)]
+    for bound in (10, None):
+        got = [(r.hour, r.value) for r in q.hourly_profile(t, "AA", 1, broadcast_rows=bound).collect()]
+        assert [h for h, _ in got] == list(range(24))
+        assert all(math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-12) for (_, a), (_, b) in zip(got, want))
