@@ -1,4 +1,4 @@
-"""Station dimension operators: membership by state, attribute joins, dedup.
+"""Station dimension operators: membership by state, attribute joins, dedup, group codes.
 
 Broadcast policy: a station side is broadcast only after ``row_count_at_most``
 has proven a row bound (a limited count), normally once per loaded dimension
