@@ -6,7 +6,6 @@ Library functions never create or stop a session: the caller owns it.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,29 +34,26 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared folder named by ``spark.checkpoint.dir``.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder for written intermediate tables, shared by driver and executors.
 
-    On a cluster the setting names a shared file system and is only read.
-    A private folder is created only where it is unset (local tests).
+    ``spark.checkpoint.dir`` where the session names one (on a cluster it
+    must).  Where it is unset, as in a plain local session, a folder below
+    the warehouse, which every node of a session sees as well.  The setting
+    is only ever read: Spark refuses to change it at run time.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="stationspark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
-    return current
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    base = named or spark.sparkContext.getCheckpointDir() or (
+        spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch")
+    return base.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/stationspark/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique path below the shared folder."""
+    return f"{shared_dir(spark)}/stationspark/{name}-{uuid.uuid4().hex}"
 
 
 def local_path(path: str) -> str:
@@ -65,4 +61,4 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "local_path"]
+__all__ = ["build_session", "shared_dir", "scratch_path", "local_path"]

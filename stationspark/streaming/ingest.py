@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from stationspark.session import ensure_checkpoint_dir
 from stationspark.sources.readers import header_schema, month_of_path, separator
 from stationspark.sources.schemas import KINDS, PARTITION_COLUMN
 
@@ -42,10 +41,10 @@ def month_file_stream(spark: SparkSession, raw_root: str, kind: str,
     return rows.withColumn(PARTITION_COLUMN, month_of_path(kind))
 
 
-def default_checkpoint(spark: SparkSession, out_root: str, kind: str) -> str:
-    """Checkpoint below the shared ``spark.checkpoint.dir``, one per output table."""
-    name = out_root.rstrip("/").replace("/", "_").replace(":", "_")
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stationspark-ingest/{name}/{kind}"
+def default_checkpoint(out_root: str, kind: str) -> str:
+    """Checkpoint beside the output table it belongs to: removing the output
+    removes its progress too, and no two outputs can share one."""
+    return f"{out_root.rstrip('/')}/_checkpoints/{kind}"
 
 
 def start_ingest(spark: SparkSession, raw_root: str, kind: str, out_root: str,
@@ -56,7 +55,7 @@ def start_ingest(spark: SparkSession, raw_root: str, kind: str, out_root: str,
     stream = month_file_stream(spark, raw_root, kind, schema, max_files_per_trigger)
     writer = (stream.writeStream.format("parquet")
               .partitionBy(PARTITION_COLUMN)
-              .option("checkpointLocation", checkpoint or default_checkpoint(spark, out_root, kind))
+              .option("checkpointLocation", checkpoint or default_checkpoint(out_root, kind))
               .outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start(f"{out_root.rstrip('/')}/{kind}")

@@ -12,7 +12,7 @@ if ROOT not in sys.path:
 from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
-from stationspark.session import DEFAULT_CONF, ensure_checkpoint_dir  # noqa: E402
+from stationspark.session import DEFAULT_CONF  # noqa: E402
 from stationspark.sources import fixtures, schemas  # noqa: E402
 from stationspark.sources.tables import WeatherTables  # noqa: E402
 
@@ -26,7 +26,6 @@ def spark():
         builder = builder.config(key, value)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(session)
     yield session
 
 
