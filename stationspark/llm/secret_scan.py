@@ -185,8 +185,10 @@ def digest(found: DataFrame, rules=RULES, base=BASE) -> DataFrame:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(
             ":", F.get(kinds, s["place"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
-    counts = [F.size(F.filter("spans", lambda s, i=i: s["place"] == i)).cast("long").alias(f"n_{r.kind}")
-              for i, r in enumerate(base)]
+    def count(place: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["place"] == place)).cast("long")
+
+    counts = [count(i).alias(f"n_{r.kind}") for i, r in enumerate(base)]
     of_base = F.filter("spans", lambda s: s["place"] < len(base))
     return found.select("doc_id", *counts, F.sha2(joined(of_base), 256).alias("base_sha256"),
                         joined(F.col("spans")).alias("spans"))
