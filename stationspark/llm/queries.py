@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationspark.llm import exact_dedup, fingerprints, oracle, secret_scan
-from stationspark.llm.shared import read_table
+from stationspark.llm import exact_dedup, fingerprints, oracle, packing, secret_scan, token_output
+from stationspark.llm.shared import read_table, workers_can_import
 
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,12 +20,32 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.round_trip(read_table(spark, sf_dir, "documents"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(read_table(spark, sf_dir, "documents")))
 
 
+QUERIES = (op2_fingerprints, op5_exact_dedup, op7_token_planes, op8_packing, op10_secret_scan)
+
+
+def _ready(query: Callable) -> Callable:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        workers_can_import(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_fingerprints, op5_exact_dedup, op10_secret_scan)}
+    return {q.__name__: _ready(q) for q in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,3 +41,17 @@ def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once per row."""
     return F.transform(F.array(value), body)[0]
+
+
+def workers_can_import(spark: SparkSession) -> None:
+    """Puts the folder that holds this package on the path of Python workers.
+
+    For sessions that were started from elsewhere on the same machine; on a
+    cluster the package is shipped with the application (``--py-files``) or
+    installed.
+    """
+    home = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if home not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [home])
