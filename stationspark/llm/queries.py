@@ -7,7 +7,16 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationspark.llm import exact_dedup, fingerprints, mixing, oracle, packing, secret_scan, token_output
+from stationspark.llm import (
+    exact_dedup,
+    fingerprints,
+    mixing,
+    oracle,
+    packing,
+    secret_scan,
+    substring_dedup,
+    token_output,
+)
 from stationspark.llm.shared import read_table, workers_can_import
 
 
@@ -19,6 +28,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(read_table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(substring_dedup.remove(read_table(spark, sf_dir, "documents")))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -36,7 +49,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(read_table(spark, sf_dir, "documents")))
 
 
-QUERIES = (op2_fingerprints, op3_mixing, op5_exact_dedup, op7_token_planes, op8_packing, op10_secret_scan)
+QUERIES = (op2_fingerprints, op3_mixing, op4_substring_dedup, op5_exact_dedup, op7_token_planes, op8_packing,
+           op10_secret_scan)
 
 
 def _ready(query: Callable) -> Callable:
