@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stationspark.llm import (
     exact_dedup,
     fingerprints,
+    jaccard_join,
     mixing,
     oracle,
     packing,
@@ -45,12 +46,16 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(read_table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(read_table(spark, sf_dir, "documents")))
 
 
 QUERIES = (op2_fingerprints, op3_mixing, op4_substring_dedup, op5_exact_dedup, op7_token_planes, op8_packing,
-           op10_secret_scan)
+           op9_jaccard_join, op10_secret_scan)
 
 
 def _ready(query: Callable) -> Callable:
