@@ -17,6 +17,7 @@ from stationspark.llm import (
     secret_scan,
     substring_dedup,
     token_output,
+    toxicity,
 )
 from stationspark.llm.shared import read_table, workers_can_import
 
@@ -38,6 +39,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op7_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.round_trip(read_table(spark, sf_dir, "documents"))
 
@@ -54,7 +59,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(read_table(spark, sf_dir, "documents")))
 
 
-QUERIES = (op2_fingerprints, op3_mixing, op4_substring_dedup, op5_exact_dedup, op7_token_planes, op8_packing,
+QUERIES = (op2_fingerprints, op3_mixing, op4_substring_dedup, op5_exact_dedup, op6_toxicity, op7_token_planes, op8_packing,
            op9_jaccard_join, op10_secret_scan)
 
 
