@@ -11,6 +11,7 @@ from stationspark.llm import (
     exact_dedup,
     fingerprints,
     jaccard_join,
+    language_id,
     mixing,
     oracle,
     packing,
@@ -22,6 +23,19 @@ from stationspark.llm import (
 from stationspark.llm.shared import read_table, workers_can_import
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents: declared language, source as host; the text model learns from pages too."""
+    docs = language_id.from_documents(read_table(spark, sf_dir, "documents"))
+    pages = language_id.from_pages(read_table(spark, sf_dir, "pages"))
+    return language_id.identify(docs, docs.unionByName(pages)).withColumnRenamed("id", "doc_id")
+
+
+def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages: markup language, host and address suffix."""
+    pages = language_id.from_pages(read_table(spark, sf_dir, "pages"))
+    return language_id.identify(pages).withColumnRenamed("id", "page_id")
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_edits(read_table(spark, sf_dir, "documents"))
 
@@ -59,7 +73,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(read_table(spark, sf_dir, "documents")))
 
 
-QUERIES = (op2_fingerprints, op3_mixing, op4_substring_dedup, op5_exact_dedup, op6_toxicity, op7_token_planes, op8_packing,
+QUERIES = (op1_language_id, language_id_pages, op2_fingerprints, op3_mixing, op4_substring_dedup, op5_exact_dedup, op6_toxicity, op7_token_planes, op8_packing,
            op9_jaccard_join, op10_secret_scan)
 
 
