@@ -13,7 +13,8 @@
    its documents r times and, once more, those that lie before the rest in
    the permuted order.  The words still missing there are filled in
    ``FILL_ROUNDS`` rounds, each with the source's largest document that fits
-   and is not yet taken ``MOST`` times.
+   and is not yet taken ``MOST`` times; the last one may go over the target
+   if that comes nearer to it.
    The words of a source in this order, repeats after each other, form blocks
    of ``BLOCK_WORDS``.
 4. ``splitting_tree``: the blocks of all sources are dealt to output shards.
@@ -124,8 +125,13 @@ def drawn(rows: DataFrame) -> DataFrame:
         free = rows.filter((F.col("whole") + F.col("more").cast("long") < MOST) & (F.col("size") > 0))
         if filled is not None:
             free = free.join(filled.select("source_no", "start"), ["source_no", "start"], "left_anti")
-        best = (free.join(gaps, "source_no").filter("size <= gap").groupBy("source_no")
-                .agg(F.max(F.struct("size", "start")).alias("best")).select("source_no", "best.start", "best.size"))
+        last = k == FILL_ROUNDS - 1
+        # the last one may go over, if that comes nearer
+        fits = F.col("size") < 2 * F.col("gap") if last else F.col("size") <= F.col("gap")
+        off = F.abs(F.col("gap") - F.col("size"))
+        best = (free.join(gaps, "source_no").filter(fits).groupBy("source_no")
+                .agg(F.min(F.struct(off.alias("off"), "start", "size")).alias("best"))
+                .select("source_no", "best.start", "best.size"))
         filled = stored(best if filled is None else filled.unionByName(best), f"mix-fill{k}")
     rows = rows.join(filled.select("source_no", "start", F.col("size").alias("size"), F.lit(True).alias("fills")),
                      ["source_no", "start", "size"], "left")
