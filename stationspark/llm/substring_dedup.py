@@ -3,6 +3,9 @@
 A passage of ``WINDOW`` (50) words is removed where its words also start a
 window in a document of smaller id.
 
+Whole copies.  Of documents with one text, the one of the smallest id goes
+on; every window of the others starts in it too.
+
 Level 25.  Not every run of 25 words is looked at: of the runs inside a window
 of 50, the one with the smallest hash (the leftmost of equal ones) is its
 anchor.  Equal windows have equal anchors at equal places, so a window can
@@ -11,14 +14,17 @@ here; about one word in thirteen starts an anchor.
 
 Level 50.  The windows of a repeated anchor are neighbours.  Anchors whose
 windows are equal all together form a class; in all but the documents of its
-smallest id, every window of the class repeats.  So only the windows of
-those go on to be compared one by one, however many copies there are.
+smallest id, every window of the class repeats.  Only where an anchor has
+several classes, the windows of those smallest documents go on to be compared
+one by one, however many copies there are.
 
 Levels 100, 200, ...  An anchor that repeats at one length is extended to
 twice that length, to the right, until none repeats.  The longest length per
 document is given as ``longest``; what is removed is decided at 50.
 
 ``remove`` covers the words of all repeated windows and gives what is left.
+Texts travel compressed; they are moved twice, to their anchors that repeat
+and to what is to be removed.
 
 Defined results: words are runs without ASCII white space; a null text has
 none; texts of fewer than 50 words stay whole; a repeated row is not smaller
@@ -30,9 +36,11 @@ ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,10 +50,9 @@ from stationspark.llm.shingles import Runs, hashed
 WINDOW = 50
 BASE = WINDOW // 2
 
-ANCHORS = "doc_id long, th long, at int, h long"
+ANCHORS = "doc_id long, at int, h long"
 SPANS = ("doc_id long, th long, at int, first int, last int, h long, span long, windows array<long>, "
          "longer array<long>")
-FLAGS = "doc_id long, th long, first int, last int"
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -54,6 +61,24 @@ def _texts(docs: DataFrame) -> DataFrame:
     return rows.withColumn("th", F.xxhash64("text"))
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    packer = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        packed = [packer.compress(t.as_buffer()) for t in batch.column("text")]
+        yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "th": batch.column("th"),
+                                          "packed": pa.array(packed, pa.binary())})
+
+
+def _packed(texts: DataFrame) -> DataFrame:
+    """The texts compressed, for the way through a shuffle."""
+    return texts.mapInArrow(_pack, "doc_id long, th long, packed binary")
+
+
+def _unpacked(column: pa.Array) -> list[bytes]:
+    unpacker = zstandard.ZstdDecompressor()
+    return [unpacker.decompress(p.as_buffer()) for p in column]
+
+
 def _anchor_of_windows(runs: Runs) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the base runs, and the start of each window's anchor."""
     base = runs.all(BASE)
@@ -61,27 +86,26 @@ def _anchor_of_windows(runs: Runs) -> tuple[np.ndarray, np.ndarray]:
     return base, np.arange(len(inside)) + inside.argmin(axis=1)
 
 
-def _batch(columns: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({k: pa.array(np.concatenate(v) if v else [], t) for k, (v, t) in columns.items()})
-
-
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        doc_ids, ths = batch.column("doc_id").to_pylist(), batch.column("th").to_pylist()
-        out = {"doc_id": ([], pa.int64()), "th": ([], pa.int64()), "at": ([], pa.int32()), "h": ([], pa.int64())}
+        doc_ids = batch.column("doc_id").to_pylist()
+        owner, at, h = [], [], []
         for i, words in hashed(batch.column("text")):
             if len(words) < WINDOW or doc_ids[i] is None:
                 continue
             base, anchors = _anchor_of_windows(Runs(words))
-            at = np.unique(anchors)
-            for name, value in (("doc_id", np.full(len(at), doc_ids[i])), ("th", np.full(len(at), ths[i])),
-                                ("at", at), ("h", _signed(base[at]))):
-                out[name][0].append(value)
-        yield _batch(out)
+            here = np.unique(anchors)
+            owner.append(np.full(len(here), doc_ids[i]))
+            at.append(here)
+            h.append(_signed(base[here]))
+        if owner:
+            yield pa.RecordBatch.from_pydict({"doc_id": pa.array(np.concatenate(owner), pa.int64()),
+                                              "at": pa.array(np.concatenate(at), pa.int32()),
+                                              "h": pa.array(np.concatenate(h), pa.int64())})
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,11 +115,14 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out: list[list] = [[] for _ in names]
         doc_ids, ths, places = (batch.column(c).to_pylist() for c in ("doc_id", "th", "places"))
-        for i, words in hashed(batch.column("text")):
+        for i, words in hashed(pa.array(_unpacked(batch.column("packed")), pa.binary())):
             runs = Runs(words)
+            if runs.n < WINDOW:
+                continue
             base, anchors = _anchor_of_windows(runs)
             windows = _signed(runs.all(WINDOW))
-            at = np.unique(np.array(places[i]))
+            # places of another text of this id may be among them
+            at = np.intersect1d(places[i], anchors)
             first = np.searchsorted(anchors, at)
             last = np.searchsorted(anchors, at, side="right") - 1
             spans = _signed(runs.of(first, last + WINDOW))
@@ -120,30 +147,41 @@ def _repeated(rows: DataFrame, keys: list[str], name: str = "least") -> DataFram
             .filter(F.col(name) < F.col("greatest")).drop("greatest"))
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
+def whole_copies(docs: DataFrame) -> DataFrame:
+    """``(doc_id, th, least, greatest)``: a row for each document, with the
+    smallest and the greatest id of those that have its text."""
+    texts = _texts(docs).filter("doc_id is not null").select("doc_id", "th", F.xxhash64("text", F.lit(1)).alias("th2"))
+    texts = stored(texts, "text-hashes")
+    same = texts.groupBy("th", "th2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("greatest"))
+    return stored(texts.join(same, ["th", "th2"]).select("doc_id", "th", "least", "greatest"), "whole-copies")
+
+
+def repeated_spans(docs: DataFrame, copies: DataFrame) -> DataFrame:
     """Level 25: the anchors that occur in several documents, each with its
     windows of 50 words and the hashes of its extensions."""
     texts = _texts(docs)
-    anchors = stored(texts.mapInArrow(_anchors, ANCHORS), "anchors")
+    anchors = texts.select("doc_id", "text").mapInArrow(_anchors, ANCHORS)
     places = (anchors.join(_repeated(anchors, ["h"]).select("h"), "h")
-              .groupBy("doc_id", "th").agg(F.collect_list("at").alias("places")))
-    found = texts.join(places, ["doc_id", "th"]).select("doc_id", "th", "text", "places")
-    return stored(found.mapInArrow(_spans, SPANS), "anchor-spans")
+              .groupBy("doc_id").agg(F.collect_list("at").alias("places")))
+    first = copies.filter("doc_id = least").select("doc_id", "th").distinct()
+    found = _packed(texts).join(places.join(first, "doc_id"), ["doc_id", "th"])
+    return stored(found.select("doc_id", "th", "packed", "places").mapInArrow(_spans, SPANS), "anchor-spans")
 
 
 def repeated_windows(spans: DataFrame) -> DataFrame:
     """Level 50: ``(doc_id, th, first, last)``, ranges of starts of windows
     that a document of smaller id has too."""
     same = ["h", "span", "before", "after"]
-    spans = spans.select("doc_id", "th", "first", "last", "at", "h", "span", "windows",
-                         (F.col("at") - F.col("first")).alias("before"), (F.col("last") - F.col("at")).alias("after"))
-    least = spans.groupBy(*same).agg(F.min("doc_id").alias("least"))
-    classed = stored(spans.join(least, same), "span-classes")
-    whole = classed.filter("doc_id > least").select("doc_id", "th", "first", "last")
-    single = classed.filter("doc_id = least").select(
-        "doc_id", "th", "h", "first", "before", F.posexplode("windows").alias("nth", "window")).select(
-        "doc_id", "th", (F.col("first") + F.col("nth")).alias("first"), "h",
-        (F.col("before") - F.col("nth")).alias("place"), "window")
+    spans = spans.withColumns({"before": F.col("at") - F.col("first"), "after": F.col("last") - F.col("at")})
+    classes = stored(spans.groupBy(*same).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("greatest")), "span-classes")
+    whole = (spans.select("doc_id", "th", "first", "last", *same)
+             .join(classes.filter("least < greatest").select("least", *same), same).filter("doc_id > least")
+             .select("doc_id", "th", "first", "last"))
+    several = classes.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
+    single = (spans.join(classes.join(several, "h").select("least", *same), same).filter("doc_id = least")
+              .select("doc_id", "th", "h", "first", "before", F.posexplode("windows").alias("nth", "window"))
+              .select("doc_id", "th", (F.col("first") + F.col("nth")).alias("first"), "h",
+                      (F.col("before") - F.col("nth")).alias("place"), "window"))
     key = ["h", "place", "window"]
     part = (single.join(_repeated(single, key), key).filter("doc_id > least")
             .select("doc_id", "th", "first", F.col("first").alias("last")))
@@ -151,52 +189,65 @@ def repeated_windows(spans: DataFrame) -> DataFrame:
 
 
 def longest_repeats(spans: DataFrame) -> DataFrame:
-    """Levels 50, 100, ...: the longest length at which an anchor of the
-    document, extended to the right, occurs in another document."""
-    live, found, length, level = spans.select("doc_id", "th", "longer"), None, WINDOW, 0
+    """Levels 50, 100, ...: ``(doc_id, th, longest)``, a row for each length at
+    which an anchor of the document, extended to the right, occurs in another."""
+    found, before, length, level = [], None, WINDOW, 0
     while True:
-        rows = live.withColumn("h", F.get("longer", F.lit(level))).filter(F.col("h").isNotNull())
-        live = stored(rows.join(_repeated(rows, ["h"]).select("h"), "h").drop("h"), f"level{length}")
-        if live.isEmpty():
-            return found if found is not None else live.select("doc_id", "th", F.lit(BASE).alias("longest"))
-        here = live.select("doc_id", "th").distinct().withColumn("longest", F.lit(length))
-        found = here if found is None else found.unionByName(here)
+        rows = spans.select("doc_id", "th", F.get("longer", F.lit(level)).alias("h"),
+                            F.get("longer", F.lit(level - 1)).alias("half")).filter("h is not null")
+        if before is not None:
+            rows = rows.join(before.withColumnRenamed("h", "half"), "half", "left_semi")
+        before = stored(_repeated(rows, ["h"]).select("h"), f"level{length}")
+        if before.isEmpty():
+            return reduce(DataFrame.unionByName, found) if found else before.select(
+                F.col("h").alias("doc_id"), F.col("h").alias("th"), F.lit(WINDOW).alias("longest"))
+        here = rows.join(before, "h", "left_semi").select("doc_id", "th").distinct()
+        found.append(stored(here.withColumn("longest", F.lit(length)), f"found{length}"))
         length, level = 2 * length, level + 1
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        n_words, n_removed, kept = [], [], []
-        for text, ranges in zip(batch.column("text").to_pylist(), batch.column("ranges").to_pylist()):
-            words = text.encode().split()
-            gone = 0
-            if ranges:
-                steps = np.zeros(len(words) + 1, dtype=np.int64)
+        n_words, n_removed, kept, longest = [], [], [], []
+        for text, ranges, copied, later, found in zip(_unpacked(batch.column("packed")), *(
+                batch.column(c).to_pylist() for c in ("ranges", "copied", "later", "longest"))):
+            words = text.split()
+            n, left = len(words), words
+            if later and n >= WINDOW:
+                left = []
+            elif ranges:
+                steps = np.zeros(n + 1, dtype=np.int64)
                 np.add.at(steps, [r["first"] for r in ranges], 1)
                 np.add.at(steps, [r["last"] + WINDOW for r in ranges], -1)
-                stays = np.cumsum(steps[:-1]) == 0
-                gone = len(words) - int(stays.sum())
-                n_words.append(len(words))
-                words = [w for w, s in zip(words, stays) if s]
-            else:
-                n_words.append(len(words))
-            n_removed.append(gone)
-            kept.append(b" ".join(words))
+                left = [w for w, s in zip(words, (np.cumsum(steps[:-1]) == 0).tolist()) if s]
+            while copied and 2 * found <= n and (found or n >= WINDOW):
+                found = 2 * found or WINDOW         # a copy repeats at its whole length
+            n_words.append(n)
+            n_removed.append(n - len(left))
+            kept.append(b" ".join(left))
+            longest.append(found)
         yield pa.RecordBatch.from_pydict({
             "doc_id": batch.column("doc_id"), "n_words": pa.array(n_words, pa.int64()),
             "n_removed": pa.array(n_removed, pa.int64()), "kept": pa.array(kept, pa.binary()).cast(pa.string()),
-            "longest": batch.column("longest")})
+            "longest": pa.array(longest, pa.int32())})
 
 
 def remove(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_words, n_removed, kept, longest)`` of every document."""
-    spans = repeated_spans(docs)
-    ranges = repeated_windows(spans).groupBy("doc_id", "th").agg(
-        F.collect_list(F.struct("first", "last")).alias("ranges"))
-    longest = longest_repeats(spans).groupBy("doc_id", "th").agg(F.max("longest").cast("int").alias("longest"))
-    rows = _texts(docs).join(ranges, ["doc_id", "th"], "left").join(longest, ["doc_id", "th"], "left")
-    return rows.select("doc_id", "text", "ranges", F.coalesce("longest", F.lit(0)).alias("longest")).mapInArrow(
-        _kept, "doc_id long, n_words long, n_removed long, kept string, longest int")
+    copies = whole_copies(docs)
+    spans = repeated_spans(docs, copies)
+    facts = (repeated_windows(spans).select("doc_id", "th", F.struct("first", "last").alias("range"))
+             .unionByName(longest_repeats(spans), allowMissingColumns=True)
+             .unionByName(copies.filter("least < greatest").select("doc_id", "th", F.lit(True).alias("copied"),
+                                                           (F.col("doc_id") > F.col("least")).alias("later")),
+                          allowMissingColumns=True))
+    facts = facts.groupBy("doc_id", "th").agg(
+        F.collect_list("range").alias("ranges"), F.max("longest").alias("longest"),
+        F.bool_or("copied").alias("copied"), F.bool_or("later").alias("later"))
+    rows = _packed(_texts(docs)).join(facts, ["doc_id", "th"], "left").select(
+        "doc_id", "packed", "ranges", F.coalesce("copied", F.lit(False)).alias("copied"),
+        F.coalesce("later", F.lit(False)).alias("later"), F.coalesce("longest", F.lit(0)).alias("longest"))
+    return rows.mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept string, longest int")
 
 
 def digest(removed: DataFrame) -> DataFrame:
