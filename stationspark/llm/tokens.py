@@ -12,11 +12,14 @@ the string of a special token is encoded whole.
 from __future__ import annotations
 
 import os
+import re
 import struct
 from functools import lru_cache
 
-#: Parts whose ids a worker keeps, twice: those met lately and those before.
-KEPT_PARTS = 400_000
+#: Parts whose ids a worker keeps, twice: those met lately and those before;
+#: and pieces of parts, likewise.
+KEPT_PARTS = 500_000
+KEPT_PIECES = 100_000
 #: A part of more characters is not kept.
 LONG_PART = 64
 
@@ -26,6 +29,8 @@ _VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _HIDDEN = [b for b in range(256) if b not in _VISIBLE]
 _AS_WRITTEN = {b: chr(256 + i) for i, b in enumerate(_HIDDEN)}
 _CLOSING = ".,;:!?"
+# A blank that white space follows: such texts take the careful way.
+_BLANKS = re.compile(r" \s")
 
 
 class Encoder:
@@ -44,6 +49,8 @@ class Encoder:
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._lately: dict[str, bytes] = {}
         self._before: dict[str, bytes] = {}
+        self._after_blank: dict[str, bytes] = {}
+        self._after_before: dict[str, bytes] = {}
 
     def _of_pretoken(self, written: str) -> bytes:
         ids = [t.id for t in self._model.tokenize(written)]
@@ -62,12 +69,12 @@ class Encoder:
         return got
 
     def _of_part(self, part: str) -> bytes:
-        got = self._known(part)
-        if got is not None:
-            return got
         body = part[1:] if part[:1] == " " else part
         if body.isalpha():
             return self._of_word(part)
+        got = self._known(part)
+        if got is not None:
+            return got
         lines = part.split("\n")
         if body[-1:] in _CLOSING and body[:-1].isalpha():
             got = self._of_word(part[:-1]) + self._of_word(part[-1])
@@ -79,15 +86,28 @@ class Encoder:
         self._keep(part, got)
         return got
 
+    def _of_blank(self, word: str) -> bytes:
+        """A word that follows a blank; kept without it, for the quick way."""
+        got = self._after_before.get(word)
+        if got is None:
+            got = self._of_part(" " + word)
+        if len(word) <= LONG_PART:
+            if len(self._after_blank) >= KEPT_PARTS:
+                self._after_before, self._after_blank = self._after_blank, {}
+            self._after_blank[word] = got
+        return got
+
     def _known(self, part: str) -> bytes | None:
-        got = self._before.get(part)
-        if got is not None:
-            self._keep(part, got)
+        got = self._lately.get(part)
+        if got is None:
+            got = self._before.get(part)
+            if got is not None:
+                self._keep(part, got)
         return got
 
     def _keep(self, part: str, ids: bytes) -> None:
         if len(part) <= LONG_PART:
-            if len(self._lately) >= KEPT_PARTS:
+            if len(self._lately) >= KEPT_PIECES:
                 self._before, self._lately = self._lately, {}
             self._lately[part] = ids
 
@@ -106,8 +126,11 @@ class Encoder:
         if any(s in text for s in self._special):
             ids = self._tokenizer.encode(text, add_special_tokens=False).ids
             return struct.pack(f"<{len(ids)}I", *ids)
-        get = self._lately.get
-        return b"".join([get(p) or self._of_part(p) for p in self.parts(text)])
+        if not text or text[-1] == " " or _BLANKS.search(text):
+            return b"".join([self._of_part(p) for p in self.parts(text)])
+        words = text.split(" ")
+        get = self._after_blank.get
+        return self._of_part(words[0]) + b"".join([get(w) or self._of_blank(w) for w in words[1:]])
 
 
 @lru_cache(maxsize=2)
