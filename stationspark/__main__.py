@@ -5,8 +5,8 @@
 Layouts: ``month-files`` is ``ROOT/yyyymm/{kind}.txt`` as distributed,
 ``partitioned`` the Parquet layer written by ``ingest`` (or by
 ``sources.sinks.write_tables``), ``fixtures`` the driver's test tables.
-Results are shown (``--show N`` rows) or written as JSON lines by the
-executors (``--out PATH``); nothing unbounded is collected on the driver.
+Results are shown whole (``--show N``: the first N rows) or written as JSON
+lines by the executors (``--out PATH``), the way for large ones.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ def _tables(spark, args):
     if args.layout == "month-files":
         return readers.load_month_files(spark, args.data, year=args.year)
     if args.layout == "partitioned":
-        return readers.load_partitioned(spark, args.data)
+        return readers.load_partitioned(spark, args.data, year=args.year)
     return fixtures.load(spark, args.data)
 
 
@@ -34,7 +34,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--layout", default="month-files", choices=["month-files", "partitioned", "fixtures"])
     p.add_argument("--year", type=int, default=2013)
     p.add_argument("--master", default="local[*]")
-    p.add_argument("--show", type=int, default=50, help="rows to show")
+    p.add_argument("--show", type=int, help="show only so many rows (default: the whole result)")
     p.add_argument("--out", help="write JSON lines here instead of showing")
     sub = p.add_subparsers(dest="query", required=True)
 
@@ -46,8 +46,11 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("month", type=int, nargs="?"), s.add_argument("--offset", type=float, default=32.0)
     s = sub.add_parser("anomalous", help="Q3 anomalous days of a month")
     s.add_argument("month", type=int)
+    s.add_argument("--count", action="store_true", help="only how many")
     s = sub.add_parser("agri", help="Q4 good farming days of a month")
     s.add_argument("month", type=int), s.add_argument("--wban", type=int)
+    s.add_argument("--count", action="store_true", help="only how many")
+    s.add_argument("--stations", action="store_true", help="only the stations that have one")
     s = sub.add_parser("stations", help="Q5 station ids of a state")
     s.add_argument("state")
     s = sub.add_parser("hourly", help="Q6 hour-of-day profile")
@@ -64,6 +67,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("type_id", nargs="?", default="3")
     s = sub.add_parser("ingest", help="load new month files into the partitioned Parquet layer")
     s.add_argument("out_root")
+    s = sub.add_parser("clean", help="write the loaded tables as the clean, typed layer")
+    s.add_argument("out_root")
     return p
 
 
@@ -79,8 +84,14 @@ def _build(spark, args):
     if args.query == "monthly-temp":
         return q.monthly_avg_temperature(t, args.month, args.offset, digits=2)
     if args.query == "anomalous":
+        if args.count:
+            return q.anomalous_days_count(t, args.month)
         return q.anomalous_days_formatted(t, args.month)
     if args.query == "agri":
+        if args.count:
+            return q.agri_days_count(t, args.month, args.wban)
+        if args.stations:
+            return q.agri_days_stations(t, args.month, wban=args.wban)
         return q.agri_days_formatted(t, args.month, args.wban)
     if args.query == "stations":
         return q.station_ids(t, args.state)
@@ -98,11 +109,14 @@ def main(argv=None) -> int:
         done = ingest.ingest_available(spark, args.data, args.out_root)
         print(done)
         return 0
+    if args.query == "clean":
+        print(sinks.write_clean(_tables(spark, args), args.out_root, year=args.year))
+        return 0
     df = _build(spark, args)
     if args.out:
         sinks.write_records(df, args.out)
     else:
-        df.show(args.show, truncate=False)
+        df.show(df.count() if args.show is None else args.show, truncate=False)
     return 0
 
 

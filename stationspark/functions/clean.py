@@ -29,10 +29,24 @@ def metric(c) -> Column:
 
     ``M`` (missing), ``T`` / ``"  T"`` (trace), blanks and any other
     non-number become null; padded numbers such as ``" 0.00"`` parse.
-    ``try_cast`` keeps ANSI mode on without failing on the markers.
-    A column that is already numeric passes through unchanged.
+    ``try_cast`` keeps ANSI mode on without failing on the markers, but reads
+    ``NaN``, ``Infinity`` and type suffixes (``1d``, ``5f``) as numbers; these
+    are no readings and become null too.
     """
-    return _col(c).try_cast(T.DoubleType())
+    text = _col(c)
+    value = text.try_cast(T.DoubleType())
+    plain = ~F.lower(F.right(F.rtrim(text), F.lit(1))).isin("d", "f")
+    return F.when((F.abs(value) < F.lit(float("inf"))) & plain, value)
+
+
+def values_of(df: DataFrame):
+    """``column name -> DOUBLE``: text of the raw layer is parsed, a numeric
+    column of the clean layer is taken as it is, so that filters on it reach
+    the scan."""
+    def value(name: str) -> Column:
+        return metric(name) if isinstance(df.schema[name].dataType, T.StringType) else F.col(name)
+
+    return value
 
 
 def is_marker(c, marker: str) -> Column:

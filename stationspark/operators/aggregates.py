@@ -94,20 +94,24 @@ def extrema_partials(fact: DataFrame, value: Column, keys=()) -> DataFrame:
 
 
 def extrema_rows(partials_with_attrs: DataFrame, keys=(), attrs=STATION_ATTRS,
-                 digits: int = 2) -> DataFrame:
+                 digits: int = 2, all_keys: DataFrame | None = None) -> DataFrame:
     """Two rows per group: the station with the lowest and with the highest value.
 
     Ties go to the lowest WBAN.  ``value`` is rounded to ``digits``;
     ``difference`` is the rounded maximum minus the rounded minimum.  A group
-    without any value still yields its two rows, with nulls.
+    without any value still yields its two rows, with nulls; ``all_keys``
+    lists the groups that must appear, also without a row.
     """
-    valued = partials_with_attrs.filter(F.col("v_min").isNotNull())
+    rows = partials_with_attrs
+    if all_keys is not None:
+        rows = rows.unionByName(all_keys, allowMissingColumns=True)
     row = F.struct("WBAN", *attrs)
     wban_desc = (-F.col("WBAN").cast(T.LongType())).alias("neg_wban")
-    agg = valued.groupBy(*keys).agg(
-        F.min_by(row, F.struct("v_min", "WBAN")).alias("lo_row"),
+    valued = F.col("v_min").isNotNull()      # a null order is passed over
+    agg = rows.groupBy(*keys).agg(
+        F.min_by(row, F.when(valued, F.struct("v_min", "WBAN"))).alias("lo_row"),
         F.min("v_min").alias("lo"),
-        F.max_by(row, F.struct(F.col("v_max"), wban_desc)).alias("hi_row"),
+        F.max_by(row, F.when(valued, F.struct(F.col("v_max"), wban_desc))).alias("hi_row"),
         F.max("v_max").alias("hi"),
     )
     lo, hi = F.round("lo", digits), F.round("hi", digits)
@@ -134,22 +138,27 @@ def hours_of_day(spark: SparkSession) -> DataFrame:
     return spark.range(0, 24, 1, 1).select(F.col("id").cast(T.IntegerType()).alias("hour"))
 
 
-def state_hours(station: DataFrame) -> DataFrame:
-    """``(State, hour)`` for every state of the dimension and hour 0..23.
+def months_of_year(spark: SparkSession) -> DataFrame:
+    """The 12 months ``(month INT)``: key rows for complete results (one partition)."""
+    return spark.range(1, 13, 1, 1).select(F.col("id").cast(T.IntegerType()).alias("month"))
+
+
+def state_keys(station: DataFrame, **ranges) -> DataFrame:
+    """``(State, *ranges)`` for every state of the dimension and every value of
+    each inclusive range.
 
-    Built by a generator over the distinct states (at most one row per
-    state enters it), not by a join.
+    Built by generators over the distinct states (at most one row per state
+    enters them), not by a join.
     """
-    hours = F.sequence(F.lit(0), F.lit(23)).cast("array<int>")
-    return station.select("State").distinct().select("State", F.explode(hours).alias("hour"))
+    rows = station.select("State").distinct()
+    for name, (low, high) in ranges.items():
+        values = F.sequence(F.lit(low), F.lit(high)).cast("array<int>")
+        rows = rows.select(*rows.columns, F.explode(values).alias(name))
+    return rows
 
 
 def finish_profile(profile: DataFrame, value: str = "value", fill: float = 0.0) -> DataFrame:
-    """Label the hours, fill hours without a value, order by hour.
-
-    The profile holds 24 rows; ordering them inside one partition avoids the
-    sampling job and shuffle of a global sort.
-    """
+    """Label the hours, fill hours without a value, order by hour."""
     return (profile.select("hour", hour_label("hour").alias("label"),
                            F.coalesce(F.col(value), F.lit(float(fill))).alias(value))
-            .coalesce(1).sortWithinPartitions("hour"))
+            .orderBy("hour"))

@@ -1,7 +1,7 @@
 """Station dimension operators: membership by state, attribute joins, dedup, group codes.
 
 Broadcast policy: a station side is broadcast only after ``row_count_at_most``
-has proven a row bound (a limited count), normally once per loaded dimension
+has proven a row bound (one count), normally once per loaded dimension
 through :meth:`WeatherTables.station_fits`.  Without that
 proof the join is planned by shuffle, and aggregating queries first reduce the
 facts to per-station partials (see :mod:`stationspark.operators.aggregates`)
@@ -18,13 +18,9 @@ DEFAULT_BROADCAST_ROWS = 250_000
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    A bounded probe: every scan task stops after ``max_rows + 1`` rows (local
-    limit) and only the count of at most ``max_rows + 1`` rows reaches the
-    driver, whatever the size of ``df``.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows: one count, of which
+    every task sends a single row."""
+    return df.count() <= max_rows
 
 
 def _side(df: DataFrame, broadcast: bool) -> DataFrame:
@@ -41,15 +37,18 @@ def station_ids(station: DataFrame, state: str | None) -> DataFrame:
     return in_state(station, state).select("WBAN").distinct()
 
 
-def latest_station_rows(station_by_month: DataFrame, order_col: str = "month") -> DataFrame:
-    """One row per WBAN: the row with the greatest ``order_col``.
+def latest_station_rows(station: DataFrame, order=("year", "month")) -> DataFrame:
+    """One row per WBAN: the row of the latest file, by the columns of ``order``
+    that are there.  Of several rows in one file the greatest by its attributes
+    stays, so every load gives the same row.
 
-    Used when the station file is read for several months; the result is the
-    dimension the queries expect (unique WBAN, so joins never fan out).
+    The result is the dimension the queries expect: unique WBAN, so joins
+    never fan out.
     """
-    attrs = [c for c in station_by_month.columns if c not in ("WBAN", order_col)]
-    latest = F.max_by(F.struct(*attrs), F.col(order_col)).alias("_row")
-    return station_by_month.groupBy("WBAN").agg(latest).select("WBAN", "_row.*")
+    order = [c for c in order if c in station.columns]
+    attrs = [c for c in station.columns if c != "WBAN" and c not in order]
+    latest = F.max(F.struct(*order, *attrs)).alias("_row")
+    return station.groupBy("WBAN").agg(latest).select("WBAN", *[F.col(f"_row.{c}").alias(c) for c in attrs])
 
 
 def keep_stations(df: DataFrame, ids: DataFrame, broadcast: bool = False) -> DataFrame:

@@ -18,11 +18,12 @@ from stationspark.functions import clean, params
 from stationspark.operators import stations as st
 from stationspark.plans import queries as q
 from stationspark.session import scratch_path
-from stationspark.sources import catalog, fixtures, readers, sinks
+from stationspark.sources import catalog, fixtures, readers, schemas, sinks
 from stationspark.sources.schemas import key_columns
 from stationspark.sources.tables import WeatherTables
 
 STATE = "NATION_3"
+DAILY_BY_MONTH = schemas.by_month(schemas.DAILY)
 
 # Files written per (application, sf_dir, kind, format) and reused in-process.
 _written: dict[tuple, str] = {}
@@ -62,11 +63,11 @@ def missing_count_by_metric(tables: WeatherTables, kind: str = "daily") -> DataF
     kind = catalog.kind_of(kind)
     fact = tables.fact(kind)
     metrics = [m for m in catalog.METRICS[kind] if m in fact.columns]
-    counters = []
+    counters, value = [], clean.values_of(fact)
     for m in metrics:
         counters += [F.count_if(clean.is_marker(m, clean.MISSING)).alias(f"{m}__m"),
                      F.count_if(clean.is_marker(m, clean.TRACE)).alias(f"{m}__t"),
-                     F.count(clean.metric(m)).alias(f"{m}__v")]
+                     F.count(value(m)).alias(f"{m}__v")]
     totals = fact.agg(F.count(F.lit(1)).alias("n_rows"), *counters)
     per_metric = F.array(*[F.struct(F.lit(m).alias("metric"),
                                     F.col(f"{m}__m").alias("n_missing"),
@@ -85,7 +86,7 @@ def metric_range(tables: WeatherTables, kind: str, metric: str, month_start: int
     m0, m1 = params.check_month_range(month_start, month_end)
     fact = tables.fact(kind)
     params.check_metric(fact, kind, metric)
-    v = clean.metric(metric)
+    v = clean.values_of(fact)(metric)
     return (fact.filter(F.col("month").between(m0, m1)).groupBy("WBAN")
             .agg(F.min(v).alias("min_value"), F.max(v).alias("max_value"))
             .withColumn("value_range", F.col("max_value") - F.col("min_value")))
@@ -105,7 +106,7 @@ def _scan_csv_pipe(spark, sf_dir):
 
 def _scan_month_range(spark, sf_dir):
     root = _materialized(spark, sf_dir, "daily", "parquet")
-    daily = readers.read_partitioned(spark, root, "daily")
+    daily = readers.read_partitioned(spark, root, "daily", schema=DAILY_BY_MONTH)
     return daily.filter(F.col("month").between(2, 4))
 
 
@@ -116,7 +117,8 @@ def _scan_month_files(spark, sf_dir):
 
 def _union_months(spark, sf_dir):
     root = _materialized(spark, sf_dir, "daily", "parquet")
-    return readers.union_months([readers.read_month(spark, root, "daily", m) for m in range(1, 13)])
+    return readers.union_months([readers.read_month(spark, root, "daily", m, schema=schemas.DAILY)
+                                 for m in range(1, 13)])
 
 
 def _tables(fn: Callable[[WeatherTables], DataFrame]):

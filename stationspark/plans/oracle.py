@@ -40,12 +40,13 @@ daily AS (
 ),
 hourly AS (
   SELECT CAST(user_id AS INTEGER) AS WBAN,
-         {_YMD.format(t="ts")} AS YearMonthDay,
+         CAST(year(ts) * 10000 + m * 100 + CASE WHEN m = month(ts) THEN day(ts) ELSE least(day(ts), 28) END
+              AS INTEGER) AS YearMonthDay,
          CAST(hour(ts) * 100 + minute(ts) AS INTEGER) AS Time,
          CASE WHEN event_id % 11 = 0 THEN 'M' WHEN event_id % 37 = 0 THEN '  T'
               ELSE CAST(CAST(event_id % 90 AS INTEGER) + 10 AS VARCHAR) END AS DryBulbFarenheit,
-         CAST(month(ts) AS INTEGER) AS month
-  FROM events
+         CAST(m AS INTEGER) AS month
+  FROM (SELECT *, unnest([month(ts), (event_id // 11) % 11 + 2]) AS m FROM events)
 ),
 monthly AS (
   SELECT CAST(o_custkey % 120 AS INTEGER) AS WBAN,
@@ -95,6 +96,20 @@ def _profile(extra_where: str) -> str:
         f"FROM hourly WHERE month = 1 AND {_OFF_HOUR} AND {IN_STATE}{extra_where} GROUP BY 1)")
 
 
+def _profiles(where: str, month: str) -> str:
+    """Every state of the dimension and hour (and month), 0 where there is no value."""
+    months = "CROSS JOIN (SELECT CAST(range AS INTEGER) AS month FROM range(1, 13)) " if month else ""
+    return _sql(
+        f"SELECT State, {month}hour, CAST(hour AS VARCHAR) || ':00' AS label, "
+        "COALESCE(value, CAST(0 AS DOUBLE)) AS value FROM wanted LEFT JOIN prof "
+        f"USING (State, {month}hour)",
+        f"wanted AS (SELECT State, {month}hour FROM (SELECT DISTINCT State FROM station) {months}"
+        "CROSS JOIN (SELECT CAST(range AS INTEGER) AS hour FROM range(24)))",
+        f"prof AS (SELECT State, {month}CAST(Time // 100 AS INTEGER) AS hour, "
+        f"AVG({_num('DryBulbFarenheit')}) AS value FROM hourly JOIN station USING (WBAN) "
+        f"{where} {_OFF_HOUR} GROUP BY ALL)")
+
+
 def _extrema(table: str, metric: str, month: int, unit: str) -> str:
     return _sql(
         f"SELECT 'min' AS which, WBAN, Location, Latitude, Longitude, value, "
@@ -117,12 +132,14 @@ def _extrema_by_state(table: str = "daily", metric: str = "Tavg", month: int | N
     keys = "State" if month is not None else "State, month"
     where = f"WHERE month = {month} " if month is not None else ""
     per_keys = "WBAN" if month is not None else "WBAN, month"
-    out_keys = "mn.State" if month is not None else "mn.State, mn.month"
+    out_keys = keys
+    months = "" if month is not None else "CROSS JOIN (SELECT CAST(range AS INTEGER) AS month FROM range(1, 13)) "
     side = (f"SELECT {out_keys}, '{{w}}' AS which, {{s}}.WBAN, {{s}}.Location, {{s}}.Latitude, "
             "{s}.Longitude, ROUND({s}.{v}, 2) AS value, ROUND(mx.hi, 2) - ROUND(mn.lo, 2) AS difference, "
-            f"'{unit}' AS unit FROM mn JOIN mx USING ({keys})")
+            f"'{unit}' AS unit FROM wanted LEFT JOIN mn USING ({keys}) LEFT JOIN mx USING ({keys})")
     return _sql(
         side.format(w="min", s="mn", v="lo") + " UNION ALL " + side.format(w="max", s="mx", v="hi"),
+        f"wanted AS (SELECT * FROM (SELECT DISTINCT State FROM station) {months})",
         f"per AS (SELECT {per_keys}, MIN({_num(metric)}) AS lo, MAX({_num(metric)}) AS hi "
         f"FROM {table} {where}GROUP BY {per_keys})",
         "j AS (SELECT per.*, s.State, s.Location, s.Latitude, s.Longitude "
@@ -133,21 +150,28 @@ def _extrema_by_state(table: str = "daily", metric: str = "Tavg", month: int | N
         "AS rn FROM j) WHERE rn = 1)")
 
 
-def _unreliable(where: str) -> str:
+def _unreliable(where: str, k: int = 10) -> str:
     return _sql(f"SELECT WBAN, CAST(SUM({_SUSPECT}) AS BIGINT) AS suspicious_count FROM daily "
                 f"WHERE month BETWEEN 1 AND 6{where} GROUP BY WBAN "
-                f"ORDER BY suspicious_count DESC, WBAN LIMIT 10")
+                f"ORDER BY suspicious_count DESC, WBAN LIMIT {k}")
 
 
 def _missing_counts() -> str:
-    from stationspark.sources.catalog import DAILY_METRICS
-    metrics = ["Tavg", "Depart", "DewPoint", "WetBulb", "PrecipTotal", "Max5Speed"]
+    # fixed values: description and unit of the metrics in the daily view
+    metrics = {
+        "Tavg": ("Average Temperature", "°F"),
+        "Depart": ("Temperature Departure", "°F"),
+        "DewPoint": ("Dew Point Temperature", "°F"),
+        "WetBulb": ("Wet Bulb Temperature", "°F"),
+        "PrecipTotal": ("Total Precipitation", "inches"),
+        "Max5Speed": ("Max 5-Minute Wind Speed", "mph"),
+    }
     parts = [f"SELECT '{m}' AS metric, CAST(COUNT(*) AS BIGINT) AS n_rows, "
              f"CAST(COUNT(*) FILTER (WHERE trim({m}) = 'M') AS BIGINT) AS n_missing, "
              f"CAST(COUNT(*) FILTER (WHERE trim({m}) = 'T') AS BIGINT) AS n_trace, "
              f"CAST(COUNT({_num(m)}) AS BIGINT) AS n_values, "
-             f"'{DAILY_METRICS[m][0]}' AS description, '{DAILY_METRICS[m][1]}' AS unit FROM daily"
-             for m in metrics]
+             f"'{description}' AS description, '{unit}' AS unit FROM daily"
+             for m, (description, unit) in metrics.items()]
     return _sql(" UNION ALL ".join(parts))
 
 
@@ -199,25 +223,18 @@ ORACLE = {
         f"WHERE {_AGRI_WHERE} AND WBAN = 1"),
     "agri_days_stations": _sql(f"SELECT DISTINCT WBAN FROM daily WHERE {_AGRI_WHERE}"),
     "anomalous_days_count_by_month": _sql(
-        f"SELECT month, COUNT(*) AS n_days FROM daily WHERE {_ANOMALY_ALL} GROUP BY month"),
+        f"SELECT CAST(m.range AS INTEGER) AS month, COUNT(d.WBAN) AS n_days FROM range(1, 13) m "
+        f"LEFT JOIN (SELECT * FROM daily WHERE {_ANOMALY_ALL}) d ON d.month = m.range GROUP BY m.range"),
     "agri_days_count_by_month": _sql(
-        f"SELECT month, COUNT(*) AS n_days FROM daily WHERE {_AGRI_ALL} GROUP BY month"),
+        f"SELECT CAST(m.range AS INTEGER) AS month, COUNT(d.WBAN) AS n_days FROM range(1, 13) m "
+        f"LEFT JOIN (SELECT * FROM daily WHERE {_AGRI_ALL}) d ON d.month = m.range GROUP BY m.range"),
     "agri_days_count": _sql(
         f"SELECT CAST(6 AS INTEGER) AS month, COUNT(*) AS n_days FROM daily WHERE {_AGRI_WHERE}"),
     "station_ids": _sql(f"SELECT DISTINCT WBAN FROM station WHERE State = {STATE}"),
     "hourly_profile": _profile(""),
     "hourly_profile_station": _profile(" AND WBAN = 68"),
-    "hourly_profile_by_state": _sql(
-        f"SELECT s.State, CAST(h.Time // 100 AS INTEGER) AS hour, "
-        f"CAST(CAST(h.Time // 100 AS INTEGER) AS VARCHAR) || ':00' AS label, "
-        f"COALESCE(AVG({_num('h.DryBulbFarenheit')}), CAST(0 AS DOUBLE)) AS value "
-        f"FROM hourly h JOIN station s USING (WBAN) WHERE h.month = 1 AND {_OFF_HOUR} "
-        f"GROUP BY 1, 2"),
-    "hourly_profile_by_state_month": _sql(
-        f"SELECT s.State, h.month, CAST(h.Time // 100 AS INTEGER) AS hour, "
-        f"CAST(CAST(h.Time // 100 AS INTEGER) AS VARCHAR) || ':00' AS label, "
-        f"COALESCE(AVG({_num('h.DryBulbFarenheit')}), CAST(0 AS DOUBLE)) AS value "
-        f"FROM hourly h JOIN station s USING (WBAN) WHERE {_OFF_HOUR} GROUP BY 1, 2, 3"),
+    "hourly_profile_by_state": _profiles("WHERE month = 1 AND", ""),
+    "hourly_profile_by_state_month": _profiles("WHERE", "month, "),
     "metric_extrema_daily": _extrema("daily", "Tavg", 3, "°F"),
     "metric_extrema_hourly": _extrema("hourly", "DryBulbFarenheit", 1, "°F"),
     "metric_extrema_monthly": _extrema("monthly", "AvgTemp", 3, "°F"),
@@ -225,6 +242,7 @@ ORACLE = {
     "metric_extrema_by_state_month": _extrema_by_state("monthly", "AvgTemp", None),
     "unreliable_top10_all": _unreliable(""),
     "unreliable_top10_state": _unreliable(f" AND {IN_STATE}"),
+    "unreliable_top2_state": _unreliable(f" AND {IN_STATE}", 2),
     # building blocks
     "scan_csv_comma": _sql("SELECT * FROM daily"),
     "scan_csv_pipe": _sql("SELECT * FROM station"),

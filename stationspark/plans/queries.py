@@ -15,12 +15,20 @@ from stationspark.functions import clean, params
 from stationspark.operators import aggregates as agg
 from stationspark.operators import stations as st
 from stationspark.sources import catalog
-from stationspark.sources.schemas import PARTITION_COLUMN, key_columns
+from stationspark.sources.schemas import PARTITION_COLUMN, SUSPECT_FLAGS, key_columns
 from stationspark.sources.tables import WeatherTables
 
 MONTH = PARTITION_COLUMN
 
 
+def _known_state(tables: WeatherTables, state: str) -> str:
+    """One of the 50 states, or a state that a loaded station has."""
+    params.check_state(state)
+    if state not in catalog.STATES and not tables.has_state(state):
+        raise ValueError(f"unknown state code {state!r}")
+    return state
+
+
 def _months(df: DataFrame, month_start: int, month_end: int) -> DataFrame:
     """Inclusive month range; on a month-partitioned table this prunes partitions."""
     if month_start == month_end:
@@ -44,12 +52,12 @@ def station_metric_avg(tables: WeatherTables, state: str, month_start: int, mont
     Plain mean over fact rows (station-months for the monthly kind); rounded
     to ``digits`` places on output when given.
     """
-    params.check_state(state)
+    _known_state(tables, state)
     m0, m1 = params.check_month_range(month_start, month_end)
     fact = tables.fact(kind)
     params.check_metric(fact, kind, metric)
     side = st.in_state(tables.station, state).select("WBAN")
-    means = agg.mean_by_station_group(_months(fact, m0, m1), clean.metric(metric), side,
+    means = agg.mean_by_station_group(_months(fact, m0, m1), clean.values_of(fact)(metric), side,
                                       broadcast=tables.station_fits(broadcast_rows))
     return means.select(F.lit(metric).alias("metric"), _rounded("value", digits),
                         F.lit(catalog.unit_of(kind, metric)).cast(T.StringType()).alias("unit"))
@@ -65,7 +73,7 @@ def station_metric_avg_by_state_month(tables: WeatherTables, month_start: int =
     fact = tables.fact(kind)
     params.check_metric(fact, kind, metric)
     side = tables.station.select("WBAN", "State")
-    means = agg.mean_by_station_group(_months(fact, m0, m1), clean.metric(metric), side,
+    means = agg.mean_by_station_group(_months(fact, m0, m1), clean.values_of(fact)(metric), side,
                                       keys=(MONTH,), attrs=("State",),
                                       broadcast=tables.station_fits(broadcast_rows))
     return means.select("State", MONTH, F.lit(metric).alias("metric"), "value",
@@ -86,7 +94,7 @@ def monthly_avg_temperature(tables: WeatherTables, month: int | None = None,
     """
     fact = tables.fact("monthly")
     params.check_metric(fact, "monthly", metric)
-    celsius = clean.fahrenheit_to_celsius(F.avg(clean.metric(metric)), offset).alias("avg_c")
+    celsius = clean.fahrenheit_to_celsius(F.avg(clean.values_of(fact)(metric)), offset).alias("avg_c")
     if month is None:
         out = fact.groupBy(MONTH).agg(celsius)
     else:
@@ -108,20 +116,26 @@ def _month_or_all(df: DataFrame, month: int | None) -> DataFrame:
 
 
 def anomalous_days(tables: WeatherTables, month: int | None, depart_gt: float = 5,
-                   wind_gt: float = 20, precip_gt: float = 1) -> DataFrame:
+                   wind_gt: float = 20, precip_gt: float = 1,
+                   with_month: bool = False) -> DataFrame:
     """Days with a positive departure above ``depart_gt`` and strong wind or rain.
 
     Comparisons are on DOUBLE values (``5.7 > 5`` and ``1.50 > 1`` hold); a
     missing value makes its comparison unknown, so a day still qualifies
-    through the other branch of the disjunction.  ``month=None``: all months.
+    through the other branch of the disjunction.  ``month=None``: all months;
+    ``with_month`` keeps the month of the file that a day came in.
     """
     daily = tables.fact("daily")
     params.require_columns(daily, "daily", ANOMALY_COLUMNS)
-    dep, wind, rain = (clean.metric(c) for c in ("Depart", "Max5Speed", "PrecipTotal"))
+    dep, wind, rain = map(clean.values_of(daily), ("Depart", "Max5Speed", "PrecipTotal"))
     return (_month_or_all(daily, month)
-            .filter((dep > F.lit(depart_gt)) & ((wind > F.lit(wind_gt)) | (rain > F.lit(precip_gt))))
+            .filter((dep > F.lit(float(depart_gt))) & ((wind > F.lit(float(wind_gt))) | (rain > F.lit(float(precip_gt)))))
             .select("YearMonthDay", "WBAN", dep.alias("Depart"), wind.alias("Max5Speed"),
-                    rain.alias("PrecipTotal")))
+                    rain.alias("PrecipTotal"), *_kept(daily, with_month)))
+
+
+def _kept(df: DataFrame, with_month: bool) -> list[str]:
+    return [MONTH] if with_month else []
 
 
 def anomalous_days_formatted(tables: WeatherTables, month: int, **kw) -> DataFrame:
@@ -131,23 +145,22 @@ def anomalous_days_formatted(tables: WeatherTables, month: int, **kw) -> DataFra
 
 
 def _count_days(rows: DataFrame, month: int | None) -> DataFrame:
-    """``(month, n_days)``: one row for a given month, or one per month with rows."""
+    """``(month, n_days)``: one row for a given month, or one for each of the 12.
+
+    A day belongs to the month of the file that it came in, in both forms.
+    """
     if month is None:
-        return rows.groupBy(MONTH).agg(F.count(F.lit(1)).alias("n_days"))
+        days = rows.select(MONTH, F.lit(1).alias("n"))
+        seeds = agg.months_of_year(rows.sparkSession).select(MONTH, F.lit(0).alias("n"))
+        return days.unionByName(seeds).groupBy(MONTH).agg(F.sum("n").alias("n_days"))
     return rows.agg(F.count(F.lit(1)).alias("n_days")).select(F.lit(month).alias(MONTH), "n_days")
 
 
-def _with_month(rows: DataFrame, month: int | None) -> DataFrame:
-    # The day number carries the month; derive it for the all-months count.
-    return rows if month is not None else rows.withColumn(
-        MONTH, (F.floor(F.col("YearMonthDay") / 100) % 100).cast(T.IntegerType()))
-
-
 def anomalous_days_count(tables: WeatherTables, month: int | None, **kw) -> DataFrame:
     """How many anomalous station-days a month has: ``(month, n_days)``;
     ``month=None`` counts every month in one job."""
     m = None if month is None else params.check_month(month)
-    return _count_days(_with_month(anomalous_days(tables, m, **kw), m), m)
+    return _count_days(anomalous_days(tables, m, with_month=True, **kw), m)
 
 
 # ---------------------------------------------------------------- Q4 -------
@@ -157,26 +170,27 @@ AGRI_COLUMNS = ("WBAN", "YearMonthDay", "Tavg", "DewPoint", "PrecipTotal", "WetB
 
 def agri_days(tables: WeatherTables, month: int | None, wban: int | None = None,
               tavg_range=(60, 75), dew_range=(40, 60),
-              null_code_is_clear: bool = False) -> DataFrame:
+              null_code_is_clear: bool = False, with_month: bool = False) -> DataFrame:
     """Good farming days: mild mean temperature and dew point, no thunder, no rain.
 
     A null weather code fails ``NOT LIKE '%TS%'`` (unknown) and drops the day
     unless ``null_code_is_clear``; a blank code passes.  Trace rain (``T``)
-    is not a number, so it is not ``== 0`` either.  ``month=None``: all months.
+    is not a number, so it is not ``== 0`` either.  ``month=None``: all months;
+    ``with_month`` keeps the month of the file that a day came in.
     """
-    tavg, dew, rain, wet = (clean.metric(c) for c in ("Tavg", "DewPoint", "PrecipTotal", "WetBulb"))
     no_storm = ~F.col("CodeSum").like("%TS%")
     if null_code_is_clear:
         no_storm = F.coalesce(no_storm, F.lit(True))
     daily = tables.fact("daily")
     params.require_columns(daily, "daily", AGRI_COLUMNS + ("CodeSum",))
+    tavg, dew, rain, wet = map(clean.values_of(daily), ("Tavg", "DewPoint", "PrecipTotal", "WetBulb"))
     days = _month_or_all(daily, month)
     if wban is not None:
         days = days.filter(F.col("WBAN") == F.lit(int(wban)))
-    return (days.filter(tavg.between(*tavg_range) & dew.between(*dew_range)
+    return (days.filter(tavg.between(*map(float, tavg_range)) & dew.between(*map(float, dew_range))
                         & no_storm & (rain == F.lit(0.0)))
             .select("WBAN", "YearMonthDay", tavg.alias("Tavg"), dew.alias("DewPoint"),
-                    rain.alias("PrecipTotal"), wet.alias("WetBulb")))
+                    rain.alias("PrecipTotal"), wet.alias("WetBulb"), *_kept(daily, with_month)))
 
 
 def agri_days_formatted(tables: WeatherTables, month: int, wban: int | None = None,
@@ -192,7 +206,7 @@ def agri_days_count(tables: WeatherTables, month: int | None, wban: int | None =
     """How many good farming station-days a month has: ``(month, n_days)``;
     ``month=None`` counts every month in one job."""
     m = None if month is None else params.check_month(month)
-    return _count_days(_with_month(agri_days(tables, m, wban, **kw), m), m)
+    return _count_days(agri_days(tables, m, wban, with_month=True, **kw), m)
 
 
 def agri_days_stations(tables: WeatherTables, month: int, **kw) -> DataFrame:
@@ -204,7 +218,7 @@ def agri_days_stations(tables: WeatherTables, month: int, **kw) -> DataFrame:
 
 def station_ids(tables: WeatherTables, state: str) -> DataFrame:
     """Station ids of a state, unordered: ``(WBAN)``."""
-    return st.station_ids(tables.station, params.check_state(state))
+    return st.station_ids(tables.station, _known_state(tables, state))
 
 
 # ---------------------------------------------------------------- Q6 -------
@@ -233,10 +247,10 @@ def hourly_profile(tables: WeatherTables, state: str, month: int,
     so on-the-hour readings are excluded unless ``include_on_hour``.  An hour
     without values reports 0.0.  One scan and one aggregation for all 24 hours.
     """
-    params.check_state(state)
+    _known_state(tables, state)
     rows = _hourly_rows(tables, params.check_month(month), metric, wban, include_on_hour)
     side = st.in_state(tables.station, state).select("WBAN")
-    profile = agg.mean_by_station_group(rows, clean.metric(metric), side, keys=("hour",),
+    profile = agg.mean_by_station_group(rows, clean.values_of(rows)(metric), side, keys=("hour",),
                                         broadcast=tables.station_fits(broadcast_rows),
                                         all_keys=agg.hours_of_day(rows.sparkSession))
     return agg.finish_profile(profile)
@@ -244,32 +258,27 @@ def hourly_profile(tables: WeatherTables, state: str, month: int,
 
 def hourly_profile_by_state(tables: WeatherTables, month: int | None,
                             metric: str = "DryBulbFarenheit", include_on_hour: bool = False,
-                            broadcast_rows: int | None = st.DEFAULT_BROADCAST_ROWS,
-                            complete: bool = False) -> DataFrame:
-    """Grouped Q6: ``(State, hour, label, value)`` for each hour that has readings.
-
-    With ``complete`` every state of the dimension gets all 24 hours (0.0
-    where it has no value), as the single-state form does.  With
-    ``month=None`` the month becomes a key too:
-    ``(State, month, hour, label, value)`` for every month in one job.
+                            broadcast_rows: int | None = st.DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Grouped Q6: ``(State, hour, label, value)``, 24 rows for every state of
+    the dimension (0.0 where it has no value), as in the single-state form.
+
+    With ``month=None`` the month becomes a key too: ``(State, month, hour,
+    label, value)`` for every state, month and hour in one job.
     """
-    if complete and month is None:
-        raise ValueError("complete profiles need a month")
     rows = _hourly_rows(tables, month, metric, None, include_on_hour)
     keys = ("hour",) if month is not None else (MONTH, "hour")
-    side = tables.station.select("WBAN", "State")
-    seeds = agg.state_hours(tables.station) if complete else None
-    means = agg.mean_by_station_group(rows, clean.metric(metric), side, keys=keys,
-                                      attrs=("State",),
+    ranges = {MONTH: (1, 12), "hour": (0, 23)}
+    means = agg.mean_by_station_group(rows, clean.values_of(rows)(metric), tables.station.select("WBAN", "State"),
+                                      keys=keys, attrs=("State",),
                                       broadcast=tables.station_fits(broadcast_rows),
-                                      all_keys=seeds)
+                                      all_keys=agg.state_keys(tables.station, **{k: ranges[k] for k in keys}))
     return means.select("State", *keys, clean.hour_label("hour").alias("label"),
                         F.coalesce(F.col("value"), F.lit(0.0)).alias("value"))
 
 
 # ---------------------------------------------------------------- Q7 -------
 
-def _extrema_input(tables, kind, month, metric, state=None):
+def _extrema_input(tables, kind, month, metric, broadcast, state=None):
     """Per-station min / max of the month, or per station and month when ``month`` is None.
 
     With a state and a proven station side, fact rows of other states are
@@ -278,16 +287,17 @@ def _extrema_input(tables, kind, month, metric, state=None):
     kind = catalog.kind_of(kind)
     fact = tables.fact(kind)
     params.check_metric(fact, kind, metric)
-    if state is not None and tables.station_fits(st.DEFAULT_BROADCAST_ROWS):
+    value = clean.values_of(fact)(metric)
+    if state is not None and broadcast:
         fact = st.keep_stations(fact, st.in_state(tables.station, state), broadcast=True)
     if month is None:
-        return kind, agg.extrema_partials(fact, clean.metric(metric), keys=(MONTH,))
+        return kind, agg.extrema_partials(fact, value, keys=(MONTH,))
     m = params.check_month(month)
-    return kind, agg.extrema_partials(_months(fact, m, m), clean.metric(metric))
+    return kind, agg.extrema_partials(_months(fact, m, m), value)
 
 
-def metric_extrema(tables: WeatherTables, kind, state: str, month: int,
-                   metric: str) -> DataFrame:
+def metric_extrema(tables: WeatherTables, kind, state: str, month: int, metric: str,
+                   broadcast_rows: int | None = st.DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Stations holding the minimum and the maximum of a metric in a state and month.
 
     Two rows ``(which, WBAN, Location, Latitude, Longitude, value, difference,
@@ -296,27 +306,30 @@ def metric_extrema(tables: WeatherTables, kind, state: str, month: int,
     name or type id (1 daily, 2 hourly, 3 monthly); the unit comes from the
     catalog of that kind.
     """
-    params.check_state(state)
-    kind, partials = _extrema_input(tables, kind, params.check_month(month), metric, state)
+    _known_state(tables, state)
+    broadcast = tables.station_fits(broadcast_rows)
+    kind, partials = _extrema_input(tables, kind, params.check_month(month), metric, broadcast, state)
     joined = st.attach_station(partials, tables.station, state=state,
-                               columns=("State",) + agg.STATION_ATTRS,
-                               broadcast=tables.station_fits(st.DEFAULT_BROADCAST_ROWS))
+                               columns=("State",) + agg.STATION_ATTRS, broadcast=broadcast)
     return (agg.extrema_rows(joined)
             .withColumn("unit", F.lit(catalog.unit_of(kind, metric)).cast(T.StringType())))
 
 
-def metric_extrema_by_state(tables: WeatherTables, kind, month: int | None,
-                            metric: str) -> DataFrame:
-    """Grouped Q7: two rows per state, ``(State, which, WBAN, ..., unit)``.
+def metric_extrema_by_state(tables: WeatherTables, kind, month: int | None, metric: str,
+                            broadcast_rows: int | None = st.DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Grouped Q7: two rows for every state of the dimension, ``(State, which,
+    WBAN, ..., unit)``, null ones where it has no value.
 
-    With ``month=None``, two rows per state and month (``month`` added).
+    With ``month=None``, two rows per state and each of the 12 months
+    (``month`` added).
     """
-    kind, partials = _extrema_input(tables, kind, month, metric)
+    broadcast = tables.station_fits(broadcast_rows)
+    kind, partials = _extrema_input(tables, kind, month, metric, broadcast)
     joined = st.attach_station(partials, tables.station,
-                               columns=("State",) + agg.STATION_ATTRS,
-                               broadcast=tables.station_fits(st.DEFAULT_BROADCAST_ROWS))
+                               columns=("State",) + agg.STATION_ATTRS, broadcast=broadcast)
     keys = ("State",) if month is not None else ("State", MONTH)
-    return (agg.extrema_rows(joined, keys=keys)
+    months = {} if month is not None else {MONTH: (1, 12)}
+    return (agg.extrema_rows(joined, keys=keys, all_keys=agg.state_keys(tables.station, **months))
             .withColumn("unit", F.lit(catalog.unit_of(kind, metric)).cast(T.StringType())))
 
 
@@ -336,11 +349,13 @@ def suspect_counts(tables: WeatherTables, month_start: int, month_end: int,
     """
     m0, m1 = params.check_month_range(month_start, month_end)
     daily = _months(tables.fact("daily"), m0, m1)
-    columns = clean.text_columns(daily, exclude=key_columns("daily"))
-    per_row = clean.flag_count(columns, flag)
+    if flag == clean.SUSPECT and SUSPECT_FLAGS in daily.columns:
+        per_row = F.col(SUSPECT_FLAGS)           # counted when the clean layer was written
+    else:
+        per_row = clean.flag_count(clean.text_columns(daily, exclude=key_columns("daily")), flag)
     counts = daily.groupBy("WBAN").agg(F.sum(per_row).cast(T.LongType()).alias("suspicious_count"))
     if state is not None:
-        counts = st.keep_stations(counts, st.in_state(tables.station, params.check_state(state)),
+        counts = st.keep_stations(counts, st.in_state(tables.station, _known_state(tables, state)),
                                   broadcast=tables.station_fits(broadcast_rows))
     return counts
 

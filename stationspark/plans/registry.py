@@ -57,6 +57,7 @@ COMPOSITE: dict[str, Callable] = {
     "metric_extrema_by_state_month": lambda t: q.metric_extrema_by_state(t, "monthly", None, "AvgTemp"),
     "unreliable_top10_all": lambda t: q.unreliable_stations(t, 1, 6),
     "unreliable_top10_state": lambda t: q.unreliable_stations(t, 1, 6, state=STATE),
+    "unreliable_top2_state": lambda t: q.unreliable_stations(t, 1, 6, state=STATE, k=2),
 }
 
 

@@ -15,6 +15,8 @@ unused source column and the scans read only what a query needs.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,10 +54,9 @@ def daily_view(lineitem):
     qty = F.col("l_quantity").cast(T.IntegerType())
     okey, pkey, line = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
     disc = F.round(F.col("l_discount") * 100).cast(T.IntegerType())
-    precip = F
+    precip = F.lit("2.50")
     for cents, text in _PRECIP_BY_DISCOUNT.items():
-        precip = precip.when(disc == cents, F.lit(text))
-    precip = precip.otherwise(F.lit("2.50"))
+        precip = F.when(disc == cents, F.lit(text)).otherwise(precip)
     code = (F.when(line == 1, F.lit("TSRA")).when(line == 2, F.lit("RA"))
             .when(line == 3, F.lit("BR TS")).when(line == 4, F.lit(None).cast("string"))
             .otherwise(F.lit(" ")))
@@ -79,12 +80,16 @@ def hourly_view(events):
     eid = F.col("event_id")
     dry = (F.when(eid % 11 == 0, F.lit("M")).when(eid % 37 == 0, F.lit("  T"))
            .otherwise(_text((eid % 90).cast(T.IntegerType()) + 10)))
+    # the events lie in January: each is a reading then, and one more in another month
+    month = F.explode(F.array(F.month("ts"), (F.pmod(F.floor(eid / 11), F.lit(11)) + 2).cast(T.IntegerType()))).alias("month")
+    events = events.select("event_id", "user_id", "ts", month)
+    day = F.when(F.col("month") == F.month("ts"), F.dayofmonth("ts")).otherwise(F.least(F.dayofmonth("ts"), F.lit(28)))
     return events.select(
         F.col("user_id").cast(T.IntegerType()).alias("WBAN"),
-        _ymd("ts").alias("YearMonthDay"),
+        (F.year("ts") * 10000 + F.col("month") * 100 + day).cast(T.IntegerType()).alias("YearMonthDay"),
         (F.hour("ts") * 100 + F.minute("ts")).cast(T.IntegerType()).alias("Time"),
         dry.alias("DryBulbFarenheit"),
-        F.month("ts").cast(T.IntegerType()).alias("month"),
+        F.col("month").cast(T.IntegerType()).alias("month"),
     )
 
 
@@ -113,19 +118,19 @@ SOURCE_SCHEMAS = {
 }
 
 
-# Views already built, per (application, session, directory).  A view is an
+# Views already built, per session and directory.  A view is an
 # immutable logical plan, so one instance serves every query of a session;
 # building it again would only repeat the Python-to-JVM calls that assemble it.
-_loaded: dict[tuple, WeatherTables] = {}
+_loaded: weakref.WeakKeyDictionary[SparkSession, dict[str, WeatherTables]] = weakref.WeakKeyDictionary()
 
 
 def load(spark: SparkSession, sf_dir: str) -> WeatherTables:
     """Weather tables over ``{sf_dir}/{table}.parquet``."""
     sf_dir = sf_dir.rstrip("/")
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
-    if key not in _loaded:
-        _loaded[key] = build(spark, sf_dir)
-    return _loaded[key]
+    views = _loaded.setdefault(spark, {})
+    if sf_dir not in views:
+        views[sf_dir] = build(spark, sf_dir)
+    return views[sf_dir]
 
 
 def build(spark: SparkSession, sf_dir: str) -> WeatherTables:

@@ -19,12 +19,13 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationspark.operators.stations import latest_station_rows
-from stationspark.sources.schemas import PARTITION_COLUMN, typed_columns
+from stationspark.sources.schemas import PARTITION_COLUMN, YEAR_COLUMN, typed_columns
 from stationspark.sources.tables import WeatherTables
 
 COMMA = ","
@@ -88,7 +89,8 @@ def read_partitioned(spark: SparkSession, root: str, kind: str, fmt: str = "parq
     """The ``{root}/{kind}`` table with its ``month`` partition column."""
     path = f"{root.rstrip('/')}/{kind}"
     if fmt == "parquet":
-        return spark.read.parquet(path)
+        # with a schema no footer is read while planning
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
     return read_delimited(spark, path, kind, schema=schema)
 
 
@@ -96,7 +98,7 @@ def read_month(spark: SparkSession, root: str, kind: str, month: int,
                fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
     """One month directory of a partitioned table, ``month`` added as a literal."""
     path = f"{root.rstrip('/')}/{kind}/{PARTITION_COLUMN}={month}"
-    df = (spark.read.parquet(path) if fmt == "parquet"
+    df = ((spark.read.schema(schema) if schema else spark.read).parquet(path) if fmt == "parquet"
           else read_delimited(spark, path, kind, schema=schema))
     return df.withColumn(PARTITION_COLUMN, F.lit(month).cast(T.IntegerType()))
 
@@ -130,8 +132,17 @@ def month_file_paths(root: str, kind: str, months=None, year: int = 2013) -> lis
 def month_of_path(kind: str):
     """``month`` from the path of a ``{yyyymm}/{kind}.txt`` file (or of a part
     file inside a ``{kind}.txt`` directory written by Spark); null otherwise."""
-    pattern = rf"/\d{{4}}(\d{{2}})/{re.escape(kind)}\.txt(?:/[^/]+)?$"
-    return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1).try_cast(T.IntegerType())
+    return _of_path(kind, 2)
+
+
+def year_of_path(kind: str):
+    """``year`` from the path, like ``month_of_path``."""
+    return _of_path(kind, 1)
+
+
+def _of_path(kind: str, group: int):
+    pattern = rf"/(\d{{4}})(\d{{2}})/{re.escape(kind)}\.txt(?:/[^/]+)?$"
+    return F.regexp_extract(F.col("_metadata.file_path"), pattern, group).try_cast(T.IntegerType())
 
 
 def read_month_files(spark: SparkSession, root: str, kind: str, months=None,
@@ -159,8 +170,12 @@ def read_month_files(spark: SparkSession, root: str, kind: str, months=None,
 FACTS = ("daily", "hourly", "monthly")
 
 
+# Months whose station file gives the dimension, unless the caller says otherwise.
+STATION_MONTHS = (1,)
+
+
 def load_month_files(spark: SparkSession, root: str, months=None, year: int = 2013,
-                     station_months=(1,), kinds=FACTS, by_name: bool = False) -> WeatherTables:
+                     station_months=STATION_MONTHS, kinds=FACTS, by_name: bool = False) -> WeatherTables:
     """Tables over per-month files.  The station dimension keeps one row per
     WBAN, the one of the latest month in ``station_months`` (None: all months).
     ``kinds`` chooses the fact tables to read (``precip``, ``remarks`` too);
@@ -170,13 +185,30 @@ def load_month_files(spark: SparkSession, root: str, months=None, year: int = 20
     return WeatherTables(station=latest_station_rows(station), **facts)
 
 
-def load_partitioned(spark: SparkSession, root: str, fmt: str = "parquet",
-                     kinds=FACTS) -> WeatherTables:
+def load_partitioned(spark: SparkSession, root: str, fmt: str = "parquet", year: int = 2013,
+                     station_months=STATION_MONTHS, kinds=None) -> WeatherTables:
     """Tables over the partitioned layout written by :mod:`stationspark.sources.sinks`
-    or by the streaming ingest.  A station table kept per month (as the ingest
-    writes it) is reduced to the latest row per WBAN."""
-    station = read_partitioned(spark, root, "station", fmt)
-    if PARTITION_COLUMN in station.columns:
-        station = latest_station_rows(station)
-    facts = {k: read_partitioned(spark, root, k, fmt) for k in kinds}
-    return WeatherTables(station=station, **facts)
+    or by the streaming ingest.
+
+    Gives what :func:`load_month_files` gives over the files that were
+    ingested: one ``year`` (where the layer keeps years), and a station
+    dimension of one row per WBAN from ``station_months`` (None: all; no
+    effect where the station table is kept without months).  ``kinds=None``
+    loads every fact table that the layer has.
+    """
+    station = _of_year(read_partitioned(spark, root, "station", fmt), year)
+    if PARTITION_COLUMN in station.columns and station_months is not None:
+        station = station.filter(F.col(PARTITION_COLUMN).isin(list(station_months)))
+    facts = {}
+    for kind in kinds if kinds is not None else FACTS:
+        try:
+            facts[kind] = _of_year(read_partitioned(spark, root, kind, fmt), year)
+        except AnalysisException as missing:
+            # a layer may lack a kind; a kind asked for by name must be there
+            if kinds is not None or missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return WeatherTables(station=latest_station_rows(station), **facts)
+
+
+def _of_year(df: DataFrame, year: int) -> DataFrame:
+    return df.filter(F.col(YEAR_COLUMN) == F.lit(year)).drop(YEAR_COLUMN) if YEAR_COLUMN in df.columns else df

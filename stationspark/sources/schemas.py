@@ -28,6 +28,10 @@ STATION_TYPES = {"WBAN": T.IntegerType(), "Latitude": T.DoubleType(),
                  "Longitude": T.DoubleType()}
 
 PARTITION_COLUMN = "month"
+YEAR_COLUMN = "year"
+
+# Clean layer: per daily row, how many values carry the suspect flag.
+SUSPECT_FLAGS = "suspect_flags"
 
 STATION = T.StructType([
     T.StructField("WBAN", T.IntegerType()),
@@ -60,8 +64,13 @@ MONTHLY = T.StructType(_ints(KEYS["monthly"]) + _strings(["AvgTemp"]))
 LAYOUTS = {"daily": DAILY, "hourly": HOURLY, "monthly": MONTHLY, "station": STATION}
 
 
+def by_month(layout: T.StructType) -> T.StructType:
+    """A layout with its partition column, as a partitioned table is read."""
+    return T.StructType([*layout.fields, T.StructField(PARTITION_COLUMN, T.IntegerType())])
+
+
 def key_columns(kind: str) -> tuple[str, ...]:
-    return KEYS[kind] + ((PARTITION_COLUMN,) if kind in FACT_KINDS else ())
+    return KEYS[kind] + ((YEAR_COLUMN, PARTITION_COLUMN) if kind in FACT_KINDS else ())
 
 
 def typed_columns(kind: str) -> dict:

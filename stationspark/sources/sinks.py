@@ -10,8 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stationspark.functions import clean
+from stationspark.session import scratch_path
+from stationspark.sources.catalog import METRICS
 from stationspark.sources.readers import separator
-from stationspark.sources.schemas import PARTITION_COLUMN
+from stationspark.sources.schemas import KINDS, PARTITION_COLUMN, SUSPECT_FLAGS, YEAR_COLUMN, key_columns
 
 
 def _writer(df: DataFrame, partitioned: bool):
@@ -41,20 +44,62 @@ def write_month_files(df: DataFrame, root: str, kind: str, year: int = 2013) ->
     """The distributed layout ``{root}/{yyyymm}/{kind}.txt``: header + delimited
     text, one directory of part files per month present in ``df``.
 
-    One write per month (each a pruned scan when ``df`` is month-partitioned);
-    meant for exchanging data in the original layout, not for bulk loads.
+    ``df`` is evaluated once, into a month-partitioned copy; each month is then
+    written from its own partition.  Meant for exchanging data in the original
+    layout, not for bulk loads.  Rows without a month have no file to go to:
+    ``ValueError``.
     """
-    months = sorted(r[0] for r in df.select(PARTITION_COLUMN).distinct().collect())
-    for m in months:
-        one = df.filter(F.col(PARTITION_COLUMN) == m).drop(PARTITION_COLUMN)
+    staged = scratch_path(df.sparkSession, f"months-{kind}")
+    write_parquet(df, staged)
+    staged = df.sparkSession.read.schema(df.schema).parquet(staged)
+    months = [r[0] for r in staged.select(PARTITION_COLUMN).distinct().collect()]    # at most 12 and null
+    if None in months:
+        raise ValueError(f"{kind} rows without a month")
+    for m in sorted(months):
+        one = staged.filter(F.col(PARTITION_COLUMN) == m).drop(PARTITION_COLUMN)
         write_delimited(one, f"{root.rstrip('/')}/{year}{m:02d}/{kind}.txt", kind, partitioned=False)
     return root
 
 
+def clean_rows(df: DataFrame, kind: str) -> DataFrame:
+    """Raw rows as the clean layer keeps them: the catalog's metrics as DOUBLE
+    (markers and non-numbers null), other columns as they are, and for daily
+    rows the number of values that carry the suspect flag, counted on the text.
+    """
+    if kind not in METRICS:
+        return df
+    value = clean.values_of(df)
+    texts = clean.text_columns(df, exclude=key_columns(kind))
+    columns = [value(c).alias(c) if c in METRICS[kind] and c in texts else F.col(c) for c in df.columns]
+    if kind == "daily" and SUSPECT_FLAGS not in df.columns:
+        columns.append(clean.flag_count(texts).alias(SUSPECT_FLAGS))
+    return df.select(*columns)
+
+
+def write_clean(tables, root: str, year: int = 2013) -> str:
+    """The clean, typed layer ``{root}/{kind}/year=Y/month=M`` as Parquet.
+
+    Readable by ``readers.load_partitioned``; the queries take it as they take
+    raw tables, with numeric filters pushed to the scan.
+    """
+    root = root.rstrip("/")
+    for kind in KINDS:
+        df = getattr(tables, kind)
+        if df is None:
+            continue
+        if PARTITION_COLUMN in df.columns:
+            rows = clean_rows(df, kind).withColumn(YEAR_COLUMN, F.lit(year))
+            (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(YEAR_COLUMN, PARTITION_COLUMN).parquet(f"{root}/{kind}"))
+        else:
+            write_parquet(df, f"{root}/{kind}", partitioned=False)
+    return root
+
+
 def write_tables(tables, root: str, fmt: str = "parquet") -> str:
     """Write every loaded table of ``tables`` below ``root/{kind}``."""
     root = root.rstrip("/")
-    for kind in ("station", "daily", "hourly", "monthly", "precip", "remarks"):
+    for kind in KINDS:
         df = getattr(tables, kind)
         if df is None:
             continue

@@ -26,9 +26,10 @@ class WeatherTables:
     # init field: ``dataclasses.replace`` (e.g. with another station table)
     # starts with an empty cache instead of inheriting a stale proof.
     _fits: dict = field(default_factory=dict, init=False, compare=False, repr=False)
+    _states: dict = field(default_factory=dict, init=False, compare=False, repr=False)
 
     def fact(self, kind: str) -> DataFrame:
-        names = [f.name for f in fields(self) if f.name not in ("station", "_fits")]
+        names = [f.name for f in fields(self) if f.name != "station" and not f.name.startswith("_")]
         if kind not in names:
             raise ValueError(f"unknown fact kind {kind!r}; expected one of {names}")
         df = getattr(self, kind)
@@ -39,7 +40,7 @@ class WeatherTables:
     def station_fits(self, max_rows: int | None) -> bool:
         """True when the whole station dimension has at most ``max_rows`` rows.
 
-        Checked once per table set (one small limited-count job).  Any filter
+        Checked once per table set (one count of the dimension).  Any filter
         or projection of the dimension is then bounded too, so every station
         side may be broadcast.
         """
@@ -49,3 +50,11 @@ class WeatherTables:
             from stationspark.operators.stations import row_count_at_most
             self._fits[max_rows] = row_count_at_most(self.station, max_rows)
         return self._fits[max_rows]
+
+    def has_state(self, state: str) -> bool:
+        """Whether a station of the dimension is in ``state``; looked up once per
+        table set and state, stopping at the first station found."""
+        if state not in self._states:
+            from stationspark.operators.stations import in_state
+            self._states[state] = not in_state(self.station, state).isEmpty()
+        return self._states[state]

@@ -6,10 +6,11 @@ from stationspark.functions import clean
 
 
 def test_metric_markers_become_null(spark):
-    df = spark.createDataFrame([("M",), ("T",), ("  T",), ("",), (" 0.00",), ("1.50",), (None,), ("5.7",)],
+    df = spark.createDataFrame([("M",), ("T",), ("  T",), ("",), (" 0.00",), ("1.50",), (None,), ("5.7",),
+                                ("NaN",), ("Infinity",), ("-inf",), ("1d",), ("5f ",), ("1e3",), ("-.5",)],
                                "x string")
     got = [r.v for r in df.select(clean.metric("x").alias("v")).collect()]
-    assert got == [None, None, None, None, 0.0, 1.5, None, 5.7]
+    assert got == [None, None, None, None, 0.0, 1.5, None, 5.7, None, None, None, None, None, 1000.0, -0.5]
 
 
 def test_metric_passes_numbers_through(spark):

@@ -1,5 +1,7 @@
 """Hand-made rows for the risky semantics: markers, thresholds, nulls, ties, empties."""
 
+import pytest
+
 from stationspark.plans import queries as q
 
 STATIONS = [(1, "AA", "Alpha", 30.0, -80.0), (2, "AA", "Beta", 31.0, -81.0),
@@ -66,6 +68,18 @@ def test_extrema_fraction_ties_and_empty(make_tables):
     assert all(r.WBAN is None and r.value is None for r in empty)
     grouped = {(r.State, r.which): r.WBAN for r in q.metric_extrema_by_state(t, "daily", 3, "Tavg").collect()}
     assert grouped == {("AA", "min"): 1, ("AA", "max"): 2, ("BB", "min"): 3, ("BB", "max"): 3}
+    by_month = q.metric_extrema_by_state(t, "daily", None, "Tavg").collect()
+    assert len(by_month) == 2 * 12 * 2                     # states, months, min and max
+    assert {r.month for r in by_month if r.value is None} == set(range(1, 13)) - {3}
+    assert {(r.State, r.which, r.WBAN) for r in by_month if r.month == 3} == {(s, w, i) for (s, w), i in grouped.items()}
+
+
+def test_grouped_extrema_of_a_state_without_values(make_tables):
+    t = make_tables(STATIONS, daily=[day(1, 20130301, Tavg="5"), day(3, 20130301, Tavg="M")])
+    rows = {(r.State, r.which): (r.WBAN, r.value, r.difference) for r in
+            q.metric_extrema_by_state(t, "daily", 3, "Tavg").collect()}
+    assert rows[("BB", "min")] == rows[("BB", "max")] == (None, None, None)
+    assert rows[("AA", "min")] == (1, 5.0, 0.0) and len(rows) == 4
 
 
 def test_suspect_counts_ties_and_repeated_station(make_tables):
@@ -91,7 +105,7 @@ def test_means_and_profile_on_empty_selection(make_tables):
                             (3, 20130101, 230, "10", 1)])
     assert q.station_metric_avg(t, "AA", 1, 1).first().value == 50.0
     assert q.station_metric_avg(t, "AA", 2, 3).first().value is None
-    assert q.station_metric_avg(t, "ZZ", 1, 1).collect()[0].value is None
+    assert q.station_metric_avg(t, "CA", 1, 1).collect()[0].value is None     # a state without data
     profile = {r.hour: r.value for r in q.hourly_profile(t, "AA", 1).collect()}
     assert len(profile) == 24 and profile[0] == 60.0 and profile[1] == 0.0 and profile[23] == 70.0
     assert sum(profile.values()) == 130.0
@@ -101,7 +115,32 @@ def test_means_and_profile_on_empty_selection(make_tables):
     assert [r.hour for r in empty] == list(range(24)) and {r.value for r in empty} == {0.0}
     assert [r.label for r in empty][:2] == ["0:00", "1:00"]
     by_state = {(r.State, r.hour): r.value for r in q.hourly_profile_by_state(t, 1).collect()}
-    assert by_state == {("AA", 0): 60.0, ("AA", 1): 0.0, ("AA", 23): 70.0, ("BB", 2): 10.0}
+    assert len(by_state) == 2 * 24
+    assert {k: v for k, v in by_state.items() if v} == {("AA", 0): 60.0, ("AA", 23): 70.0, ("BB", 2): 10.0}
+    keyed = q.hourly_profile_by_state(t, None).collect()
+    assert len(keyed) == 2 * 12 * 24 and sum(r.value for r in keyed) == 140.0
+
+
+def test_unknown_state_is_an_error(make_tables):
+    t = make_tables(STATIONS, daily=[day(1, 20130301, Tavg="5")], monthly=[(1, 201301, "50", 1)],
+                    hourly=[(1, 20130101, 53, "60", 1)])
+    for ask in (lambda s: q.station_metric_avg(t, s, 1, 1), lambda s: q.station_ids(t, s),
+                lambda s: q.hourly_profile(t, s, 1), lambda s: q.metric_extrema(t, "daily", s, 3, "Tavg"),
+                lambda s: q.unreliable_stations(t, 1, 3, state=s)):
+        for bad in ("ZZ", "", "aa"):
+            with pytest.raises(ValueError):
+                ask(bad)
+        ask("AA"), ask("CA")                                # known: loaded, or one of the 50
+
+
+def test_count_belongs_to_the_month_of_the_file(make_tables):
+    hit = dict(Depart="9", Max5Speed="40", PrecipTotal="3")
+    t = make_tables(STATIONS, daily=[day(1, 20130301, **hit), day(1, 20130401, month=3, **hit),
+                                     day(1, 20130402, month=4, **hit)])
+    by_month = {r.month: r.n_days for r in q.anomalous_days_count(t, None).collect()}
+    assert by_month == {m: {3: 2, 4: 1}.get(m, 0) for m in range(1, 13)}
+    assert [q.anomalous_days_count(t, m).first().n_days for m in (3, 4, 5)] == [2, 1, 0]
+    assert {r.n_days for r in q.agri_days_count(t, None).collect()} == {0}
 
 
 def test_monthly_avg_temperature(make_tables):

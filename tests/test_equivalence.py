@@ -92,7 +92,7 @@ def test_counts_by_month_match_single_months(tables):
 
 def test_complete_grouped_profile_matches_single_profiles(tables):
     for rows_bound in (st.DEFAULT_BROADCAST_ROWS, None):
-        full = q.hourly_profile_by_state(tables, 1, complete=True, broadcast_rows=rows_bound)
+        full = q.hourly_profile_by_state(tables, 1, broadcast_rows=rows_bound)
         n_states = tables.station.select("State").distinct().count()
         assert full.count() == 24 * n_states
         mine = sorted((r.hour, r.label, r.value) for r in full.filter(F.col("State") == STATE).collect())

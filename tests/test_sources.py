@@ -4,6 +4,7 @@ import json
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from stationspark.operators.stations import latest_station_rows
@@ -11,6 +12,7 @@ from stationspark.plans import queries as q
 from stationspark.session import local_path, scratch_path
 from stationspark.sources import readers, schemas, sinks
 from stationspark.sources.tables import WeatherTables
+from stationspark.streaming import ingest
 
 
 def rows(df):
@@ -52,7 +54,7 @@ def test_pipe_station_file_and_leading_zeros(spark, tmp_path):
 
 def _write_month(root, yyyymm, kind, text):
     d = root / yyyymm
-    d.mkdir(exist_ok=True)
+    d.mkdir(exist_ok=True, parents=True)
     (d / f"{kind}.txt").write_text(text)
 
 
@@ -136,3 +138,53 @@ def test_month_files_with_different_column_orders(spark, tmp_path):
         readers.read_month_files(spark, str(tmp_path), "monthly").collect()
     by_name = readers.read_month_files(spark, str(tmp_path), "monthly", months=[1, 2], by_name=True)
     assert sorted((r.WBAN, r.month, r.AvgTemp) for r in by_name.collect()) == [(3011, 1, "40"), (3011, 2, "50")]
+
+
+def test_clean_layer_answers_as_the_raw_tables(spark, tables):
+    root = scratch_path(spark, "clean-layer")
+    sinks.write_clean(tables, root)
+    layer = readers.load_partitioned(spark, root)
+    assert dict(layer.daily.dtypes)["Depart"] == "double" and dict(layer.daily.dtypes)["CodeSum"] == "string"
+    for ask in (lambda t: q.anomalous_days(t, 3), lambda t: q.agri_days(t, 6), lambda t: q.unreliable_stations(t, 1, 6),
+                lambda t: q.hourly_profile_by_state(t, None), lambda t: q.metric_extrema_by_state(t, "daily", 3, "Tavg"),
+                lambda t: q.station_metric_avg(t, "NATION_3", 2, 5)):
+        assert rows(ask(layer)) == rows(ask(tables))
+
+
+def test_both_loaders_give_one_station_dimension(spark, tmp_path):
+    for m, temp, state in ((1, "10", "CO"), (2, "20", "CO"), (3, "60", "UT")):
+        ym = f"2013{m:02d}"
+        _write_month(tmp_path / "raw", ym, "station", f"WBAN|State|Location|Latitude|Longitude\n3011|{state}|X|1.0|2.0\n"
+                                                      f"3011|{state}|W|1.0|2.0\n")
+        _write_month(tmp_path / "raw", ym, "monthly", f"WBAN,YearMonth,AvgTemp\n3011,{ym},{temp}\n")
+    out = str(tmp_path / "layer")
+    ingest.ingest_available(spark, str(tmp_path / "raw"), out)
+    files = readers.load_month_files(spark, str(tmp_path / "raw"), kinds=("monthly",))
+    layer = readers.load_partitioned(spark, out)               # daily and hourly were never ingested
+    for t in (files, layer):
+        assert [(r.WBAN, r.State, r.Location) for r in t.station.collect()] == [(3011, "CO", "X")]
+        assert q.station_metric_avg(t, "CO", 1, 3).first().value == 30.0
+    with pytest.raises(ValueError):
+        layer.fact("daily")
+    with pytest.raises(AnalysisException):
+        readers.load_partitioned(spark, out, kinds=("daily",))
+
+
+def test_repeated_station_id_counts_once_in_every_load(spark):
+    root = scratch_path(spark, "repeated")
+    station = spark.createDataFrame([(1, "AA", "A", 1.0, 2.0), (1, "AA", "A", 1.0, 2.0), (2, "AA", "B", 1.0, 2.0)], schemas.STATION)
+    monthly = spark.createDataFrame([(1, 201301, "10", 1), (2, 201301, "30", 1)], "WBAN int, YearMonth int, AvgTemp string, month int")
+    hourly = spark.createDataFrame([(1, 20130101, 30, "10", 1), (2, 20130101, 30, "30", 1)],
+                                   "WBAN int, YearMonthDay int, Time int, DryBulbFarenheit string, month int")
+    sinks.write_tables(WeatherTables(station=station, monthly=monthly, hourly=hourly), root)
+    t = readers.load_partitioned(spark, root)
+    assert t.station.count() == 2
+    assert q.station_metric_avg_by_state_month(t).first().value == q.station_metric_avg(t, "AA", 1, 1).first().value == 20.0
+    assert q.hourly_profile_by_state(t, 1).filter("hour = 0").first().value == q.hourly_profile(t, "AA", 1).first().value == 20.0
+    assert q.metric_extrema_by_state(t, "monthly", 1, "AvgTemp").count() == 2
+
+
+def test_month_files_need_a_month(spark):
+    df = spark.createDataFrame([(1, 201301, "10", None)], "WBAN int, YearMonth int, AvgTemp string, month int")
+    with pytest.raises(ValueError):
+        sinks.write_month_files(df, scratch_path(spark, "no-month"), "monthly")

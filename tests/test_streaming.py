@@ -1,5 +1,7 @@
 """Incremental ingest: each month file is loaded exactly once, re-runs add only new files."""
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import types as T
 
 from stationspark.plans import queries as q
@@ -41,3 +43,28 @@ def test_ingest_is_incremental_and_exactly_once(spark, tmp_path):
     tables = readers.load_partitioned(spark, str(out), kinds=("monthly",))
     assert sorted(r.WBAN for r in tables.station.collect()) == [7, 3011]
     assert q.station_metric_avg(tables, "CO", 1, 3).first().value == 50.0
+
+
+def test_reordered_header_fails_instead_of_shifting_columns(spark, tmp_path):
+    raw = tmp_path / "raw"
+    for m, header, row in ((1, "WBAN,YearMonth,AvgTemp", "3011,201301,40"), (2, "AvgTemp,WBAN,YearMonth", "50,3011,201302")):
+        (raw / f"2013{m:02d}").mkdir(parents=True)
+        (raw / f"2013{m:02d}" / "monthly.txt").write_text(f"{header}\n{row}\n")
+    with pytest.raises(StreamingQueryException):
+        ingest.ingest_available(spark, str(raw), str(tmp_path / "out"), {"monthly": MONTHLY})
+
+
+def test_years_stay_apart_and_progress_lies_with_the_output(spark, tmp_path):
+    raw, out = tmp_path / "raw", tmp_path / "out"
+    for ym, temp in (("201301", "40"), ("201401", "90")):
+        (raw / ym).mkdir(parents=True)
+        (raw / ym / "monthly.txt").write_text(f"WBAN,YearMonth,AvgTemp\n3011,{ym},{temp}\n")
+        (raw / ym / "station.txt").write_text("WBAN|State|Location|Latitude|Longitude\n3011|CO|X|1.0|2.0\n")
+    assert ingest.ingest_available(spark, str(raw), str(out)) == {"monthly": 2, "station": 2}
+    for year, temp in ((2013, 40.0), (2014, 90.0)):
+        t = readers.load_partitioned(spark, str(out), year=year)
+        assert q.station_metric_avg(t, "CO", 1, 12).first().value == temp
+    assert (out / "_checkpoints" / "monthly").is_dir()
+    # another output starts anew
+    assert ingest.ingest_available(spark, str(raw), str(tmp_path / "out_2"))["monthly"] == 2
+    assert ingest.ingest_available(spark, str(raw), str(out)) == {"monthly": 0, "station": 0}
