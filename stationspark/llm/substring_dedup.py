@@ -251,4 +251,4 @@ def remove(docs: DataFrame) -> DataFrame:
 
 
 def digest(removed: DataFrame) -> DataFrame:
-    return removed.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), "longest")
+    return removed.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
