@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stationspark.functions.params import is_numeric
 from stationspark.sources.schemas import PARTITION_COLUMN
 
 # Markers inside metric text (fixed values): missing, trace, suspect flag.
@@ -44,7 +45,7 @@ def values_of(df: DataFrame):
     column of the clean layer is taken as it is, so that filters on it reach
     the scan."""
     def value(name: str) -> Column:
-        return metric(name) if isinstance(df.schema[name].dataType, T.StringType) else F.col(name)
+        return F.col(name) if is_numeric(df, name) else metric(name)
 
     return value
 

@@ -24,9 +24,9 @@ MONTH = PARTITION_COLUMN
 def _known_state(tables: WeatherTables, state: str) -> str:
     """One of the 50 states, or a state that a loaded station has."""
     params.check_state(state)
-    if state not in catalog.STATES and not tables.has_state(state):
-        raise ValueError(f"unknown state code {state!r}")
-    return state
+    if state not in catalog.STATES and tables.has_state(state):
+        return state
+    return params.check_state(state, known=catalog.STATES)
 
 
 def _months(df: DataFrame, month_start: int, month_end: int) -> DataFrame:
