@@ -91,12 +91,17 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataF
     return stored(rows.select("source", "source_no", "source_size", target.alias("target")), "mix-sources")
 
 
+def _side(df: DataFrame, sources: DataFrame) -> DataFrame:
+    """A table of a few rows for each source, broadcast if there are not too
+    many sources; otherwise Spark splits the rows of large ones."""
+    return F.broadcast(df) if sources.count() <= MOST_BROADCAST else df
+
+
 def permuted(sizes: DataFrame, sources: DataFrame, seed: int = SEED) -> DataFrame:
     """Every document with ``start``, the words before it in its source."""
     n = sizes.count()
     buckets = max(1, math.ceil(n / BUCKET_ROWS))
-    side = F.broadcast(sources) if sources.count() <= MOST_BROADCAST else sources
-    rows = sizes.join(side, sizes["source"].eqNullSafe(sources["source"])).drop(sources["source"])
+    rows = sizes.join(_side(sources, sources), sizes["source"].eqNullSafe(sources["source"])).drop(sources["source"])
     rows = rows.withColumn("turn", F.xxhash64("doc_id", "occurrence", F.lit(seed)))
     rows = rows.withColumn("bucket", F.pmod("turn", F.lit(buckets)))
     inside = Window.partitionBy("source_no", "bucket").orderBy("turn", "doc_id", "occurrence")
@@ -109,7 +114,7 @@ def permuted(sizes: DataFrame, sources: DataFrame, seed: int = SEED) -> DataFram
                   "mix-order")
 
 
-def drawn(rows: DataFrame) -> DataFrame:
+def drawn(rows: DataFrame, sources: DataFrame) -> DataFrame:
     """Every document with the number of times it is taken (``copies``)."""
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     rows = rows.withColumn("whole", F.least(whole, F.lit(MOST)))
@@ -124,16 +129,16 @@ def drawn(rows: DataFrame) -> DataFrame:
             "source_no", (F.col("gap") - F.coalesce("got", F.lit(0))).alias("gap"))
         free = rows.filter((F.col("whole") + F.col("more").cast("long") < MOST) & (F.col("size") > 0))
         if filled is not None:
-            free = free.join(filled.select("source_no", "start"), ["source_no", "start"], "left_anti")
+            free = free.join(_side(filled.select("source_no", "start"), sources), ["source_no", "start"], "left_anti")
         last = k == FILL_ROUNDS - 1
         # the last one may go over, if that comes nearer
         fits = F.col("size") < 2 * F.col("gap") if last else F.col("size") <= F.col("gap")
         off = F.abs(F.col("gap") - F.col("size"))
-        best = (free.join(gaps, "source_no").filter(fits).groupBy("source_no")
+        best = (free.join(_side(gaps, sources), "source_no").filter(fits).groupBy("source_no")
                 .agg(F.min(F.struct(off.alias("off"), "start", "size")).alias("best"))
                 .select("source_no", "best.start", "best.size"))
         filled = stored(best if filled is None else filled.unionByName(best), f"mix-fill{k}")
-    rows = rows.join(filled.select("source_no", "start", F.col("size").alias("size"), F.lit(True).alias("fills")),
+    rows = rows.join(_side(filled.select("source_no", "start", "size", F.lit(True).alias("fills")), sources),
                      ["source_no", "start", "size"], "left")
     fills = F.coalesce("fills", F.lit(False))
     return rows.withColumn("copies", F.col("whole") + F.col("more").cast("long") + fills.cast("long"))
@@ -184,7 +189,8 @@ def plan(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The documents with their counts, and a row ``(doc_id, occurrence, size,
     copy, shard)`` for each time that one is taken."""
     sizes = word_counts(docs)
-    rows = stored(drawn(permuted(sizes, source_targets(sizes))), "mix-drawn")
+    sources = source_targets(sizes)
+    rows = stored(drawn(permuted(sizes, sources), sources), "mix-drawn")
     taken = draws(rows)
     quotas = taken.groupBy("source_no").agg((F.max("block") + 1).alias("quota"))
     taken = taken.join(splitting_tree(stored(quotas, "mix-quotas")), ["source_no", "block"])
