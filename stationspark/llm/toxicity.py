@@ -202,6 +202,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
     some = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("of")).select("doc_id", "text").mapInArrow(
         found, "doc_id long, cues array<int>").orderBy("doc_id", "cues").limit(2 * FIT_ROWS).collect()
     rows = [np.array(r["cues"], dtype=np.int64) for r in some]
+    if not rows:
+        return Classifier({}, float(np.log(prior) - np.log1p(-prior)))
 
     place = np.full(len(names), -1)
     place[[known[v] for v in voters]] = np.arange(len(voters))
