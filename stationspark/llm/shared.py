@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stationspark.session import scratch_path
 
@@ -43,6 +46,26 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def packed(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``text`` compressed to ``packed``, for the way through a
+    shuffle: less than two thirds of what Spark's own compression leaves."""
+    rest = [f for f in rows.schema.fields if f.name != "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            texts = [packer.compress(t.as_buffer()) for t in batch.column("text")]
+            yield pa.RecordBatch.from_pydict({f.name: batch.column(f.name) for f in rest} | {
+                "packed": pa.array(texts, pa.binary())})
+
+    return rows.mapInArrow(run, T.StructType([*rest, T.StructField("packed", T.BinaryType())]))
+
+
+def unpacked(column: pa.Array) -> list[bytes]:
+    unpacker = zstandard.ZstdDecompressor()
+    return [unpacker.decompress(p.as_buffer()) for p in column]
+
+
 def workers_can_import(spark: SparkSession) -> None:
     """Puts the folder that holds this package on the path of Python workers.
 

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationspark.llm.shared import stored, whole_text
+from stationspark.llm.shared import packed, stored, unpacked, whole_text
 
 HELD_OUT = 2
 THRESHOLD = 0.3
@@ -85,8 +85,8 @@ def training_labels(labels: DataFrame) -> DataFrame:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         every, toxic = Counter(), Counter()
-        for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            found = cues(text)
+        for text, label in zip(unpacked(batch.column("packed")), batch.column("toxic").to_pylist()):
+            found = cues(text.decode())
             every.update(found)
             if label:
                 toxic.update(found)
@@ -96,8 +96,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def cue_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    rows = docs.select("doc_id", whole_text().alias("text")).join(labels, F.col("doc_id") == labels["of"])
-    counts = rows.select("text", "toxic").mapInArrow(_count, "cue string, n long, toxic long")
+    # by shuffle at any size: labels grow with the documents
+    texts = packed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")))
+    rows = texts.join(labels.hint("merge"), texts["doc_id"] == labels["of"])
+    counts = rows.select("packed", "toxic").mapInArrow(_count, "cue string, n long, toxic long")
     return counts.groupBy("cue").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).filter(F.col("n") >= LEAST_SUPPORT)
 
 
