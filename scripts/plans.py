@@ -46,10 +46,10 @@ def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     out = argv[2] if len(argv) > 2 else "PLANS.md"
     spark = build_session()
-    root = sinks.write_tables(fixtures.build(spark, sf_dir), scratch_path(spark, "plans-layer"))
+    root = sinks.write_clean(fixtures.build(spark, sf_dir), scratch_path(spark, "plans-layer"))
     tables = readers.load_partitioned(spark, root)
     parts = ["# Physical plans\n",
-             "Generated by `scripts/plans.py` over the month-partitioned Parquet layer "
+             "Generated by `scripts/plans.py` over the clean Parquet layer "
              f"written from `{sf_dir}`. Plans are the initial adaptive plans "
              "(`isFinalPlan=false`); AQE may still coalesce partitions at run time.\n"]
     for name, build in registry.COMPOSITE.items():
