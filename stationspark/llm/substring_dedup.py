@@ -40,17 +40,18 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationspark.llm.shared import stored, whole_text
+from stationspark.llm.shared import packed, stored, unpacked, whole_text
 from stationspark.llm.shingles import Runs, hashed
 
 WINDOW = 50
 BASE = WINDOW // 2
+#: Spans that a task holds before it hands them on.
+HELD_SPANS = 20_000
 
-ANCHORS = "doc_id long, at int, h long"
+ANCHORS = "doc_id long, h long"
 SPANS = ("doc_id long, th long, at int, first int, last int, h long, span long, windows array<long>, "
          "longer array<long>")
 
@@ -61,24 +62,6 @@ def _texts(docs: DataFrame) -> DataFrame:
     return rows.withColumn("th", F.xxhash64("text"))
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    packer = zstandard.ZstdCompressor(level=1)
-    for batch in batches:
-        packed = [packer.compress(t.as_buffer()) for t in batch.column("text")]
-        yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "th": batch.column("th"),
-                                          "packed": pa.array(packed, pa.binary())})
-
-
-def _packed(texts: DataFrame) -> DataFrame:
-    """The texts compressed, for the way through a shuffle."""
-    return texts.mapInArrow(_pack, "doc_id long, th long, packed binary")
-
-
-def _unpacked(column: pa.Array) -> list[bytes]:
-    unpacker = zstandard.ZstdDecompressor()
-    return [unpacker.decompress(p.as_buffer()) for p in column]
-
-
 def _anchor_of_windows(runs: Runs) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the base runs, and the start of each window's anchor."""
     base = runs.all(BASE)
@@ -93,18 +76,17 @@ def _signed(x: np.ndarray) -> np.ndarray:
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         doc_ids = batch.column("doc_id").to_pylist()
-        owner, at, h = [], [], []
+        owner, h = [], []
         for i, words in hashed(batch.column("text")):
             if len(words) < WINDOW or doc_ids[i] is None:
                 continue
             base, anchors = _anchor_of_windows(Runs(words))
-            here = np.unique(anchors)
+            # a run that a document repeats counts once
+            here = np.unique(base[np.unique(anchors)])
             owner.append(np.full(len(here), doc_ids[i]))
-            at.append(here)
-            h.append(_signed(base[here]))
+            h.append(_signed(here))
         if owner:
             yield pa.RecordBatch.from_pydict({"doc_id": pa.array(np.concatenate(owner), pa.int64()),
-                                              "at": pa.array(np.concatenate(at), pa.int32()),
                                               "h": pa.array(np.concatenate(h), pa.int64())})
 
 
@@ -114,15 +96,16 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in SPANS.split(", ")]
     for batch in batches:
         out: list[list] = [[] for _ in names]
-        doc_ids, ths, places = (batch.column(c).to_pylist() for c in ("doc_id", "th", "places"))
-        for i, words in hashed(pa.array(_unpacked(batch.column("packed")), pa.binary())):
+        doc_ids, ths = batch.column("doc_id").to_pylist(), batch.column("th").to_pylist()
+        for i, words in hashed(pa.array(unpacked(batch.column("packed")), pa.binary())):
             runs = Runs(words)
             if runs.n < WINDOW:
                 continue
             base, anchors = _anchor_of_windows(runs)
             windows = _signed(runs.all(WINDOW))
-            # places of another text of this id may be among them
-            at = np.intersect1d(places[i], anchors)
+            at = np.unique(anchors)
+            wanted = np.asarray(batch.column("repeated")[i].values).view(np.uint64)
+            at = at[np.isin(base[at], wanted)]
             first = np.searchsorted(anchors, at)
             last = np.searchsorted(anchors, at, side="right") - 1
             spans = _signed(runs.of(first, last + WINDOW))
@@ -138,6 +121,9 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                         _signed(base[at]).tolist(), spans.tolist(),
                                         [windows[a:b + 1] for a, b in zip(first, last)], longer)):
                 out[k].extend(values)
+            if len(out[0]) >= HELD_SPANS:
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types)], names=names)
+                out = [[] for _ in names]
         yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types)], names=names)
 
 
@@ -161,11 +147,11 @@ def repeated_spans(docs: DataFrame, copies: DataFrame) -> DataFrame:
     windows of 50 words and the hashes of its extensions."""
     texts = _texts(docs)
     anchors = texts.select("doc_id", "text").mapInArrow(_anchors, ANCHORS)
-    places = (anchors.join(_repeated(anchors, ["h"]).select("h"), "h")
-              .groupBy("doc_id").agg(F.collect_list("at").alias("places")))
+    repeated = (anchors.join(_repeated(anchors, ["h"]).select("h"), "h")
+                .groupBy("doc_id").agg(F.collect_list("h").alias("repeated")))
     first = copies.filter("doc_id = least").select("doc_id", "th").distinct()
-    found = _packed(texts).join(places.join(first, "doc_id"), ["doc_id", "th"])
-    return stored(found.select("doc_id", "th", "packed", "places").mapInArrow(_spans, SPANS), "anchor-spans")
+    found = packed(texts).join(repeated.join(first, "doc_id"), ["doc_id", "th"])
+    return stored(found.select("doc_id", "th", "packed", "repeated").mapInArrow(_spans, SPANS), "anchor-spans")
 
 
 def repeated_windows(spans: DataFrame) -> DataFrame:
@@ -209,7 +195,7 @@ def longest_repeats(spans: DataFrame) -> DataFrame:
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n_words, n_removed, kept, longest = [], [], [], []
-        for text, ranges, copied, later, found in zip(_unpacked(batch.column("packed")), *(
+        for text, ranges, copied, later, found in zip(unpacked(batch.column("packed")), *(
                 batch.column(c).to_pylist() for c in ("ranges", "copied", "later", "longest"))):
             words = text.split()
             n, left = len(words), words
@@ -244,7 +230,7 @@ def remove(docs: DataFrame) -> DataFrame:
     facts = facts.groupBy("doc_id", "th").agg(
         F.collect_list("range").alias("ranges"), F.max("longest").alias("longest"),
         F.bool_or("copied").alias("copied"), F.bool_or("later").alias("later"))
-    rows = _packed(_texts(docs)).join(facts, ["doc_id", "th"], "left").select(
+    rows = packed(_texts(docs)).join(facts, ["doc_id", "th"], "left").select(
         "doc_id", "packed", "ranges", F.coalesce("copied", F.lit(False)).alias("copied"),
         F.coalesce("later", F.lit(False)).alias("later"), F.coalesce("longest", F.lit(0)).alias("longest"))
     return rows.mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept string, longest int")
