@@ -54,8 +54,9 @@ STRENGTH = 20.0
 TRIGRAM_START = 0.1
 CODE_START = 0.5
 LEAST_PROBABILITY = 0.5
-#: Trigrams from which a text can be unlike all languages.
-LEAST_TRIGRAMS = 20
+#: Trigrams from which a text can be unlike all languages; a shorter one may
+#: be a sentence around a key or an address, and is kept.
+LEAST_TRIGRAMS = 200
 CHUNK_BYTES = 1 << 20
 
 _FOLD = np.full(256, 32, dtype=np.uint8)
