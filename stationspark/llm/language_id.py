@@ -4,11 +4,13 @@ An item has a text and may have a declared language, a host and an address
 suffix (the last label of the host name).
 
 1. ``text_model``: letter trigrams (of bytes, in ``BUCKETS`` hash buckets) are
-   counted over all texts by declared language; smoothed, they give the
-   likelihood of a text in each language.  Languages are the declared codes of
-   ``LEAST_ITEMS`` items or more, the ``MOST_LANGUAGES`` most frequent.
+   counted over all texts by declared language; smoothed towards equal odds
+   and towards the whole corpus, they give the likelihood of a text in each
+   language.  Every declared code is a language, however rare.
 2. ``read_texts``: every whole text's log likelihoods, tempered, because
-   overlapping trigrams are not independent, and its posterior by text alone.
+   overlapping trigrams are not independent.  Where a text makes up more than
+   ``OWN_SHARE`` of its declared language's trigrams, its own are taken out of
+   them, so a text does not vouch for a rare code by itself.
 3. ``host_priors``: grouped sums of these posteriors, smoothed down a
    hierarchy: all items, the suffix, the host.  A group of n items weighs n
    against ``STRENGTH`` items of the group above.  An item's own posterior is
@@ -20,10 +22,13 @@ suffix (the last label of the host name).
 
 An item is accepted when the best language has ``LEAST_PROBABILITY`` and its
 text reads like a language: some letters, and not less likely under the best
-language than under equal odds of all buckets.
+language than under equal odds of all buckets.  Where the other texts of the
+declared code have fewer than ``LEAST_KNOWN`` trigrams, neither test can say
+that the text is not in that language, and letters are enough.
 
 Only tables with a row for each language and bucket, code or suffix are
-broadcast or brought to the driver; hosts are joined.
+broadcast or brought to the driver (a code has two or three letters, so there
+are 18,252 at most; its model is 64 KB); hosts are joined.
 
 Defined results: a null or letterless text has language ``und`` and is not
 accepted; a null or unknown declaration is a code of its own; a null host is a
@@ -37,20 +42,25 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationspark.llm.shared import stored, whole_text
 
 BUCKETS = 8192
-LEAST_ITEMS = 5
-MOST_LANGUAGES = 64
+#: Trigrams of a code's other texts from which they tell what is unlike it.
+LEAST_KNOWN = BUCKETS
+#: Share of its language's trigrams up to which a text's own ones stay in.
+OWN_SHARE = 0.01
 #: Share of a text's log likelihood that counts as independent evidence.
 TEMPER = 1 / 3
 #: Items of the group above that a group is smoothed with.
 STRENGTH = 20.0
-#: Added to the counts of trigrams, and of declared codes.
+#: Added to the counts of trigrams (as much again is dealt out like the whole
+#: corpus), and of declared codes.
 TRIGRAM_START = 0.1
 CODE_START = 0.5
 LEAST_PROBABILITY = 0.5
@@ -58,6 +68,8 @@ LEAST_PROBABILITY = 0.5
 #: be a sentence around a key or an address, and is kept.
 LEAST_TRIGRAMS = 200
 CHUNK_BYTES = 1 << 20
+#: Languages whose counts a task holds before it hands them on.
+HELD_LANGUAGES = 256
 
 _FOLD = np.full(256, 32, dtype=np.uint8)
 _FOLD[128:] = np.arange(128, 256)
@@ -109,104 +121,158 @@ def _trigrams(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
 
 
 def languages(items: DataFrame) -> list[str]:
-    rows = (items.filter("declared is not null").groupBy("declared").agg(F.count(F.lit(1)).alias("n"))
-            .filter(F.col("n") >= LEAST_ITEMS).orderBy(F.col("n").desc(), "declared").limit(MOST_LANGUAGES).collect())
+    rows = items.filter("declared is not null").select("declared").distinct().collect()
     return sorted(r["declared"] for r in rows)
 
 
 def text_model(items: DataFrame, names: list[str]) -> np.ndarray:
-    """Log probabilities, a row for each language and a column for each bucket."""
+    """Smoothed counts, a row for each language and a column for each bucket."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, place = np.zeros((len(names) + 1, BUCKETS), dtype=np.int64), {n: i for i, n in enumerate(names)}
+        sums, place = {}, {n: i for i, n in enumerate(names)}
+
+        def handed_on() -> pa.RecordBatch:
+            language = np.fromiter(sums, dtype=np.int32, count=len(sums))
+            table = np.stack(list(sums.values())) if sums else np.zeros((0, BUCKETS), dtype=np.int64)
+            at, bucket = np.nonzero(table)
+            return pa.RecordBatch.from_pydict({"language": pa.array(language[at], pa.int32()),
+                                               "bucket": pa.array(bucket, pa.int32()), "n": pa.array(table[at, bucket], pa.int64())})
+
         for batch in batches:
-            of = np.array([place.get(d, len(names)) for d in batch.column("declared").to_pylist()], dtype=np.int64)
+            of = np.array([place.get(d, -1) for d in batch.column("declared").to_pylist()], dtype=np.int64)
             for row, end, buckets, owner in _trigrams(batch.column("text")):
-                at = of[row:end][owner] * BUCKETS + buckets
-                sums += np.bincount(at, minlength=sums.size).reshape(sums.shape)
-        language, bucket = np.nonzero(sums[:-1])
-        yield pa.RecordBatch.from_pydict({"language": pa.array(language, pa.int32()), "bucket": pa.array(bucket, pa.int32()),
-                                          "n": pa.array(sums[language, bucket], pa.int64())})
+                there, local = np.unique(of[row:end], return_inverse=True)
+                for i in range(0, len(there), HELD_LANGUAGES):
+                    some = there[i:i + HELD_LANGUAGES]
+                    at = local[owner] - i
+                    inside = (at >= 0) & (at < len(some))
+                    table = np.bincount(at[inside] * BUCKETS + buckets[inside], minlength=len(some) * BUCKETS)
+                    for language, counts in zip(some.tolist(), table.reshape(len(some), BUCKETS)):
+                        if language >= 0:
+                            sums[language] = sums[language] + counts if language in sums else counts
+                    if len(sums) >= HELD_LANGUAGES:
+                        yield handed_on()
+                        sums.clear()
+        yield handed_on()
 
     counts = items.select("text", "declared").mapInArrow(count, "language int, bucket int, n long")
-    table = np.full((len(names), BUCKETS), TRIGRAM_START)
-    for r in counts.groupBy("language", "bucket").agg(F.sum("n").alias("n")).collect():
-        table[r["language"], r["bucket"]] += r["n"]
-    return np.log(table) - np.log(table.sum(axis=1, keepdims=True))
+    rows = counts.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros((len(names), BUCKETS))
+    table[rows.column("language").to_numpy(), rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
+    corpus = table.sum(axis=0)
+    return table + TRIGRAM_START * (1 + BUCKETS * corpus / max(1.0, corpus.sum()))
+
+
+def _alone(logs: np.ndarray, model: np.ndarray, own: np.ndarray, buckets: np.ndarray, owner: np.ndarray) -> None:
+    """Sets the rows' log likelihoods in their own languages to those without
+    their own trigrams."""
+    keys, k = np.unique(owner * BUCKETS + buckets, return_counts=True)
+    row, bucket = np.divmod(keys, BUCKETS)
+    left = np.maximum(model[own[row], bucket] - k, TRIGRAM_START)
+    counts = np.bincount(row, weights=k, minlength=len(own))
+    here = np.flatnonzero(counts)
+    total = np.maximum(model[own[here]].sum(axis=1) - counts[here], TRIGRAM_START * BUCKETS)
+    logs[here, own[here]] = np.bincount(row, weights=k * np.log(left), minlength=len(own))[here] - counts[here] * np.log(total)
 
 
 def read_texts(items: DataFrame, names: list[str], model: np.ndarray) -> DataFrame:
-    """``id, declared, host, suffix, evidence, by_text, readable``."""
-    model = model.astype(np.float32)
+    """``id, declared, host, suffix, evidence, readable, unjudged``; the items
+    are among those that the model is fitted on."""
     best_chance = float(-np.log(BUCKETS))
+    place = {n: i for i, n in enumerate(names)}
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = model.sum(axis=1)
+        known = totals - 2 * TRIGRAM_START * BUCKETS
+        chances = (np.log(model) - np.log(totals)[:, None]).astype(np.float32)
         for batch in batches:
-            logs, counts = [], []
+            of = np.array([place.get(d, -1) for d in batch.column("declared").to_pylist()], dtype=np.int64)
             for row, end, buckets, owner in _trigrams(batch.column("text")):
-                counts.append(np.bincount(owner, minlength=end - row))
-                logs.append(np.stack([np.bincount(owner, weights=m[buckets], minlength=end - row) for m in model], axis=1))
-            logs, counts = np.concatenate(logs) if logs else np.zeros((0, len(names))), np.concatenate(counts or [[]])
-            evidence = TEMPER * (logs - logs.max(axis=1, keepdims=True))
-            by_text = np.exp(evidence)
-            by_text /= by_text.sum(axis=1, keepdims=True)
-            readable = (counts > 0) & ((counts < LEAST_TRIGRAMS) | (logs.max(axis=1) > best_chance * counts))
-            yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in ("id", "declared", "host", "suffix")} | {
-                "evidence": pa.array(list(evidence), pa.list_(pa.float64())),
-                "by_text": pa.array(list(by_text), pa.list_(pa.float64())), "readable": pa.array(readable)})
-
-    return items.mapInArrow(read, "id long, declared string, host string, suffix string, evidence array<double>, "
-                                  "by_text array<double>, readable boolean")
-
-
-def _sums(n: int) -> list[Column]:
-    """The sum of each language's posteriors, of readable texts."""
-    return [F.sum(F.when(F.col("readable"), F.get("by_text", F.lit(i))).otherwise(0.0)).alias(f"s{i}") for i in range(n)]
-
-
-def _shares(sums: list[Column], above: list[Column]) -> Column:
+                own, counts = of[row:end], np.bincount(owner, minlength=end - row)
+                logs = np.stack([np.bincount(owner, weights=m[buckets], minlength=end - row) for m in chances], axis=1)
+                much = (own >= 0) & (counts > OWN_SHARE * known[own])
+                mine = much[owner]
+                if mine.any():
+                    _alone(logs, model, own, buckets[mine], owner[mine])
+                unjudged = (own >= 0) & (known[own] - counts < LEAST_KNOWN)
+                likely = unjudged | (counts < LEAST_TRIGRAMS) | (logs.max(axis=1) > best_chance * counts)
+                evidence = (TEMPER * (logs - logs.max(axis=1, keepdims=True))).astype(np.float32)
+                rows = batch.slice(row, end - row)
+                letters = pc.match_substring_regex(rows.column("text"), r"[A-Za-z]|[^\x00-\x7F]").to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_pydict({c: rows.column(c) for c in ("id", "declared", "host", "suffix")} | {
+                    "evidence": pa.ListArray.from_arrays(np.arange(end - row + 1, dtype=np.int32) * len(names), evidence.ravel()),
+                    "readable": pa.array(letters & likely), "unjudged": pa.array(unjudged)})
+
+    return items.mapInArrow(read, "id long, declared string, host string, suffix string, evidence array<float>, "
+                                  "readable boolean, unjudged boolean")
+
+
+def _by_text(batch: pa.RecordBatch, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The evidence, and the posteriors by text alone."""
+    evidence = batch.column("evidence").flatten().to_numpy().reshape(batch.num_rows, n).astype(np.float64)
+    weights = np.exp(evidence)
+    return evidence, weights / weights.sum(axis=1, keepdims=True)
+
+
+def posterior_sums(read: DataFrame, n: int) -> DataFrame:
+    """``(host, suffix, declared, language, s)``: the sums of each language's
+    posteriors, of readable texts."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = pd.DataFrame({c: batch.column(c).to_pandas() for c in ("host", "suffix", "declared")})
+            group = keys.groupby(["host", "suffix", "declared"], dropna=False, sort=False).ngroup().to_numpy()
+            _, posteriors = _by_text(batch, n)
+            order = np.argsort(group, kind="stable")
+            starts = np.flatnonzero(np.diff(group[order], prepend=-1))
+            sums = np.add.reduceat(posteriors[order], starts, axis=0) if len(order) else np.zeros((0, n))
+            at, language = np.nonzero(sums)
+            first = pa.array(order[starts][at])
+            yield pa.RecordBatch.from_pydict({c: batch.column(c).take(first) for c in ("host", "suffix", "declared")} | {
+                "language": pa.array(language, pa.int32()), "s": pa.array(sums[at, language])})
+
+    parts = read.filter("readable").select("host", "suffix", "declared", "evidence").mapInArrow(
+        add, "host string, suffix string, declared string, language int, s double")
+    return stored(parts.groupBy("host", "suffix", "declared", "language").agg(F.sum("s").alias("s")), "posterior-sums")
+
+
+def host_priors(sums: DataFrame, n: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """``(of_host, of_suffix, sums)`` for the hosts and ``(suffix_of, above)``
+    for the suffixes with readable texts, as lists of languages' sums; the
+    smoothed shares of all items."""
+    listed = F.collect_list(F.struct("language", "s"))
+    hosts = sums.groupBy("host", "suffix", "language").agg(F.sum("s").alias("s"))
+    suffixes = hosts.groupBy("suffix", "language").agg(F.sum("s").alias("s"))
+    every = np.ones(n)
+    for r in suffixes.groupBy("language").agg(F.sum("s").alias("s")).collect():
+        every[r["language"]] += r["s"]
+    return (hosts.groupBy(F.col("host").alias("of_host"), F.col("suffix").alias("of_suffix")).agg(listed.alias("sums")),
+            suffixes.groupBy(F.col("suffix").alias("suffix_of")).agg(listed.alias("above")), every / every.sum())
+
+
+def declared_odds(sums: DataFrame, names: list[str]) -> np.ndarray:
+    """For each code, and last for none, the log probability that a text of
+    each language declares it."""
+    place = {c: i for i, c in enumerate(names)}
+    table = np.full((len(names) + 1, len(names)), CODE_START)
+    rows = sums.groupBy("declared", "language").agg(F.sum("s").alias("s")).toArrow()
+    code_of = np.array([place.get(d, len(names)) for d in rows.column("declared").to_pylist()], dtype=np.int64)
+    np.add.at(table, (code_of, rows.column("language").to_numpy()), rows.column("s").to_numpy())
+    return np.log(table) - np.log(table.sum(axis=0, keepdims=True))
+
+
+def _dense(column: pa.Array, n: int) -> np.ndarray:
+    """Lists of ``(language, s)`` as rows, a null one as zeros."""
+    out = np.zeros((len(column), n))
+    owner = np.repeat(np.arange(len(column)), column.value_lengths().fill_null(0).to_numpy())
+    pairs = column.flatten()
+    out[owner, pairs.field("language").to_numpy()] = pairs.field("s").to_numpy()
+    return out
+
+
+def _shares(sums: np.ndarray, above: np.ndarray) -> np.ndarray:
     """Sums smoothed with the shares of the group above."""
-    total = sum(sums[1:], sums[0])
-    return F.array(*[(s + STRENGTH * a) / (total + F.lit(STRENGTH)) for s, a in zip(sums, above)])
-
-
-def host_priors(read: DataFrame, n: int) -> DataFrame:
-    """``(host, suffix, sums, above)``: the sums of each host and the smoothed
-    shares of its suffix."""
-    hosts = read.groupBy("host", "suffix").agg(*_sums(n))
-    sums = [F.col(f"s{i}") for i in range(n)]
-    suffixes = hosts.groupBy("suffix").agg(*[F.sum(s).alias(f"s{i}") for i, s in enumerate(sums)])
-    every = suffixes.agg(*[F.sum(s) for s in sums]).first()
-    total = sum(x or 0.0 for x in every)
-    shares = [F.lit(((x or 0.0) + 1.0) / (total + n)) for x in every]
-    suffixes = suffixes.select(F.col("suffix").alias("of"), _shares(sums, shares).alias("above"))
-    return hosts.join(F.broadcast(suffixes), hosts["suffix"].eqNullSafe(suffixes["of"])).select(
-        "host", "suffix", F.array(*sums).alias("sums"), "above")
-
-
-def declared_odds(read: DataFrame, names: list[str]) -> dict[str | None, list[float]]:
-    """For each code the log probability that a text of each language declares it."""
-    known = F.when(F.col("declared").isin(names), F.col("declared"))
-    rows = {r["declared"]: np.array([r[f"s{i}"] or 0.0 for i in range(len(names))]) for r in read.groupBy(
-        known.alias("declared")).agg(*_sums(len(names))).collect()}
-    table = {c: rows.get(c, np.zeros(len(names))) + CODE_START for c in [*names, None]}
-    total = sum(table.values())
-    return {c: np.log(v / total).tolist() for c, v in table.items()}
-
-
-def _fused(names: list[str], odds: dict) -> Column:
-    """The posterior of every language."""
-    n = len(names)
-    own = F.when(F.col("readable"), F.col("by_text"))
-    others = [F.greatest(F.get("sums", F.lit(i)) - F.coalesce(F.get(own, F.lit(i)), F.lit(0.0)), F.lit(0.0)) for i in range(n)]
-    prior = _shares(others, [F.get("above", F.lit(i)) for i in range(n)])
-    said = F.array(*map(F.lit, odds[None]))
-    for name in names:
-        said = F.when(F.col("declared") == name, F.array(*map(F.lit, odds[name]))).otherwise(said)
-    logs = F.zip_with(F.zip_with(F.transform(prior, lambda p: F.log(p)), said, lambda a, b: a + b), F.col("evidence"), lambda a, b: a + b)
-    weights = F.transform(F.array(logs), lambda x: F.transform(x, lambda v: F.exp(v - F.array_max(x))))[0]
-    return F.transform(F.array(weights), lambda w: F.transform(
-        w, lambda v: v / F.aggregate(w, F.lit(0.0), lambda a, b: a + b)))[0]
+    return (sums + STRENGTH * above) / (sums.sum(axis=1, keepdims=True) + STRENGTH)
 
 
 def identify(items: DataFrame, model_items: DataFrame | None = None) -> DataFrame:
@@ -216,22 +282,36 @@ def identify(items: DataFrame, model_items: DataFrame | None = None) -> DataFram
     if not names:
         return items.select("id", F.lit("und").alias("language"), F.lit(0.0).alias("probability"),
                             F.lit("und").alias("text_language"), "declared", F.lit(False).alias("accepted"))
+    n, place = len(names), {c: i for i, c in enumerate(names)}
     read = stored(read_texts(items, names, text_model(model_items or items, names)), "read-texts")
-    odds, priors = declared_odds(read, names), host_priors(read, len(names)).withColumnsRenamed(
-        {"host": "of_host", "suffix": "of_suffix"})
-    rows = read.join(priors, read["host"].eqNullSafe(priors["of_host"]) & read["suffix"].eqNullSafe(priors["of_suffix"]))
-    rows = rows.withColumn("posterior", _fused(names, odds))
-    codes = F.array(*map(F.lit, names))
-
-    def best(column: str) -> Column:
-        return F.get(codes, F.array_position(column, F.array_max(column)).cast("int") - 1)
-
-    readable = F.col("readable")
-    return rows.select(
-        "id", F.when(readable, best("posterior")).otherwise("und").alias("language"),
-        F.when(readable, F.array_max("posterior")).otherwise(0.0).alias("probability"),
-        F.when(readable, best("by_text")).otherwise("und").alias("text_language"), "declared",
-        (readable & (F.array_max("posterior") >= LEAST_PROBABILITY)).alias("accepted"))
+    sums = posterior_sums(read, n)
+    odds, (hosts, suffixes, every) = declared_odds(sums, names), host_priors(sums, n)
+    rows = read.join(hosts, read["host"].eqNullSafe(hosts["of_host"]) & read["suffix"].eqNullSafe(hosts["of_suffix"]), "left")
+    rows = rows.join(F.broadcast(suffixes), rows["suffix"].eqNullSafe(suffixes["suffix_of"]), "left")
+
+    def fuse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = np.array([*names, "und"], dtype=object)
+        for batch in batches:
+            evidence, by_text = _by_text(batch, n)
+            readable = batch.column("readable").to_numpy(zero_copy_only=False)
+            others = np.maximum(_dense(batch.column("sums"), n) - by_text * readable[:, None], 0.0)
+            prior = _shares(others, _shares(_dense(batch.column("above"), n), every))
+            said = odds[[place.get(d, n) for d in batch.column("declared").to_pylist()]]
+            logs = np.log(prior) + said + evidence
+            posterior = np.exp(logs - logs.max(axis=1, keepdims=True))
+            posterior /= posterior.sum(axis=1, keepdims=True)
+            best = posterior.max(axis=1)
+            unjudged = batch.column("unjudged").to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_pydict({
+                "id": batch.column("id"),
+                "language": pa.array(codes[np.where(readable, posterior.argmax(axis=1), n)], pa.string()),
+                "probability": pa.array(np.where(readable, best, 0.0)),
+                "text_language": pa.array(codes[np.where(readable, by_text.argmax(axis=1), n)], pa.string()),
+                "declared": batch.column("declared"),
+                "accepted": pa.array(readable & ((best >= LEAST_PROBABILITY) | unjudged))})
+
+    return rows.select("id", "declared", "evidence", "readable", "unjudged", "sums", "above").mapInArrow(
+        fuse, "id long, language string, probability double, text_language string, declared string, accepted boolean")
 
 
 def accepted_rows(docs: DataFrame) -> DataFrame:

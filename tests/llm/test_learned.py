@@ -37,6 +37,34 @@ def test_host_priors_decide_where_the_text_cannot(spark):
     assert got[200] == "en" and got[201] == "de"
 
 
+def test_rare_declared_languages_are_kept(spark):
+    """Two codes of three texts each, and Japanese and Greek of one: none is
+    'und', and the Japanese text is not taken for a known language."""
+    rows = [(i, f"the cat and the dog of house {i} went over the hill and far away " * 20, "en") for i in range(3)]
+    rows += [(10 + i, f"der hund und die katze von dem haus {i} gingen weit weg in den wald " * 20, "de") for i in range(3)]
+    rows += [(20, "日本語の文章はここにあります 猫と犬 " * 30, "ja"), (21, "η γάτα και ο σκύλος του σπιτιού " * 30, "el"),
+             (30, "the dog of house 1 went over the hill and the cat went far away " * 20, "xx")]
+    items = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("source", F.lit("s"))
+    got = {r["id"]: r for r in language_id.identify(language_id.from_documents(items)).collect()}
+    assert all(r["accepted"] for r in got.values())
+    assert {i: r["language"] for i, r in got.items()} == {i: lang for i, _, lang in rows} | {30: "en"}
+    assert language_id.accepted_rows(items).count() == len(rows)
+
+
+def test_more_languages_than_were_once_modelled(spark):
+    """90 languages of six texts in words of their own; the rarest are kept."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    codes = [a + b for a in letters[:9] for b in letters[:10]]
+    rng = np.random.default_rng(5)
+    rows = []
+    for k, c in enumerate(codes):
+        words = ["".join(rng.choice(list(letters), 6)) for _ in range(40)]
+        rows += [(6 * k + i, " ".join(rng.choice(words, 120)), c) for i in range(6)]
+    items = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("source", F.lit("s"))
+    got = {r["id"]: r for r in language_id.identify(language_id.from_documents(items)).collect()}
+    assert all(got[i]["language"] == c and got[i]["accepted"] for i, _, c in rows)
+
+
 def test_evidence_of_pages(spark):
     pages = spark.createDataFrame([
         (1, "https://www.Example.org:8080/a?b", "<!DOCTYPE html><html class='x' LANG=\"fr-CA\"><head><style>p{}</style></head><body>un <b>mot</b> &amp; <!-- no --></body></html>"),
