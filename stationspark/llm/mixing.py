@@ -11,10 +11,14 @@
    added to the place inside a bucket.
 3. ``drawn``: a source whose target is r times its words and a rest takes all
    its documents r times and, once more, those that lie before the rest in
-   the permuted order.  The words still missing there are filled in
-   ``FILL_ROUNDS`` rounds, each with the source's largest document that fits
-   and is not yet taken ``MOST`` times; the last one may go over the target
-   if that comes nearer to it.
+   the permuted order.  The document that crosses the rest is set aside, and
+   the gap before it is filled with those behind it, in the same order:
+   ``gap_fills`` goes on with those of at most ``1 / PARTS`` of the gap, again
+   up to the one that crosses it, until none is so small; a round that one
+   crosses leaves less than that share of the gap.  Where they are too few,
+   documents are taken again, up to ``MOST`` times.  Then the largest
+   documents that fit follow one by one, fewer than ``PARTS``, and one that
+   may go over the target if that comes nearer to it.
    The words of a source in this order, repeats after each other, form blocks
    of ``BLOCK_WORDS``.
 4. ``splitting_tree``: the blocks of all sources are dealt to output shards.
@@ -37,6 +41,7 @@ and ignored elsewhere.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -54,7 +59,8 @@ BLOCK_WORDS = 16_384
 SHARD_BLOCKS = 64
 #: Rows of all sources to one bucket of the permuted order.
 BUCKET_ROWS = 20_000
-FILL_ROUNDS = 4
+#: Documents that fill a gap at once are at most this part of it.
+PARTS = 8
 #: Rows up to which the table of sources is broadcast.
 MOST_BROADCAST = 100_000
 
@@ -97,6 +103,17 @@ def _side(df: DataFrame, sources: DataFrame) -> DataFrame:
     return F.broadcast(df) if sources.count() <= MOST_BROADCAST else df
 
 
+def _words_before(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` with the words before each in its source's permuted order."""
+    inside = Window.partitionBy("source_no", "bucket").orderBy("turn", "doc_id", "occurrence")
+    sums = rows.groupBy("source_no", "bucket").agg(F.sum("size").alias("words"))
+    before = sums.select("source_no", "bucket", (F.sum("words").over(
+        Window.partitionBy("source_no").orderBy("bucket")) - F.col("words")).alias("before"))
+    rows = rows.withColumn("place", F.sum("size").over(inside) - F.col("size"))
+    rows = rows.join(before, ["source_no", "bucket"])
+    return rows.withColumn(name, F.col("before") + F.col("place")).drop("before", "place")
+
+
 def permuted(sizes: DataFrame, sources: DataFrame, seed: int = SEED) -> DataFrame:
     """Every document with ``start``, the words before it in its source."""
     n = sizes.count()
@@ -104,54 +121,87 @@ def permuted(sizes: DataFrame, sources: DataFrame, seed: int = SEED) -> DataFram
     rows = sizes.join(_side(sources, sources), sizes["source"].eqNullSafe(sources["source"])).drop(sources["source"])
     rows = rows.withColumn("turn", F.xxhash64("doc_id", "occurrence", F.lit(seed)))
     rows = rows.withColumn("bucket", F.pmod("turn", F.lit(buckets)))
-    inside = Window.partitionBy("source_no", "bucket").orderBy("turn", "doc_id", "occurrence")
-    sums = rows.groupBy("source_no", "bucket").agg(F.sum("size").alias("words"))
-    before = sums.select("source_no", "bucket", (F.sum("words").over(
-        Window.partitionBy("source_no").orderBy("bucket")) - F.col("words")).alias("before"))
-    rows = rows.withColumn("place", F.sum("size").over(inside) - F.col("size"))
-    rows = rows.join(before, ["source_no", "bucket"])
-    return stored(rows.withColumn("start", F.col("before") + F.col("place")).drop("before", "place", "bucket"),
-                  "mix-order")
+    return stored(_words_before(rows, "start"), "mix-order")
+
+
+def gap_fills(free: DataFrame, gaps: DataFrame, sources: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """``(source_no, start, size, at)`` of the free documents that fill the
+    gap before the rest, ``at`` their place; and the gaps that are left."""
+    fills, free = [], free.select("source_no", "bucket", "turn", "doc_id", "occurrence", "start", "size")
+    while True:
+        small = free.join(_side(gaps, sources), "source_no").filter(PARTS * F.col("size") <= F.col("gap"))
+        small = _words_before(small, "ahead")
+        fits = F.col("ahead") + F.col("size") <= F.col("gap")
+        small = stored(small.withColumn("fits", fits).withColumn("at", F.col("rest") - F.col("gap") + F.col("ahead"))
+                       .drop("rest", "gap", "ahead"), "mix-fill")
+        if small.isEmpty():
+            return fills, gaps
+        fills.append(small.filter("fits").select("source_no", "start", "size", "at"))
+        gaps = stored(_closed(gaps, fills[-1]), "mix-gaps")
+        # those set aside are larger than a part of what is left
+        free = small.filter("not fits").drop("fits", "at")
+
+
+def _closed(gaps: DataFrame, fills: DataFrame) -> DataFrame:
+    got = fills.groupBy("source_no").agg(F.sum("size").alias("got"))
+    return gaps.join(got, "source_no", "left").select(
+        "source_no", "rest", (F.col("gap") - F.coalesce("got", F.lit(0))).alias("gap"))
 
 
 def drawn(rows: DataFrame, sources: DataFrame) -> DataFrame:
-    """Every document with the number of times it is taken (``copies``)."""
+    """Every document with the number of times it is taken (``copies``), and
+    the places (``ats``) of those that fill a gap."""
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     rows = rows.withColumn("whole", F.least(whole, F.lit(MOST)))
     rows = rows.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
     rows = rows.withColumn("more", (F.col("whole") < MOST) & (F.col("start") + F.col("size") <= F.col("rest")))
-    left = rows.groupBy("source_no").agg((F.max("rest") - F.coalesce(F.sum(F.when(F.col("more"), F.col("size"))), F.lit(0)))
-                                         .alias("gap"))
-    filled = None
-    for k in range(FILL_ROUNDS):
-        gaps = left if filled is None else left.join(
-            filled.groupBy("source_no").agg(F.sum("size").alias("got")), "source_no", "left").select(
-            "source_no", (F.col("gap") - F.coalesce("got", F.lit(0))).alias("gap"))
-        free = rows.filter((F.col("whole") + F.col("more").cast("long") < MOST) & (F.col("size") > 0))
-        if filled is not None:
-            free = free.join(_side(filled.select("source_no", "start"), sources), ["source_no", "start"], "left_anti")
-        last = k == FILL_ROUNDS - 1
+    left = F.max("rest") - F.coalesce(F.sum(F.when(F.col("more"), F.col("size"))), F.lit(0))
+    gaps = stored(rows.groupBy("source_no").agg(F.max("rest").alias("rest"), left.alias("gap")), "mix-gaps")
+    fills = []
+    for k in range(1, MOST + 1):
+        # first those behind the rest, then any document once more
+        free = rows.filter((F.col("whole") + k <= MOST) & (F.col("size") > 0) & (F.lit(k > 1) | ~F.col("more")))
+        some, gaps = gap_fills(free, gaps, sources)
+        fills += some
+    last = False
+    while True:
         # the last one may go over, if that comes nearer
         fits = F.col("size") < 2 * F.col("gap") if last else F.col("size") <= F.col("gap")
+        free = rows.filter(F.col("size") > 0).drop("rest").join(_side(gaps, sources), "source_no").filter(fits)
+        extra = F.lit(0)
+        if fills:
+            free = free.join(_together(fills).groupBy("source_no", "start").agg(F.count(F.lit(1)).alias("extra")),
+                             ["source_no", "start"], "left")
+            extra = F.coalesce("extra", F.lit(0))
+        free = free.filter(F.col("whole") + F.col("more").cast("long") + extra < MOST)
         off = F.abs(F.col("gap") - F.col("size"))
-        best = (free.join(_side(gaps, sources), "source_no").filter(fits).groupBy("source_no")
-                .agg(F.min(F.struct(off.alias("off"), "start", "size")).alias("best"))
-                .select("source_no", "best.start", "best.size"))
-        filled = stored(best if filled is None else filled.unionByName(best), f"mix-fill{k}")
-    rows = rows.join(_side(filled.select("source_no", "start", "size", F.lit(True).alias("fills")), sources),
-                     ["source_no", "start", "size"], "left")
-    fills = F.coalesce("fills", F.lit(False))
-    return rows.withColumn("copies", F.col("whole") + F.col("more").cast("long") + fills.cast("long"))
+        best = stored(free.groupBy("source_no").agg(F.min(F.struct(off.alias("off"), "start", "size", (
+            F.col("rest") - F.col("gap")).alias("at"))).alias("best")).select(
+            "source_no", "best.start", "best.size", "best.at"), "mix-best")
+        fills.append(best)
+        if last:
+            break
+        last = best.isEmpty()
+        gaps = stored(_closed(gaps, best), "mix-gaps")
+    ats = _together(fills).groupBy("source_no", "start", "size").agg(F.sort_array(F.collect_list("at")).alias("ats"))
+    rows = rows.join(ats, ["source_no", "start", "size"], "left")
+    return rows.withColumn("copies", F.col("whole") + F.col("more").cast("long") + F.coalesce(F.size("ats"), F.lit(0)))
+
+
+def _together(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
 
 
 def draws(rows: DataFrame) -> DataFrame:
     """A row for each time that a document is taken, with its block."""
-    # the last, partial round ends where its rest ends
-    inside = F.when(F.col("copy") < F.col("whole"), F.col("start")).otherwise(
-        F.least(F.col("start"), F.greatest(F.floor("rest") - 1, F.lit(0))))
     taken = rows.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
-    at = F.col("copy") * F.col("source_size") + inside
-    return taken.withColumn("block", F.floor(at / BLOCK_WORDS))
+    # the last, partial round ends where its rest ends; gaps are filled there
+    fill = F.col("copy") - F.col("whole") - F.col("more").cast("long")
+    inside = F.least(F.when(fill >= 0, F.get("ats", fill.cast("int"))).otherwise(F.col("start")),
+                     F.greatest(F.floor("rest") - 1, F.lit(0)))
+    place = F.when(F.col("copy") < F.col("whole"), F.col("copy") * F.col("source_size") + F.col("start")).otherwise(
+        F.col("whole") * F.col("source_size") + inside)
+    return taken.withColumn("block", F.floor(place / BLOCK_WORDS))
 
 
 def splitting_tree(quotas: DataFrame, shard_blocks: int = SHARD_BLOCKS, seed: int = SEED) -> DataFrame:

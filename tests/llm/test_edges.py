@@ -76,6 +76,18 @@ def test_stage_results(spark, edge_docs):
     assert {4, 5, 6, 13} <= gone and not {1, 2, 3, 7} & gone
 
 
+def test_mixing_fills_the_gap_before_a_long_document(spark):
+    """A document of 100,000 words that crosses its source's cut leaves a gap
+    that short ones fill."""
+    rows = [(0, "w " * 100_000, "a")] + [(i, "w " * 500, "a") for i in range(1, 201)]
+    rows += [(1000 + i, "w " * 700, "b") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.taken_words(docs).toPandas()
+    a = got[got["source_size"] == 200_000]
+    assert a.target.iloc[0] == 90_000 and abs(a.taken.sum() - 90_000) <= 250
+    assert (a.copies <= 3).all()
+
+
 def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     sums = out.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end"))
