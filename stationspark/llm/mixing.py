@@ -33,8 +33,9 @@
 
 Defined results: a null text has no words; a null source is a source, the
 last one; a source without words has target 0 and its documents are taken 0
-words; rows with one id are told apart by their place among them (text hash,
-then source); an empty table gives no rows; extra columns are kept by ``mix``
+words; rows are known by a hash of id, text and source (``key``), those alike
+in all three by their place among them, so rows with one id or none are spread
+like any others; an empty table gives no rows; extra columns are kept by ``mix``
 and ignored elsewhere.
 """
 
@@ -65,16 +66,19 @@ PARTS = 8
 MOST_BROADCAST = 100_000
 
 
-def _occurrence(text: Column) -> Column:
-    """Tells rows with one id apart."""
-    return F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(text), "source"))
+def _key() -> Column:
+    return F.xxhash64("doc_id", whole_text(), F.col("source").cast("string"))
+
+
+def _occurrence(key: str, text_hash: Column) -> Column:
+    """Tells rows with one key apart."""
+    return F.row_number().over(Window.partitionBy(key).orderBy("doc_id", "source", text_hash))
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", F.col("source").cast("string").alias("source"), F.xxhash64(whole_text()).alias("h"),
-                       F.regexp_count(whole_text(), F.lit(WORD)).cast("long").alias("size"))
-    at = Window.partitionBy("doc_id").orderBy("h", "source")
-    return stored(rows.withColumn("occurrence", F.row_number().over(at)).drop("h"), "mix-sizes")
+                       _key().alias("key"), F.regexp_count(whole_text(), F.lit(WORD)).cast("long").alias("size"))
+    return stored(rows.withColumn("occurrence", _occurrence("key", F.col("h"))).drop("h"), "mix-sizes")
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
@@ -105,7 +109,7 @@ def _side(df: DataFrame, sources: DataFrame) -> DataFrame:
 
 def _words_before(rows: DataFrame, name: str) -> DataFrame:
     """``rows`` with the words before each in its source's permuted order."""
-    inside = Window.partitionBy("source_no", "bucket").orderBy("turn", "doc_id", "occurrence")
+    inside = Window.partitionBy("source_no", "bucket").orderBy("turn", "key", "occurrence")
     sums = rows.groupBy("source_no", "bucket").agg(F.sum("size").alias("words"))
     before = sums.select("source_no", "bucket", (F.sum("words").over(
         Window.partitionBy("source_no").orderBy("bucket")) - F.col("words")).alias("before"))
@@ -119,7 +123,7 @@ def permuted(sizes: DataFrame, sources: DataFrame, seed: int = SEED) -> DataFram
     n = sizes.count()
     buckets = max(1, math.ceil(n / BUCKET_ROWS))
     rows = sizes.join(_side(sources, sources), sizes["source"].eqNullSafe(sources["source"])).drop(sources["source"])
-    rows = rows.withColumn("turn", F.xxhash64("doc_id", "occurrence", F.lit(seed)))
+    rows = rows.withColumn("turn", F.xxhash64("key", "occurrence", F.lit(seed)))
     rows = rows.withColumn("bucket", F.pmod("turn", F.lit(buckets)))
     return stored(_words_before(rows, "start"), "mix-order")
 
@@ -127,7 +131,7 @@ def permuted(sizes: DataFrame, sources: DataFrame, seed: int = SEED) -> DataFram
 def gap_fills(free: DataFrame, gaps: DataFrame, sources: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     """``(source_no, start, size, at)`` of the free documents that fill the
     gap before the rest, ``at`` their place; and the gaps that are left."""
-    fills, free = [], free.select("source_no", "bucket", "turn", "doc_id", "occurrence", "start", "size")
+    fills, free = [], free.select("source_no", "bucket", "turn", "key", "occurrence", "start", "size")
     while True:
         small = free.join(_side(gaps, sources), "source_no").filter(PARTS * F.col("size") <= F.col("gap"))
         small = _words_before(small, "ahead")
@@ -236,7 +240,7 @@ def splitting_tree(quotas: DataFrame, shard_blocks: int = SHARD_BLOCKS, seed: in
 
 
 def plan(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The documents with their counts, and a row ``(doc_id, occurrence, size,
+    """The documents with their counts, and a row ``(key, occurrence, size,
     copy, shard)`` for each time that one is taken."""
     sizes = word_counts(docs)
     sources = source_targets(sizes)
@@ -244,16 +248,14 @@ def plan(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     taken = draws(rows)
     quotas = taken.groupBy("source_no").agg((F.max("block") + 1).alias("quota"))
     taken = taken.join(splitting_tree(stored(quotas, "mix-quotas")), ["source_no", "block"])
-    return rows, taken.select("doc_id", "occurrence", "size", "copy", "shard")
+    return rows, taken.select("key", "occurrence", "size", "copy", "shard")
 
 
 def taken_words(docs: DataFrame) -> DataFrame:
     """For every document the words that the mix takes of it."""
     rows, taken = plan(docs)
-    sums = taken.groupBy("doc_id", "occurrence").agg(F.sum("size").alias("taken"), F.count(F.lit(1)).alias("copies"))
-    sums = sums.withColumnsRenamed({"doc_id": "of", "occurrence": "nth"})
-    out = rows.drop("copies").join(
-        sums, rows["doc_id"].eqNullSafe(sums["of"]) & (rows["occurrence"] == sums["nth"]), "left")
+    sums = taken.groupBy("key", "occurrence").agg(F.sum("size").alias("taken"), F.count(F.lit(1)).alias("copies"))
+    out = rows.drop("copies").join(sums, ["key", "occurrence"], "left")
     return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
                       F.coalesce("copies", F.lit(0)).cast("long").alias("copies"))
 
@@ -262,11 +264,11 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """The mixed documents, with all their columns, shard by shard; a document
     that is taken twice is there twice."""
     _, taken = plan(docs)
-    lists = taken.groupBy("doc_id").agg(F.collect_list(F.struct(
-        F.col("occurrence").alias("nth"), "shard", F.xxhash64("doc_id", "occurrence", "copy", F.lit(seed)).alias("turn")))
-        .alias("__draws")).withColumnRenamed("doc_id", "__id")
-    rows = docs.withColumn("__nth", _occurrence(whole_text()))
-    rows = rows.join(lists, rows["doc_id"].eqNullSafe(lists["__id"]))
-    rows = rows.withColumn("__draw", F.explode(F.filter("__draws", lambda d: d["nth"] == F.col("__nth"))))
+    # a list is as long as a document is taken, MOST at most
+    lists = taken.groupBy(F.col("key").alias("__key"), F.col("occurrence").alias("__nth")).agg(F.collect_list(F.struct(
+        "shard", F.xxhash64("key", "occurrence", "copy", F.lit(seed)).alias("turn"))).alias("__draws"))
+    rows = docs.withColumn("__key", _key())
+    rows = rows.withColumn("__nth", _occurrence("__key", F.xxhash64(whole_text())))
+    rows = rows.join(lists, ["__key", "__nth"]).withColumn("__draw", F.explode("__draws"))
     rows = rows.repartition("__draw.shard").sortWithinPartitions("__draw.shard", "__draw.turn")
     return rows.select(*docs.columns)

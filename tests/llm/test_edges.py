@@ -79,15 +79,29 @@ def test_stage_results(spark, edge_docs):
 def test_mixing_fills_the_gap_before_a_long_document(spark):
     """A document of 100,000 words that crosses its source's cut leaves a gap
     that short ones fill."""
-    rows = [(0, "w " * 100_000, "a")] + [(i, "w " * 500, "a") for i in range(1, 201)]
-    rows += [(1000 + i, "w " * 700, "b") for i in range(100)]
+    rows = [(0, "w " * 100_000, "a")] + [(i, "w " * 500, "a") for i in range(1, 101)]
+    rows += [(1000 + i, "w " * 600, "b") for i in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = mixing.taken_words(docs).toPandas()
-    a = got[got["source_size"] == 200_000]
+    a = got[got["source_size"] == 150_000]
     assert a.target.iloc[0] == 90_000 and abs(a.taken.sum() - 90_000) <= 250
     assert (a.copies <= 3).all()
 
 
+def test_mix_spreads_rows_without_an_id(spark):
+    """No window or list over all rows of one id."""
+    rows = [(None, f"{i} " + "w " * (50 + i % 7), "ab"[i % 2]) for i in range(120)] + [(7, "same text", "a")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mix(docs)
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert "windowspecdefinition(doc_id" not in plan and "eqnullsafe" not in plan.lower() and "<=>" not in plan
+    sizes = mixing.word_counts(docs)
+    assert mixing.permuted(sizes, mixing.source_targets(sizes)).select("turn").distinct().count() == 123
+    want = {r["size"]: r["n"] for r in mixing.taken_words(docs).groupBy("size").agg(F.sum("copies").alias("n")).collect()}
+    got = {r["size"]: r["count"] for r in out.groupBy(F.size(F.split(F.trim("text"), " +")).alias("size")).count().collect()}
+    assert got == {k: n for k, n in want.items() if n}
+
+
 def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     sums = out.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end"))
