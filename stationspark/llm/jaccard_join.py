@@ -31,9 +31,10 @@ Missed links: at the threshold a pair shares no node with probability
 
 Defined results: a text of fewer than five words has one n-gram, all its
 words; a text without words (null too) is linked to none and is its own
-class; a repeated row is a document of an equal set; rows of one id count
-one by one but share a class; a null id is never a class's smallest unless
-all are null; an empty table gives no rows; extra columns are ignored.
+class; a repeated row is a document of an equal set; rows of one id are
+documents of their own, each in the class of its own set; a null id is never
+a class's smallest unless all are null, and then the class's id is null; an
+empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -181,7 +182,7 @@ def _node_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def near_edges(sets: DataFrame, length: int) -> DataFrame:
     """``(a, b)``: edges of the groups inside shared nodes of the tries.
 
-    ``sets`` has ``node`` (the id of a class of equal sets) and its
+    ``sets`` has ``node`` (the number of a class of equal sets) and its
     ``signature``.
     """
     starts = F.sequence(F.lit(0), F.lit(TREES - 1))
@@ -272,34 +273,65 @@ def verified(docs: DataFrame, sets: DataFrame, candidates: DataFrame) -> DataFra
         _links, "node long, links long, near long")
 
 
-def join(docs: DataFrame) -> DataFrame:
-    """``(doc_id, class_id, n_links, n_equal)`` of every document."""
+def _numbered(sets: DataFrame) -> DataFrame:
+    """``node``: a number of each set's own, in the order of the smallest ids,
+    null ones last; so the smallest node of a class has its smallest id."""
+    order = ["none", "doc_id", "th", "s1", "s2"]
+    rows = sets.repartitionByRange(*order).sortWithinPartitions(*order)
+    # written at once: the numbers hold for this order of partitions
+    return stored(rows.withColumn("node", F.monotonically_increasing_id()), "gram-sets")
+
+
+def _classes(docs: DataFrame) -> DataFrame:
+    """Every document with ``class_id, n_links, n_equal``, and whether it is
+    the first of its class by id and text (``stays``)."""
     signed = stored(signatures(docs), "signatures")
     narrow = signed.select("doc_id", "s1", "s2", "n", "th")
     # the smallest id of a set, with its text, stands for all
     sets = (signed.filter("n > 0").groupBy("s1", "s2").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("first"),
         F.first("signature").alias("signature"), F.count(F.lit(1)).alias("n_equal")))
-    sets = stored(sets.select("s1", "s2", F.coalesce("first.doc_id", "s1").alias("node"), "first.doc_id", "first.th",
-                              "signature", "n_equal"), "gram-sets")
+    sets = _numbered(sets.select("s1", "s2", "first.none", "first.doc_id", "first.th", "signature", "n_equal"))
     candidates = stored(components(near_edges(sets, prefix_length())), "candidates")
     links = stored(verified(docs, sets, candidates), "links")
     classes = components(links.filter("node <> near").select(F.col("node").alias("a"), F.col("near").alias("b")))
+    roots = sets.select(F.col("node").alias("root"), F.col("doc_id").alias("root_id"))
+    classes = classes.join(roots, "root")
     counts = links.groupBy("node").agg(F.sum("links").alias("links"))
-    sets = (sets.select("s1", "s2", "node", F.col("doc_id").alias("first_id"), "n_equal")
+    sets = (sets.select("s1", "s2", "node", F.col("doc_id").alias("first_id"), F.col("th").alias("first_th"), "n_equal")
             .join(classes, "node", "left").join(counts, "node", "left"))
-    # a root that is a hash stands for ids that are all null
-    sets = sets.select("s1", "s2", "n_equal", F.coalesce("root", "first_id").alias("root"),
+    alone = F.col("root").isNull()
+    sets = sets.select("s1", "s2", "n_equal", "first_id", "first_th", (alone | (F.col("root") == F.col("node"))).alias("leads"),
+                       F.when(alone, F.col("first_id")).otherwise(F.col("root_id")).alias("class_of"),
                        (F.coalesce("links", F.lit(0)) + F.col("n_equal") - 1).alias("links"))
     out = narrow.join(sets, ["s1", "s2"], "left")
-    alone = F.col("n") == 0
-    return out.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("root")).alias("class_id"),
-                      F.when(alone, F.lit(0)).otherwise(F.col("links")).cast("long").alias("n_links"),
-                      F.when(alone, F.lit(1)).otherwise(F.col("n_equal")).cast("long").alias("n_equal"))
+    blank = F.col("n") == 0
+    first = F.col("leads") & F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("th") == F.col("first_th"))
+    return out.select("doc_id", "th", blank.alias("blank"), F.when(blank, F.col("doc_id")).otherwise(F.col("class_of")).alias("class_id"),
+                      F.when(blank, F.lit(0)).otherwise(F.col("links")).cast("long").alias("n_links"),
+                      F.when(blank, F.lit(1)).otherwise(F.col("n_equal")).cast("long").alias("n_equal"),
+                      (blank | first).alias("stays"))
+
+
+def join(docs: DataFrame) -> DataFrame:
+    """``(doc_id, class_id, n_links, n_equal)`` of every document."""
+    return _classes(docs).select("doc_id", "class_id", "n_links", "n_equal")
 
 
 def survivors(docs: DataFrame) -> DataFrame:
-    """The smallest id of each class, with all columns."""
-    stay = join(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    rows = docs.join(stay, docs["doc_id"].eqNullSafe(stay["__id"]), "left_semi")
-    return rows
+    """The smallest id of each class, with all columns; one row of those alike
+    in id and text, but all texts without words."""
+    stay = stored(_classes(docs).filter("stays").groupBy(F.col("doc_id").alias("__id"), F.col("th").alias("__th"))
+                  .agg((F.count(F.lit(1)) > 1).alias("__many"), F.first("blank").alias("__blank")), "near-stay")
+    rows = docs.withColumn("__own", F.xxhash64(whole_text()))
+
+    def kept(some: DataFrame) -> DataFrame:
+        return rows.join(some, rows["doc_id"].cast("long").eqNullSafe(some["__id"]) & (rows["__own"] == some["__th"]), "left_semi")
+
+    # few texts, if any, go through the shuffle of dropDuplicates
+    twice = F.col("__many") & ~F.col("__blank")
+    repeated = stay.filter(twice)
+    out = kept(stay.filter(~twice))
+    if not repeated.isEmpty():
+        out = out.unionByName(kept(repeated).dropDuplicates(["doc_id", "__own"]))
+    return out.select(*docs.columns)

@@ -102,6 +102,30 @@ def test_mix_spreads_rows_without_an_id(spark):
     assert got == {k: n for k, n in want.items() if n}
 
 
+def near(k, i):
+    """The i-th near copy of a text."""
+    words = [f"v{k}x{j}" for j in range(200)]
+    return " ".join([*words, f"end{i}"])
+
+
+def test_near_copies_without_an_id(spark):
+    """Classes of a null id and a real one, of null ids alone, and rows of one
+    id with different texts."""
+    rows = [(1000 + k, near(k, 0)) for k in range(10)] + [(None, near(k, 1)) for k in range(10)]
+    rows += [(None, near(20 + k, i)) for k in range(4) for i in range(3)] + [(None, near(20, 0))]
+    rows += [(50, near(30, 0)), (50, near(31, 0)), (60, near(31, 1)), (61, near(30, 1))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard_join.join(docs).collect()
+    assert len(got) == len(rows)
+    assert sorted(r["class_id"] for r in got if r["class_id"] is not None) == sorted(
+        [1000 + k for k in range(10)] * 2 + [50] * 4)
+    assert sorted(r["n_links"] for r in got if r["doc_id"] in (50, 60, 61)) == [1] * 4
+    kept = jaccard_join.survivors(docs).collect()
+    classes = sorted(r["text"].split()[0] for r in kept)
+    assert classes == sorted(f"v{k}x0" for k in [*range(10), *range(20, 24), 30, 31])
+    assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == [50, 50, *range(1000, 1010)]
+
+
 def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     sums = out.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end"))
