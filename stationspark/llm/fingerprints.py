@@ -1,13 +1,16 @@
 """Document fingerprints from closed syncmers, in DataFrame expressions.
 
-The units are words.  Of every run of ``K`` words (a k-mer) the hashes of its
+The units are words; a word of a script that is written without blanks, or of
+more than ``LONG`` code points, is taken as so many units, its characters.  Of
+every run of ``K`` words (a k-mer) the hashes of its
 runs of ``S`` words are compared: the k-mer is chosen when the smallest of
 them is the first or the last (a closed syncmer).  Whether a k-mer is chosen
 depends on nothing but its own words, so equal passages have equal anchors at
 equal distances wherever they stand.  A fingerprint is the list of anchors in
-text order, each 32 bits of its k-mer's hash as 8 hexadecimal digits.  A text
-of fewer than ``K`` words has one anchor, the hash of all its words; a text
-without words has none.
+text order, each 32 bits of its k-mer's hash as 8 hexadecimal digits.  Where
+no k-mer is chosen (only in texts of fewer than ``2 * K - S - 1`` units), the one of
+the smallest hash is; a text of fewer than ``K`` units has one anchor, the
+hash of all of them; a text without words has none.
 
 ``likeness`` of two fingerprints is the share of their different anchors that
 both have: 1 for equal ones (two empty ones too), 0 without a common one.
@@ -37,13 +40,18 @@ from stationspark.llm.shared import SPACES, let, whole_text
 #: Words of an anchor, and of the runs compared inside it.
 K = 5
 S = 2
+#: Code points up to which a word is one unit.
+LONG = 32
+_UNSPACED = (r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}")
+_IN_CHARACTERS = rf"[{_UNSPACED}]|[^\x20\x09-\x0D]{{{LONG + 1}}}"
 PER_BLOCK = 256
 MOST_BLOCKS = 65_536
 
 
 def _word_hashes(text: Column) -> Column:
     words = F.array_remove(F.split(text, SPACES, -1), "")
-    return F.transform(words, lambda w: F.xxhash64(w))
+    units = F.flatten(F.transform(words, lambda w: F.when(w.rlike(_IN_CHARACTERS), F.split(w, "")).otherwise(F.array(w))))
+    return F.transform(F.when(text.rlike(_IN_CHARACTERS), units).otherwise(words), lambda w: F.xxhash64(w))
 
 
 def anchors(text: Column) -> Column:
@@ -54,8 +62,16 @@ def anchors(text: Column) -> Column:
         last = K - S
         places = F.filter(F.sequence(F.lit(0), F.size(h) - K), lambda i: F.least(
             *[F.get(s, i + j) for j in range(1, last)]) >= F.least(F.get(s, i), F.get(s, i + last)))
-        return F.transform(places, lambda i: F.shiftleft(i.cast("long"), 32).bitwiseOR(
-            F.shiftrightunsigned(F.xxhash64(F.get(s, i), F.get(s, i + S), F.get(h, i + K - 1)), 32)))
+        def value(i: Column) -> Column:
+            return F.shiftrightunsigned(F.xxhash64(F.get(s, i), F.get(s, i + S), F.get(h, i + K - 1)), 32)
+
+        def smallest() -> Column:
+            every = F.sequence(F.lit(0), F.size(h) - K)
+            least = F.array_min(F.transform(every, lambda i: F.struct(value(i).alias("value"), i.alias("at"))))
+            return F.array(F.shiftleft(least["at"].cast("long"), 32).bitwiseOR(least["value"]))
+
+        return let(places, lambda p: F.when(F.size(p) == 0, smallest()).otherwise(
+            F.transform(p, lambda i: F.shiftleft(i.cast("long"), 32).bitwiseOR(value(i)))))
 
     def of_words(h: Column) -> Column:
         pairs = F.zip_with(h, F.slice(h, 2, F.greatest(F.size(h), F.lit(1))), lambda a, b: F.xxhash64(a, b))

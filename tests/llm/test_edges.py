@@ -126,6 +126,19 @@ def test_near_copies_without_an_id(spark):
     assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == [50, 50, *range(1000, 1010)]
 
 
+def test_every_text_with_words_has_a_fingerprint(spark):
+    """Texts of five and six words, and texts without blanks."""
+    rows = [(i, " ".join(f"u{i}x{j}" for j in range(5 + i % 2))) for i in range(60)]
+    han = "".join(chr(0x4E00 + i * i % 5000) for i in range(400))
+    rows += [(100, han), (101, "".join(chr(97 + i * i * i % 23) + str(i) for i in range(300))), (102, "😀" * 3 + han), (103, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in fingerprints.compare_with_edits(docs).collect()}
+    assert all(got[i]["fingerprint"] for i in range(60)) and got[103]["fingerprint"] == ""
+    assert len({got[i]["fingerprint"] for i in range(60)}) == 60
+    assert all(got[i]["near_next"] == 0 for i in range(1, 60))
+    assert all(got[i]["near_edited"] > 0.3 for i in (100, 101, 102))
+
+
 def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     sums = out.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end"))
