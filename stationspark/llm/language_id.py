@@ -39,6 +39,8 @@ kept by ``accepted_rows`` and ignored elsewhere.
 
 from __future__ import annotations
 
+import html as markup
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -88,13 +90,33 @@ def from_documents(docs: DataFrame) -> DataFrame:
                        F.col("source").cast("string").alias("host"), F.lit(None).cast("string").alias("suffix"))
 
 
+_REFERENCE = re.compile(r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);?")
+
+
+def _character(found: re.Match) -> str:
+    """What a character reference stands for; a blank for signs and unknown
+    names."""
+    decoded = markup.unescape(found[0])
+    if decoded == found[0] or decoded.isspace():
+        return " "
+    return decoded if decoded.isalnum() or not decoded.isascii() else " "
+
+
+def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [_REFERENCE.sub(_character, t) if "&" in t else t for t in batch.column("text").to_pylist()]
+        yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, batch.schema.field("text").type))
+
+
 def from_pages(pages: DataFrame) -> DataFrame:
-    """Text and evidence of raw pages."""
-    html, host = F.coalesce(F.col("html"), F.lit("")), F.lower(F.parse_url("url", F.lit("HOST")))
-    text = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&#?\w+;", " ")
+    """Text and evidence of raw pages; a malformed address has no host."""
+    html, host = F.coalesce(F.col("html"), F.lit("")), F.lower(F.try_parse_url("url", F.lit("HOST")))
+    text = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
     declared = F.regexp_extract(html, r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z-]+)", 1)
-    return pages.select(F.col("page_id").cast("long").alias("id"), text.alias("text"), code(declared).alias("declared"),
+    rows = pages.select(F.col("page_id").cast("long").alias("id"), text.alias("text"), code(declared).alias("declared"),
                         host.alias("host"), F.element_at(F.split(host, r"\."), -1).alias("suffix"))
+    # after the tags are gone: a reference to "<" opens none
+    return rows.mapInArrow(_decoded, rows.schema)
 
 
 def _trigrams(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -75,6 +75,20 @@ def test_evidence_of_pages(spark):
     assert rows[2]["text"] == "" and rows[2]["host"] is None and rows[3]["text"].strip() == "plain"
 
 
+def test_malformed_addresses_and_character_references(spark):
+    greek = "η γάτα και ο σκύλος"
+    written = "".join(f"&#{ord(c)};" if c != " " else " " for c in greek)
+    pages = spark.createDataFrame([
+        (1, "not a url", "<p>plain"), (2, "http://[bad", f"<html lang=el><p>{written}</p>"),
+        (3, "https://a.fr/x", "caf&eacute; &#xe9;t&#XE9; &lt;b&gt; &nosuch; &nbsp;a"), (4, "https://a.fr/y", "&#1114112; &#0; x")],
+        "page_id long, url string, html string")
+    rows = {r["id"]: r for r in language_id.from_pages(pages).collect()}
+    assert len(rows) == 4 and rows[1]["host"] is None and rows[2]["host"] is None and rows[3]["host"] == "a.fr"
+    assert rows[2]["text"].split() == greek.split()
+    assert rows[3]["text"].split() == ["café", "été", "b", "a"]
+    assert language_id.identify(language_id.from_pages(pages)).filter("language = 'el' and accepted").count() >= 1
+
+
 def test_toxicity_on_held_out_rows(spark):
     docs = spark.createDataFrame([(i, prose(i, 80) + (" vilewort slurish" if i % 7 == 0 else " kindly")) for i in range(1200)],
                                  "doc_id long, text string")
