@@ -1,14 +1,14 @@
-"""N-gram Jaccard self-join through a MinHash LSH forest, verified exactly.
+"""N-gram Jaccard self-join through banded MinHash signatures, verified exactly.
 
 Two documents are linked when the Jaccard likeness of their sets of word
 5-grams is 0.8 or more.
 
 1. ``signatures``: a document's set is hashed to ``TREES * DEPTH`` minima.
    Documents of equal sets are one class from here on; only one goes on.
-2. ``prefix_length``: each tree sorts the documents by their ``DEPTH`` minima;
-   those that share a prefix share a node of its trie.  The matched prefix is
-   shortened from ``DEPTH`` until a pair at the threshold shares a node of
-   some tree with the target recall.
+2. ``prefix_length``: documents that share the first minima of a tree share a
+   node.  Their number is fixed, the greatest up to ``DEPTH`` at which a pair
+   at the threshold shares a node of some tree with the target recall; it does
+   not depend on the data, and no trie is descended (plain banding).
 3. ``near_edges``: inside every shared node the whole signatures are compared,
    and what is not surely far (an estimate of ``SURELY_FAR`` or more) is
    joined into groups, given as an edge to the group's smallest member.  A
