@@ -97,9 +97,78 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM documents LEFT JOIN own USING (doc_id)
 """
 
+def _vectors(scale: int) -> str:
+    """Rows that take part, with integer vectors."""
+    return f"""
+v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS vector
+      FROM embeddings WHERE embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)"""
+
+
+_PRODUCT = "CAST(list_inner_product(CAST(a.vector AS DOUBLE[]), CAST(b.vector AS DOUBLE[])) AS BIGINT)"
+
+OP11 = f"""
+WITH {_vectors(256)},
+m AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, vector FROM v WHERE label IS NOT NULL),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike, {_PRODUCT} AS score
+      FROM m a JOIN m b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE alike
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER own AS INTEGER) AS rank, other_id AS negative_id, positive_score,
+       score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW own AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY row_number() OVER own <= 10
+"""
+
+
+def _op12(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """The rounds, a pair of tables each: assignments ``a`` and codebooks ``b``."""
+    width = f"(len(vector) // {parts})"
+    steps = [f"""
+comp AS MATERIALIZED (
+  SELECT vec_id, p, j, vector[p * {width} + j + 1] AS x
+  FROM v, range({parts}) AS ps(p), range(1000) AS js(j) WHERE j < {width}),
+b0 AS MATERIALIZED (
+  SELECT p, nth - 1 AS e, j, x AS c FROM comp JOIN (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS nth FROM v) USING (vec_id) WHERE nth <= {entries})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT vec_id, p, min(d * {entries} + e) % {entries} AS e, min(d * {entries} + e) // {entries} AS d FROM (
+    SELECT vec_id, p, e, CAST(sum((x - c) * (x - c)) AS BIGINT) AS d FROM comp JOIN b{r} USING (p, j) GROUP BY vec_id, p, e)
+  GROUP BY vec_id, p)""")
+        if r < rounds:
+            steps.append(f"""
+b{r + 1} AS MATERIALIZED (
+  SELECT p, e, j, CAST(coalesce(floor(CAST(total AS DOUBLE) / n), c) AS BIGINT) AS c FROM b{r} LEFT JOIN (
+    SELECT p, e, j, sum(x) AS total, count(*) AS n FROM comp JOIN a{r} USING (vec_id, p) GROUP BY p, e, j) USING (p, e, j))""")
+    return f"""
+WITH {_vectors(4096)},{",".join(steps)},
+coded AS (SELECT vec_id, string_agg(lower(lpad(hex(e), 2, '0')), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+          FROM a{rounds} GROUP BY vec_id),
+book AS (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, e, j)) AS codebooks_sha256 FROM b{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN v USING (vec_id), book
+"""
+
+
+OP13 = f"""
+WITH {_vectors(64)},
+s AS (SELECT a.vec_id AS query_id, b.vec_id, {_PRODUCT} AS score
+      FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id)
+SELECT query_id, CAST(row_number() OVER own AS INTEGER) AS rank, vec_id, score FROM s
+WINDOW own AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER own <= 20
+"""
+
 ORACLE = {
     "op4_substring_dedup": OP4,
     "op5_exact_dedup": OP5,
     "op9_jaccard_join": OP9,
     "op10_secret_scan": OP10,
+    "op11_hard_negatives": OP11,
+    "op12_vector_codes": _op12(),
+    "op13_exact_search": OP13,
 }

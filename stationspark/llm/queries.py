@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stationspark.llm import (
     exact_dedup,
+    exact_search,
     fingerprints,
+    hard_negatives,
     jaccard_join,
     language_id,
     mixing,
@@ -19,6 +21,7 @@ from stationspark.llm import (
     substring_dedup,
     token_output,
     toxicity,
+    vector_codes,
 )
 from stationspark.llm.shared import read_table, workers_can_import
 
@@ -73,8 +76,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(read_table(spark, sf_dir, "documents")))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mined(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.encode(read_table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op13_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_search.top_k(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = (op1_language_id, language_id_pages, op2_fingerprints, op3_mixing, op4_substring_dedup, op5_exact_dedup, op6_toxicity, op7_token_planes, op8_packing,
-           op9_jaccard_join, op10_secret_scan)
+           op9_jaccard_join, op10_secret_scan, op11_hard_negatives, op12_vector_codes, op13_exact_search)
 
 
 def _ready(query: Callable) -> Callable:
