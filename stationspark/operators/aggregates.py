@@ -20,7 +20,7 @@ station-level rows only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -133,6 +133,17 @@ def top_k(df: DataFrame, k: int, by: str, tie_break: str = "WBAN") -> DataFrame:
     return df.orderBy(F.col(by).desc(), F.col(tie_break).asc()).limit(k)
 
 
+def top_k_per_group(df: DataFrame, groups, k: int, by: str, tie_break: str = "WBAN") -> DataFrame:
+    """The ``k`` rows with the largest ``by`` in every group, with their ``rank``.
+
+    The rank's filter lets Spark keep at most ``k`` rows of a group in each
+    task before the shuffle (``WindowGroupLimit``), so a group that holds most
+    of the rows still sends k rows a task.
+    """
+    order = Window.partitionBy(*groups).orderBy(F.col(by).desc(), F.col(tie_break).asc())
+    return df.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+
 def hours_of_day(spark: SparkSession) -> DataFrame:
     """The 24 hours ``(hour INT)``: key rows for a complete hour profile (one partition)."""
     return spark.range(0, 24, 1, 1).select(F.col("id").cast(T.IntegerType()).alias("hour"))

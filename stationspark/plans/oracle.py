@@ -110,14 +110,14 @@ def _profiles(where: str, month: str) -> str:
         f"{where} {_OFF_HOUR} GROUP BY ALL)")
 
 
-def _extrema(table: str, metric: str, month: int, unit: str) -> str:
+def _extrema(table: str, metric: str, month: int, unit: str, of=lambda v: v) -> str:
     return _sql(
         f"SELECT 'min' AS which, WBAN, Location, Latitude, Longitude, value, "
         f"(SELECT value FROM mx) - value AS difference, '{unit}' AS unit FROM mn "
         f"UNION ALL "
         f"SELECT 'max' AS which, WBAN, Location, Latitude, Longitude, value, "
         f"value - (SELECT value FROM mn) AS difference, '{unit}' AS unit FROM mx",
-        f"per AS (SELECT WBAN, MIN({_num(metric)}) AS lo, MAX({_num(metric)}) AS hi "
+        f"per AS (SELECT WBAN, MIN({of(_num(metric))}) AS lo, MAX({of(_num(metric))}) AS hi "
         f"FROM {table} WHERE month = {month} GROUP BY WBAN)",
         f"j AS (SELECT per.*, s.Location, s.Latitude, s.Longitude FROM per JOIN station s USING (WBAN) "
         f"WHERE s.State = {STATE} AND lo IS NOT NULL)",
@@ -128,7 +128,7 @@ def _extrema(table: str, metric: str, month: int, unit: str) -> str:
 
 
 def _extrema_by_state(table: str = "daily", metric: str = "Tavg", month: int | None = 3,
-                      unit: str = "°F") -> str:
+                      unit: str = "°F", of=lambda v: v) -> str:
     keys = "State" if month is not None else "State, month"
     where = f"WHERE month = {month} " if month is not None else ""
     per_keys = "WBAN" if month is not None else "WBAN, month"
@@ -140,7 +140,7 @@ def _extrema_by_state(table: str = "daily", metric: str = "Tavg", month: int | N
     return _sql(
         side.format(w="min", s="mn", v="lo") + " UNION ALL " + side.format(w="max", s="mx", v="hi"),
         f"wanted AS (SELECT * FROM (SELECT DISTINCT State FROM station) {months})",
-        f"per AS (SELECT {per_keys}, MIN({_num(metric)}) AS lo, MAX({_num(metric)}) AS hi "
+        f"per AS (SELECT {per_keys}, MIN({of(_num(metric))}) AS lo, MAX({of(_num(metric))}) AS hi "
         f"FROM {table} {where}GROUP BY {per_keys})",
         "j AS (SELECT per.*, s.State, s.Location, s.Latitude, s.Longitude "
         "FROM per JOIN station s USING (WBAN) WHERE lo IS NOT NULL)",
@@ -183,6 +183,27 @@ def _records_json() -> str:
                 f"{_num('PrecipTotal')} AS PrecipTotal FROM daily WHERE {_ANOMALY_WHERE})")
 
 
+def _linear(a: float, b: float):
+    return lambda v: f"({v} * CAST('{a!r}' AS DOUBLE) + CAST('{b!r}' AS DOUBLE))"
+
+
+_CELSIUS = _linear(5 / 9, 459.67 * (5 / 9) - 273.15)
+_KMH = _linear((1609.344 / 3600) / (1000 / 3600), 0.0)
+
+_VERSIONS = """versions AS (
+  SELECT WBAN, CAST(v.month AS INTEGER) AS month, n_name AS State, v.Location FROM (
+    SELECT CAST(s_suppkey AS INTEGER) AS WBAN, unnest(
+      [{'month': CASE WHEN s_suppkey % 5 = 1 THEN 3 ELSE 1 END, 'n': s_nationkey, 'Location': s_name}] ||
+      CASE WHEN s_suppkey % 4 = 0 THEN
+        [{'month': s_suppkey % 9 + 4, 'n': (s_nationkey + 1) % 25, 'Location': s_name || ' moved'}] ELSE [] END) AS v
+    FROM supplier) JOIN nation ON v.n = n_nationkey)"""
+
+
+def _valid(table: str) -> str:
+    """Each row of a fact with the version of its station that is valid in its month."""
+    return f"{table} f ASOF JOIN versions v ON f.WBAN = v.WBAN AND f.month >= v.month"
+
+
 ORACLE = {
     "station_metric_avg": _sql(
         f"SELECT 'AvgTemp' AS metric, AVG({_num('AvgTemp')}) AS value, '°F' AS unit "
@@ -259,4 +280,29 @@ ORACLE = {
         f"SELECT WBAN, MIN({_num('Tavg')}) AS min_value, MAX({_num('Tavg')}) AS max_value, "
         f"MAX({_num('Tavg')}) - MIN({_num('Tavg')}) AS value_range FROM daily GROUP BY WBAN"),
     "records_json": _records_json(),
+    # derived layers
+    "join_station_asof": _sql(f"SELECT f.*, v.State, v.Location FROM {_valid('monthly')}", _VERSIONS),
+    "asof_metric_avg_by_state_month": _sql(
+        f"SELECT v.State, f.month, 'AvgTemp' AS metric, AVG({_num('f.AvgTemp')}) AS value, '°F' AS unit "
+        f"FROM {_valid('monthly')} GROUP BY v.State, f.month", _VERSIONS),
+    "moved_stations": _sql(
+        "SELECT WBAN, month, before, State FROM (SELECT *, lag(State) OVER (PARTITION BY WBAN ORDER BY month) AS before "
+        "FROM versions) WHERE before IS NOT NULL AND before <> State", _VERSIONS),
+    "clustered_station_rows": _sql("SELECT * FROM daily WHERE WBAN = 68"),
+    "unreliable_top3_by_state": _sql(
+        "SELECT State, CAST(row_number() OVER own AS INTEGER) AS rank, WBAN, suspicious_count FROM ("
+        f"SELECT WBAN, CAST(SUM({_SUSPECT}) AS BIGINT) AS suspicious_count FROM daily WHERE month BETWEEN 1 AND 6 "
+        "GROUP BY WBAN) JOIN station USING (WBAN) "
+        "WINDOW own AS (PARTITION BY State ORDER BY suspicious_count DESC, WBAN) QUALIFY row_number() OVER own <= 3"),
+    "station_metric_avg_celsius": _sql(
+        f"SELECT 'AvgTemp' AS metric, {_CELSIUS('AVG(' + _num('AvgTemp') + ')')} AS value, '°C' AS unit "
+        f"FROM monthly WHERE month BETWEEN 2 AND 5 AND {IN_STATE}"),
+    "metric_extrema_daily_celsius": _extrema("daily", "Tavg", 3, "°C", _CELSIUS),
+    "metric_extrema_by_state_kmh": _extrema_by_state("daily", "Max5Speed", 3, "km/h", _KMH),
 }
+
+# Maintained partials give the rows of the same question over the facts.
+_MAINTAINED = ("metric_avg", "metric_avg_by_state_month", "monthly_avg_temp_c", "hourly_profile",
+               "hourly_profile_by_state_month", "metric_extrema_daily", "metric_extrema_by_state_month",
+               "unreliable_top10_state")
+ORACLE |= {f"maintained_{n}": ORACLE[n if n in ORACLE else f"station_{n}"] for n in _MAINTAINED}

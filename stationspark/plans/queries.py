@@ -372,6 +372,22 @@ def unreliable_stations(tables: WeatherTables, month_start: int, month_end: int,
     return agg.top_k(counts, k, "suspicious_count")
 
 
+def unreliable_stations_by_state(tables: WeatherTables, month_start: int, month_end: int, k: int = 10,
+                                 flag: str = clean.SUSPECT,
+                                 broadcast_rows: int | None = st.DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Grouped Q8: the ``k`` least reliable stations of every state in one job,
+    ``(State, rank, WBAN, suspicious_count)``; ties by lowest WBAN.
+
+    Counts are per station before they meet the dimension, so the ranking
+    handles station-level rows, at most ``k`` of a state from each task.
+    """
+    params.check_positive("k", k)
+    counts = suspect_counts(tables, month_start, month_end, None, flag, broadcast_rows)
+    placed = st.attach_station(counts, tables.station, columns=("State",), broadcast=tables.station_fits(broadcast_rows))
+    return agg.top_k_per_group(placed, ("State",), k, "suspicious_count").select(
+        "State", "rank", "WBAN", "suspicious_count")
+
+
 # ---------------------------------------------------------------- Q9 -------
 
 def metric_catalog(spark: SparkSession, type_id="3") -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationspark.plans import blocks
+from stationspark.plans import blocks, layers
 from stationspark.plans import queries as q
 from stationspark.sources import fixtures
 
@@ -64,4 +64,5 @@ COMPOSITE: dict[str, Callable] = {
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {name: _on_tables(build) for name, build in COMPOSITE.items()}
     out.update(blocks.registered())
+    out.update(layers.registered())
     return out

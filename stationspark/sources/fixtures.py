@@ -45,6 +45,21 @@ def station_view(supplier, nation):
                     (F.lit(-70) - F.col("s_suppkey") % 50).cast(T.DoubleType()).alias("Longitude")))
 
 
+def station_versions_view(supplier, nation):
+    """Monthly versions of the stations (fixture rule): most are known from
+    January on, every fifth from March on; every fourth moves to the next
+    nation later in the year."""
+    key = F.col("s_suppkey")
+    since = F.when(key % 5 == 1, 3).otherwise(1)
+    first = F.struct(since.alias("month"), F.col("s_nationkey").alias("n"), F.col("s_name").alias("Location"))
+    moved = F.struct((key % 9 + 4).cast("int").alias("month"), ((F.col("s_nationkey") + 1) % 25).alias("n"),
+                     F.concat("s_name", F.lit(" moved")).alias("Location"))
+    versions = F.when(key % 4 == 0, F.array(first, moved)).otherwise(F.array(first))
+    rows = supplier.select(key.cast(T.IntegerType()).alias("WBAN"), F.inline(versions))
+    return rows.join(nation, rows["n"] == nation["n_nationkey"]).select(
+        "WBAN", F.col("month").cast(T.IntegerType()).alias("month"), F.col("n_name").alias("State"), "Location")
+
+
 # Precipitation text by discount in hundredths (fixture rule).
 _PRECIP_BY_DISCOUNT = {0: "0.00", 1: "  T", 2: "M", 3: "0.00", 4: "1.00",
                        5: "1.25", 6: "1.50", 7: "0.75"}
@@ -133,9 +148,18 @@ def load(spark: SparkSession, sf_dir: str) -> WeatherTables:
     return views[sf_dir]
 
 
+def station_versions(spark: SparkSession, sf_dir: str):
+    """``(WBAN, month, State, Location)`` over the driver tables."""
+    return station_versions_view(_read(spark, sf_dir, "supplier"), _read(spark, sf_dir, "nation"))
+
+
+def _read(spark: SparkSession, sf_dir: str, name: str):
+    return spark.read.schema(SOURCE_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
 def build(spark: SparkSession, sf_dir: str) -> WeatherTables:
     def read(name):
-        return spark.read.schema(SOURCE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+        return _read(spark, sf_dir, name)
 
     return WeatherTables(
         station=station_view(read("supplier"), read("nation")),
