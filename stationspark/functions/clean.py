@@ -35,9 +35,10 @@ def metric(c) -> Column:
     are no readings and become null too.
     """
     text = _col(c)
-    value = text.try_cast(T.DoubleType())
-    plain = ~F.lower(F.right(F.rtrim(text), F.lit(1))).isin("d", "f")
-    return F.when((F.abs(value) < F.lit(float("inf"))) & plain, value)
+    # a number holds none of these letters: type suffixes and words do
+    worded = reduce(lambda some, letter: some | text.contains(letter), "DFNdfn", F.lit(False))
+    value = F.when(~worded, text).try_cast(T.DoubleType())
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def values_of(df: DataFrame):

@@ -7,12 +7,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stationspark.operators import asof
+from stationspark.operators import asof, readings
 from stationspark.plans import converted, maintained
 from stationspark.plans import queries as q
 from stationspark.session import scratch_path
-from stationspark.sources import clustered, fixtures, schemas
+from stationspark.sources import checked, clustered, fixtures, header_groups, schemas, sinks
 
 STATE = "NATION_3"
 STATION = 68
@@ -55,6 +56,38 @@ def _clustered_station_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustered.of_station(clustered.read(spark, path, schemas.by_month(schemas.DAILY)), STATION)
 
 
+def _flawed_lines(monthly: DataFrame) -> DataFrame:
+    """Lines of monthly rows with flaws (fixture rule): a station that is no
+    number, none at all, a value too few."""
+    month, temp = F.col("YearMonth").cast("string"), F.col("AvgTemp")
+    station = F.when(F.col("WBAN") % 17 == 3, F.concat(F.lit("x"), "WBAN")).when(F.col("WBAN") % 19 == 4, F.lit("")) \
+        .otherwise(F.col("WBAN").cast("string"))
+    line = F.when(F.col("WBAN") % 23 == 5, F.concat_ws(",", station, month)).otherwise(F.concat_ws(",", station, month, temp))
+    return monthly.select(line.alias("value"))
+
+
+def _checked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many lines were accepted, and rejected for each reason."""
+    def write(path: str) -> None:
+        _flawed_lines(fixtures.load(spark, sf_dir).monthly).write.text(path)
+
+    accepted, rejected, _ = checked.load(spark, _layer(spark, sf_dir, "flawed-lines", write), "monthly",
+                                         scratch_path(spark, "checked"), month=1, names=("WBAN", "YearMonth", "AvgTemp"))
+    reasons = checked.reason_counts(rejected).groupBy("reason").agg(F.sum("n").alias("n_lines"))
+    return reasons.unionByName(accepted.agg(F.count(F.lit(1)).alias("n_lines")).withColumn("reason", F.lit("accepted")))
+
+
+def _scan_header_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month files whose columns are in one order until June and another after."""
+    monthly = fixtures.load(spark, sf_dir).monthly
+
+    def write(path: str) -> None:
+        sinks.write_month_files(monthly.filter("month <= 6"), path, "monthly")
+        sinks.write_month_files(monthly.filter("month > 6").select("AvgTemp", "WBAN", "YearMonth", "month"), path, "monthly")
+
+    return header_groups.read_month_files(spark, _layer(spark, sf_dir, "two-orders", write), "monthly")
+
+
 #: Name -> (query, the registered query that gives the same rows from the facts).
 MAINTAINED = {
     "maintained_metric_avg": (lambda t: maintained.station_metric_avg(t, STATE, 2, 5), "station_metric_avg"),
@@ -79,6 +112,10 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "asof_metric_avg_by_state_month": _asof(asof.station_metric_avg_by_state_month),
         "moved_stations": _asof(lambda t, v: asof.moved_stations(v)),
         "clustered_station_rows": _clustered_station_rows,
+        "scan_header_groups": _scan_header_groups,
+        "checked_lines": _checked_lines,
+        "distinct_readings": _tables(lambda t: readings.distinct_readings(t.hourly, "hourly")),
+        "duplicate_readings": _tables(lambda t: readings.duplicate_counts(t.hourly, "hourly")),
         "unreliable_top3_by_state": _tables(lambda t: q.unreliable_stations_by_state(t, 1, 6, k=3)),
         "station_metric_avg_celsius": _tables(lambda t: converted.station_metric_avg(t, STATE, 2, 5, "AvgTemp", "°C")),
         "metric_extrema_daily_celsius": _tables(

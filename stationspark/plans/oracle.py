@@ -289,6 +289,16 @@ ORACLE = {
         "SELECT WBAN, month, before, State FROM (SELECT *, lag(State) OVER (PARTITION BY WBAN ORDER BY month) AS before "
         "FROM versions) WHERE before IS NOT NULL AND before <> State", _VERSIONS),
     "clustered_station_rows": _sql("SELECT * FROM daily WHERE WBAN = 68"),
+    "scan_header_groups": _sql("SELECT * FROM monthly"),
+    "checked_lines": _sql(
+        "SELECT CASE WHEN WBAN % 23 = 5 THEN 'wrong number of values' WHEN WBAN % 17 = 3 THEN 'WBAN is no number' "
+        "WHEN WBAN % 19 = 4 THEN 'WBAN is missing' ELSE 'accepted' END AS reason, COUNT(*) AS n_lines "
+        "FROM monthly GROUP BY 1"),
+    "distinct_readings": _sql(
+        "SELECT WBAN, YearMonthDay, Time, MIN(DryBulbFarenheit) AS DryBulbFarenheit, month FROM hourly "
+        "GROUP BY WBAN, YearMonthDay, Time, month"),
+    "duplicate_readings": _sql(
+        "SELECT WBAN, YearMonthDay, Time, COUNT(*) AS n FROM hourly GROUP BY WBAN, YearMonthDay, Time HAVING COUNT(*) > 1"),
     "unreliable_top3_by_state": _sql(
         "SELECT State, CAST(row_number() OVER own AS INTEGER) AS rank, WBAN, suspicious_count FROM ("
         f"SELECT WBAN, CAST(SUM({_SUSPECT}) AS BIGINT) AS suspicious_count FROM daily WHERE month BETWEEN 1 AND 6 "

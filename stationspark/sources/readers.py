@@ -186,7 +186,7 @@ def load_month_files(spark: SparkSession, root: str, months=None, year: int = 20
 
 
 def load_partitioned(spark: SparkSession, root: str, fmt: str = "parquet", year: int = 2013,
-                     station_months=STATION_MONTHS, kinds=None) -> WeatherTables:
+                     station_months=STATION_MONTHS, kinds=None, schemas: dict | None = None) -> WeatherTables:
     """Tables over the partitioned layout written by :mod:`stationspark.sources.sinks`
     or by the streaming ingest.
 
@@ -194,15 +194,17 @@ def load_partitioned(spark: SparkSession, root: str, fmt: str = "parquet", year:
     ingested: one ``year`` (where the layer keeps years), and a station
     dimension of one row per WBAN from ``station_months`` (None: all; no
     effect where the station table is kept without months).  ``kinds=None``
-    loads every fact table that the layer has.
+    loads every fact table that the layer has.  ``schemas``: kind -> columns
+    with the partition columns, so that no footer is read while planning.
     """
-    station = _of_year(read_partitioned(spark, root, "station", fmt), year)
+    schemas = schemas or {}
+    station = _of_year(read_partitioned(spark, root, "station", fmt, schemas.get("station")), year)
     if PARTITION_COLUMN in station.columns and station_months is not None:
         station = station.filter(F.col(PARTITION_COLUMN).isin(list(station_months)))
     facts = {}
     for kind in kinds if kinds is not None else FACTS:
         try:
-            facts[kind] = _of_year(read_partitioned(spark, root, kind, fmt), year)
+            facts[kind] = _of_year(read_partitioned(spark, root, kind, fmt, schemas.get(kind)), year)
         except AnalysisException as missing:
             # a layer may lack a kind; a kind asked for by name must be there
             if kinds is not None or missing.getCondition() != "PATH_NOT_FOUND":

@@ -27,6 +27,8 @@ class WeatherTables:
     # starts with an empty cache instead of inheriting a stale proof.
     _fits: dict = field(default_factory=dict, init=False, compare=False, repr=False)
     _states: dict = field(default_factory=dict, init=False, compare=False, repr=False)
+    # Row bounds that a manifest proves, by table; see ``sources.manifest``.
+    _rows: dict = field(default_factory=dict, init=False, compare=False, repr=False)
 
     def fact(self, kind: str) -> DataFrame:
         names = [f.name for f in fields(self) if f.name != "station" and not f.name.startswith("_")]
@@ -40,12 +42,15 @@ class WeatherTables:
     def station_fits(self, max_rows: int | None) -> bool:
         """True when the whole station dimension has at most ``max_rows`` rows.
 
-        Checked once per table set (one count of the dimension).  Any filter
+        Proven by the layer's manifest, or checked once per table set (one
+        count of the dimension).  Any filter
         or projection of the dimension is then bounded too, so every station
         side may be broadcast.
         """
         if not max_rows:
             return False
+        if self._rows.get("station", max_rows + 1) <= max_rows:
+            return True
         if max_rows not in self._fits:
             from stationspark.operators.stations import row_count_at_most
             self._fits[max_rows] = row_count_at_most(self.station, max_rows)
