@@ -76,7 +76,7 @@ def split(sizes: list[int], capacity: int = CAPACITY) -> list[list[int]]:
 
 def _packed(tokenizer: str, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer).ids_bytes, END_ID.to_bytes(4, "little")
+        own = encoder(tokenizer)
         sequence = TaskContext.get().partitionId() << 40
         out: list[tuple] = []
         waiting: list[tuple] = []
@@ -84,16 +84,16 @@ def _packed(tokenizer: str, with_ids: bool):
 
         def row(piece: tuple, offset: int) -> tuple:
             doc_id, start, ids, n = piece
-            last = np.frombuffer(ids, dtype="<u4").astype(np.int64) if with_ids else zlib.crc32(ids)
-            return doc_id, start, len(ids) // 4, n, sequence, offset, last
+            last = ids.astype(np.int64) if with_ids else zlib.crc32(ids)
+            return doc_id, start, len(ids), n, sequence, offset, last
 
         def flush() -> None:
             nonlocal sequence
-            for window in split([len(p[2]) // 4 for p in waiting]) if waiting else ():
+            for window in split([len(p[2]) for p in waiting]) if waiting else ():
                 offset = 0
                 for i in sorted(window):
                     out.append(row(waiting[i], offset))
-                    offset += len(waiting[i][2]) // 4
+                    offset += len(waiting[i][2])
                 sequence += 1
             waiting.clear()
 
@@ -106,22 +106,23 @@ def _packed(tokenizer: str, with_ids: bool):
             return pa.RecordBatch.from_arrays(columns, names=names)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                doc_id, ids = doc_id.as_py(), encode(text.as_py()) + end
-                n, at = len(ids) // 4, 0
-                while n - at >= CAPACITY:
-                    out.append(row((doc_id, at, ids[4 * at:4 * (at + CAPACITY)], n), 0))
-                    sequence += 1
-                    at += CAPACITY
-                while at < n:
-                    size = min(PIECE, n - at, room - held)
-                    waiting.append((doc_id, at, ids[4 * at:4 * (at + size)], n))
-                    at, held = at + size, held + size
-                    if held == room:
-                        flush()
-                        held = 0
-                if len(out) >= 8192:
-                    yield given()
+            numbers = batch.column(0).to_pylist()
+            for first, ids, ends in own.encoded(batch.column(1), END_ID):
+                for doc_id, begin, end in zip(numbers[first:], [0, *ends], ends):
+                    n, at = end - begin, 0
+                    while n - at >= CAPACITY:
+                        out.append(row((doc_id, at, ids[begin + at:begin + at + CAPACITY], n), 0))
+                        sequence += 1
+                        at += CAPACITY
+                    while at < n:
+                        size = min(PIECE, n - at, room - held)
+                        waiting.append((doc_id, at, ids[begin + at:begin + at + size], n))
+                        at, held = at + size, held + size
+                        if held == room:
+                            flush()
+                            held = 0
+                    if len(out) >= 8192:
+                        yield given()
         flush()
         if out:
             yield given()

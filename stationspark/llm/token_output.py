@@ -70,30 +70,30 @@ def from_planes(planes: list[bytes], n: int, kind: str) -> bytes:
 def _filled_chunks(tokenizer: str, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        encode, packer = encoder(tokenizer).ids_bytes, zstandard.ZstdCompressor(level=LEVEL)
-        end = END_ID.to_bytes(4, "little")
+        own, packer = encoder(tokenizer), zstandard.ZstdCompressor(level=LEVEL)
         schema = pa.schema([("part", pa.int32()), ("chunk", pa.int32()), ("n_ids", pa.int64()),
                             ("kind", pa.string()), ("doc_ids", pa.list_(pa.int64())),
                             ("n_tokens", pa.list_(pa.int64())), ("planes", pa.list_(pa.binary()))])
         doc_ids, texts, held, chunk = [], [], 0, 0
 
         def closed() -> pa.RecordBatch:
-            ids = b"".join(texts)
+            ids = np.concatenate(texts).tobytes()
             planes = [packer.compress(p) for i in range(0, len(ids), 4 * BLOCK_IDS)
                       for p in to_planes(ids[i:i + 4 * BLOCK_IDS], kind)]
-            values = [part, chunk, len(ids) // 4, kind, doc_ids, [len(t) // 4 for t in texts], planes]
+            values = [part, chunk, len(ids) // 4, kind, doc_ids, [len(t) for t in texts], planes]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)],
                                               schema=schema)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                ids = encode(text.as_py()) + end
-                if held and held + len(ids) > 4 * CHUNK_IDS:
-                    yield closed()
-                    doc_ids, texts, held, chunk = [], [], 0, chunk + 1
-                doc_ids.append(doc_id.as_py())
-                texts.append(ids)
-                held += len(ids)
+            numbers = batch.column(0).to_pylist()
+            for at, ids, ends in own.encoded(batch.column(1), END_ID):
+                for doc_id, start, end in zip(numbers[at:], [0, *ends], ends):
+                    if held and held + end - start > CHUNK_IDS:
+                        yield closed()
+                        doc_ids, texts, held, chunk = [], [], 0, chunk + 1
+                    doc_ids.append(doc_id)
+                    texts.append(ids[start:end])
+                    held += end - start
         if texts:
             yield closed()
 

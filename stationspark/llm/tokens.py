@@ -7,21 +7,35 @@ encoded in parts cut before such blanks, and the ids of a part (a word and
 what clings to it) are kept, for words recur.  The tokenizer's own
 pre-tokenizer and model encode a part that is not known.  A text that holds
 the string of a special token is encoded whole.
+
+Texts come in Arrow batches.  A batch is cut at its blanks, its different words
+are looked up in the known ones at once, those not known are encoded, and the
+ids of all words are gathered by number into one buffer; all of it is Arrow's
+but the encoding.  A text in which white space follows a blank, or that ends in
+one, goes the careful way by itself.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import struct
+from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
-#: Parts whose ids a worker keeps, twice: those met lately and those before;
-#: and pieces of parts, likewise.
-KEPT_PARTS = 500_000
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+#: Words whose ids a worker keeps, and their bytes; beyond, those not met lately go.
+KEPT_WORDS = 1_500_000
+KEPT_BYTES = 96 << 20
+#: Pieces of words that are kept, twice: those met lately and those before.
 KEPT_PIECES = 100_000
-#: A part of more characters is not kept.
+#: A piece of more characters is not kept.
 LONG_PART = 64
+#: Bytes of text that are cut into words together; a longer text is alone.
+TOGETHER = 16 << 20
 
 # A byte-level vocabulary writes visible bytes as themselves and numbers the
 # others from 256 (fixed values of the file format).
@@ -29,8 +43,6 @@ _VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _HIDDEN = [b for b in range(256) if b not in _VISIBLE]
 _AS_WRITTEN = {b: chr(256 + i) for i, b in enumerate(_HIDDEN)}
 _CLOSING = ".,;:!?"
-# A blank that white space follows: such texts take the careful way.
-_BLANKS = re.compile(r" \s")
 
 
 class Encoder:
@@ -47,14 +59,14 @@ class Encoder:
         self._model = self._tokenizer.model
         self._cut = self._tokenizer.pre_tokenizer.pre_tokenize_str
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        # a special token that a plain word can hold
+        self._plain_special = any(t.isascii() and t.isalpha() for t in self._special)
         self._lately: dict[str, bytes] = {}
         self._before: dict[str, bytes] = {}
-        self._after_blank: dict[str, bytes] = {}
-        self._after_before: dict[str, bytes] = {}
+        self._forget()
 
     def _of_pretoken(self, written: str) -> bytes:
-        ids = [t.id for t in self._model.tokenize(written)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return array("I", [t.id for t in self._model.tokenize(written)]).tobytes()
 
     def _of_word(self, word: str) -> bytes:
         """A word of letters, a blank before it, or one closing mark."""
@@ -86,17 +98,6 @@ class Encoder:
         self._keep(part, got)
         return got
 
-    def _of_blank(self, word: str) -> bytes:
-        """A word that follows a blank; kept without it, for the quick way."""
-        got = self._after_before.get(word)
-        if got is None:
-            got = self._of_part(" " + word)
-        if len(word) <= LONG_PART:
-            if len(self._after_blank) >= KEPT_PARTS:
-                self._after_before, self._after_blank = self._after_blank, {}
-            self._after_blank[word] = got
-        return got
-
     def _known(self, part: str) -> bytes | None:
         got = self._lately.get(part)
         if got is None:
@@ -126,11 +127,139 @@ class Encoder:
         if any(s in text for s in self._special):
             ids = self._tokenizer.encode(text, add_special_tokens=False).ids
             return struct.pack(f"<{len(ids)}I", *ids)
-        if not text or text[-1] == " " or _BLANKS.search(text):
-            return b"".join([self._of_part(p) for p in self.parts(text)])
-        words = text.split(" ")
-        get = self._after_blank.get
-        return self._of_part(words[0]) + b"".join([get(w) or self._of_blank(w) for w in words[1:]])
+        return b"".join([self._of_part(p) for p in self.parts(text)])
+
+    def _forget(self) -> None:
+        # known words, those that begin a text with a blank before them; their
+        # ids, null where the text has to go the careful way; when last met
+        self._words = pa.array([], pa.large_string())
+        self._ids = pa.array([], pa.large_binary())
+        self._met = np.zeros(0, dtype=np.int64)
+        self._now = 0
+
+    def _made_of(self, word: str) -> tuple[str, bytes, str | None] | None:
+        """A word that is known by others: one before a closing mark, or two
+        with a line end between them (a pre-token of its own)."""
+        body = word[1:] if word[:1] == " " else word
+        if body[-1:] in _CLOSING and body[:-1].isalpha():
+            return word[:-1], self._of_word(word[-1]), None
+        lines = body.split("\n")
+        if len(lines) == 2 and lines[1].isalpha() and lines[0] and not lines[0][0].isspace() and not lines[0][-1].isspace():
+            return word[:-len(lines[1]) - 1], self._of_pretoken(_AS_WRITTEN[10]), " " + lines[1]
+        return None
+
+    def _encoded_words(self, words: list[str]) -> list[bytes | None]:
+        """Ids of new words; ``None`` where a text has to go the careful way."""
+        tokenize, blank, special = self._model.tokenize, _AS_WRITTEN[32], self._special
+        out: list[bytes | None] = [None] * len(words)
+        composed = []
+        for i, word in enumerate(words):
+            begins = word[:1] == " "                    # it begins a text
+            body = word[1:] if begins else word
+            if any(s in word for s in special):
+                continue
+            if body.isalpha():
+                written = body if body.isascii() else body.encode().decode("latin-1").translate(_AS_WRITTEN)
+                out[i] = array("I", [t.id for t in tokenize(written if begins else blank + written)]).tobytes()
+            elif begins or (body and not body[0].isspace()):
+                parts = self._made_of(word)
+                if parts is None:
+                    out[i] = self._of_part(body if begins else " " + body)
+                else:
+                    composed.append((i, *parts))
+        if composed:
+            firsts = pa.array([c[1] for c in composed], pa.large_string()).dictionary_encode()
+            lasts = pa.array([c[3] or " " for c in composed], pa.large_string()).dictionary_encode()
+            at = self._places(pa.concat_arrays([firsts.dictionary, lasts.dictionary]).unique())
+            known = dict(zip(pa.concat_arrays([firsts.dictionary, lasts.dictionary]).unique().to_pylist(),
+                             self._ids.take(pa.array(at)).to_pylist()))
+            for i, first, mark, last in composed:
+                out[i] = known[first] + mark + known[last or " "]
+        return out
+
+    def _make_room(self) -> None:
+        """Drops words not met lately, once there are too many."""
+        self._now += 1
+        if len(self._words) <= KEPT_WORDS and self._words.nbytes <= KEPT_BYTES:
+            return
+        late = self._met > np.median(self._met)
+        if late.any() and self._words.nbytes <= 2 * KEPT_BYTES:
+            keep = pa.array(late)
+            self._words, self._ids, self._met = self._words.filter(keep), self._ids.filter(keep), self._met[late]
+        else:
+            self._forget()
+
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Places of different words among the known ones, new ones added."""
+        at = np.full(len(words), -1)
+        # the table of the fewer ones is made, the known words are looked up in it
+        found = pc.fill_null(pc.index_in(self._words, value_set=words), -1).to_numpy()
+        here = np.flatnonzero(found >= 0)
+        at[found[here]] = here
+        new = at < 0
+        unknown = words.filter(pa.array(new))
+        if len(unknown):
+            # may add the words that these are made of, before them
+            ids = pa.array(self._encoded_words(unknown.to_pylist()), pa.large_binary())
+            at[new] = np.arange(len(self._words), len(self._words) + len(unknown))
+            self._words = pa.concat_arrays([self._words, unknown])
+            self._ids = pa.concat_arrays([self._ids, ids])
+            self._met = np.concatenate([self._met, np.zeros(len(unknown), dtype=np.int64)])
+        self._met[at] = self._now
+        return at
+
+    def _ids_of(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts, one text after the other with ``end`` after
+        each, and where each text's ids end."""
+        self._make_room()
+        cut = pc.split_pattern(texts, " ")
+        offsets = cut.offsets.to_numpy().astype(np.int64)
+        offsets -= offsets[0]
+        starts, words = offsets[:-1], cut.flatten()
+        numbered, first = words.dictionary_encode(), words.take(pa.array(starts)).dictionary_encode()
+        different = numbered.dictionary.cast(pa.large_string())
+        nothing, blank = pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())
+        begins = pc.binary_join_element_wise(nothing, first.dictionary.cast(pa.large_string()), blank)
+        places = self._places(pa.concat_arrays([different, begins]))
+        codes = places[numbered.indices.to_numpy()]
+        codes[starts] = places[len(different) + first.indices.to_numpy()]
+
+        alone = np.zeros(len(texts), dtype=bool)
+        if self._ids.null_count:
+            careful = pc.is_null(self._ids).to_numpy(zero_copy_only=False)[codes]
+            if careful.any():
+                alone = np.logical_or.reduceat(careful, starts)
+        for special in self._special:
+            if " " in special:
+                alone |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
+        own = [self.ids_bytes(t.as_py()) for t in texts.filter(pa.array(alone))] if alone.any() else []
+        # what follows the known words: the end, and the texts by themselves
+        more = pa.array([struct.pack("<I", end), *own], pa.large_binary())
+        known, last = pa.concat_arrays([self._ids, more]), len(self._ids)
+        if own:
+            each = np.diff(offsets)
+            each_alone = np.repeat(alone, each)
+            counts = np.where(alone, 1, each)
+            kept = np.ones(len(codes), dtype=bool)
+            kept[each_alone] = False
+            kept[starts[alone]] = True
+            codes[starts[alone]] = last + 1 + np.arange(len(own))
+            codes, offsets = codes[kept], np.concatenate([[0], np.cumsum(counts)])
+        codes = np.insert(codes, offsets[1:], last)
+        taken = known.take(pa.array(codes))
+        bounds = np.frombuffer(taken.buffers()[1], dtype=np.int64)[taken.offset:taken.offset + len(taken) + 1] // 4
+        ends = bounds[offsets[1:] + np.arange(1, len(texts) + 1)]
+        return np.frombuffer(taken.buffers()[2], dtype="<u4")[bounds[0]:bounds[-1]], ends - bounds[0]
+
+    def encoded(self, texts: pa.Array, end: int) -> Iterator[tuple[int, np.ndarray, list[int]]]:
+        """Runs of texts: the number of the first one, their ids, ``end`` after
+        each text, and where the ids of each text end."""
+        if not len(texts):
+            return
+        held = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64)) // TOGETHER
+        for at, n in zip(*(x.tolist() for x in np.unique(held, return_index=True, return_counts=True)[1:])):
+            ids, ends = self._ids_of(texts.slice(at, n), end)
+            yield at, ids, ends.tolist()
 
 
 @lru_cache(maxsize=2)
