@@ -194,17 +194,21 @@ def usable(least, most, label: int, same: bool) -> np.ndarray:
 
 
 def walk(tree: Tree, values: np.ndarray, query: np.ndarray, number: int, label: int, windows: list[tuple[int, int]],
-         k: int, same: bool, leaf_box: tuple, group_box: tuple) -> tuple[list[np.ndarray], int]:
+         k: int, same: bool, leaf_box: tuple, group_box: tuple) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]:
     """Places and scores of the best ``k`` rows in each window, and the leaves opened.
 
     ``leaf_box`` and ``group_box``: the intervals of this anchor.
     """
-    floors = [low for low, _ in windows]
-    at = [np.zeros(0, np.int64) for _ in windows]
-    scores = [np.zeros(0, np.int64) for _ in windows]
+    floors, tops = [low for low, _ in windows], [high for _, high in windows]
+    over = range(len(windows))
+    kth: list[list[int]] = [[] for _ in over]  # the k best scores, the least first
+    found: list[list[tuple[int, int]]] = [[] for _ in over]
 
-    def wanted(least: int, greatest: int) -> bool:
-        return any(greatest >= f and least <= w[1] for f, w in zip(floors, windows))
+    def wanted(least: int, most: int) -> bool:
+        for w in over:
+            if most >= floors[w] and least <= tops[w]:
+                return True
+        return False
 
     leaf_least, leaf_most = (b.tolist() for b in leaf_box)
     group_least, group_most = (b.tolist() for b in group_box)
@@ -213,10 +217,10 @@ def walk(tree: Tree, values: np.ndarray, query: np.ndarray, number: int, label:
     queue = [(-group_most[g], 0, g) for g in range(len(tree.groups))
              if ok_group[g] and wanted(group_least[g], group_most[g])]
     heapq.heapify(queue)
-    opened = 0
+    opened, lowest = 0, min(floors)
     while queue:
         most, is_leaf, i = heapq.heappop(queue)
-        if -most < min(floors):
+        if -most < lowest:
             break
         if not is_leaf:
             for j in tree.groups[i]:
@@ -228,25 +232,27 @@ def walk(tree: Tree, values: np.ndarray, query: np.ndarray, number: int, label:
         opened += 1
         start, end = tree.starts[i], tree.ends[i]
         product = values[start:end] @ query
-        hit = np.flatnonzero(product >= min(floors))
+        hit = np.flatnonzero(product >= lowest)
         if not hit.size:
             continue
         alike = tree.labels[start + hit] == label
         hit = hit[alike & (tree.numbers[start + hit] != number) if same else ~alike]
-        got = clipped(product[hit])
-        for w, (_, high) in enumerate(windows):
-            keep = (got >= floors[w]) & (got <= high)
-            if keep.any():
-                at[w] = np.concatenate([at[w], start + hit[keep]])
-                scores[w] = np.concatenate([scores[w], got[keep]])
-                if scores[w].size >= k:
-                    floors[w] = max(floors[w], int(np.partition(scores[w], scores[w].size - k)[scores[w].size - k]))
-                    stays = scores[w] >= floors[w]
-                    at[w], scores[w] = at[w][stays], scores[w][stays]
+        for at, score in zip((start + hit).tolist(), clipped(product[hit]).tolist()):
+            for w in over:
+                if floors[w] <= score <= tops[w]:
+                    found[w].append((at, score))
+                    if len(kth[w]) < k:
+                        heapq.heappush(kth[w], score)
+                    else:
+                        heapq.heappushpop(kth[w], score)
+                    if len(kth[w]) == k and kth[w][0] > floors[w]:
+                        floors[w] = kth[w][0]
+        lowest = min(floors)
     best = []
-    for a, s in zip(at, scores):
-        order = np.lexsort((tree.numbers[a], tree.id_values[a], ~tree.known[a], -s))[:k]
-        best.append((a[order], s[order]))
+    for w in over:
+        at, scores = (np.array([f[i] for f in found[w] if f[1] >= floors[w]], dtype=np.int64) for i in (0, 1))
+        order = np.lexsort((tree.numbers[at], tree.id_values[at], ~tree.known[at], -scores))[:k]
+        best.append((at[order], scores[order]))
     return best, opened
 
 
