@@ -64,9 +64,13 @@ def missing_count_by_metric(tables: WeatherTables, kind: str = "daily") -> DataF
     fact = tables.fact(kind)
     metrics = [m for m in catalog.METRICS[kind] if m in fact.columns]
     counters, value = [], clean.values_of(fact)
+    # one trimmed text serves a metric's three counters
+    texts = set(clean.text_columns(fact))
+    fact = fact.select(*[F.trim(m).alias(m) if m in texts else F.col(m) for m in metrics])
     for m in metrics:
-        counters += [F.count_if(clean.is_marker(m, clean.MISSING)).alias(f"{m}__m"),
-                     F.count_if(clean.is_marker(m, clean.TRACE)).alias(f"{m}__t"),
+        text = F.col(m).cast("string")
+        counters += [F.count_if(text == clean.MISSING).alias(f"{m}__m"),
+                     F.count_if(text == clean.TRACE).alias(f"{m}__t"),
                      F.count(value(m)).alias(f"{m}__v")]
     totals = fact.agg(F.count(F.lit(1)).alias("n_rows"), *counters)
     per_metric = F.array(*[F.struct(F.lit(m).alias("metric"),

@@ -198,3 +198,13 @@ def unreliable_stations(tables: MaintainedTables, month_start: int, month_end: i
                         broadcast_rows: int | None = st.DEFAULT_BROADCAST_ROWS) -> DataFrame:
     params.check_positive("k", k)
     return agg.top_k(suspect_counts(tables, month_start, month_end, state, broadcast_rows), k, "suspicious_count")
+
+
+def unreliable_stations_by_state(tables: MaintainedTables, month_start: int, month_end: int, k: int = 10,
+                                 broadcast_rows: int | None = st.DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    params.check_positive("k", k)
+    dim = tables.dimension
+    placed = st.attach_station(suspect_counts(tables, month_start, month_end, None, broadcast_rows), dim.station,
+                               columns=("State",), broadcast=dim.station_fits(broadcast_rows))
+    return agg.top_k_per_group(placed, ("State",), k, "suspicious_count").select(
+        "State", "rank", "WBAN", "suspicious_count")

@@ -41,13 +41,16 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder for written intermediate tables, shared by driver and executors.
 
     ``spark.checkpoint.dir`` where the session names one (on a cluster it
-    must).  Where it is unset, as in a plain local session, a folder below
-    the warehouse, which every node of a session sees as well.  The setting
-    is only ever read: Spark refuses to change it at run time.
+    must).  Where it is unset in a local session, a folder below the
+    warehouse; elsewhere that may be each machine's own, so it is an error.
+    The setting is only ever read: Spark refuses to change it at run time.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    base = named or spark.sparkContext.getCheckpointDir() or (
-        spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return base.rstrip("/")
 
 

@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+
 from stationspark.__main__ import main
 from stationspark.session import local_path, scratch_path
 
@@ -72,3 +74,34 @@ def test_cli_every_question(spark, tmp_path, capsys):
     for args, expected in commands:
         assert main(data + args) == 0
         assert expected in capsys.readouterr().out, args
+
+
+def test_cli_kept_layers(spark, tmp_path, capsys):
+    raw, layer = tmp_path / "dataset", str(tmp_path / "layer")
+    raw.mkdir()
+    for m in (1, 2):
+        _month(raw, m)
+    assert main(["--data", str(raw), "ingest", "--corrections", layer]) == 0
+    (raw / "201302" / "monthly.2.txt").write_text("WBAN,YearMonth,AvgTemp\n03011,201302,50\n")
+    assert main(["--data", str(raw), "ingest", "--corrections", layer]) == 0
+    capsys.readouterr()
+    for layout in ("partitioned", "maintained"):
+        data = ["--data", layer, "--layout", layout]
+        for args, expected in (
+                (["avg", "CO", "1", "2"], "40.5"), (["avg", "CO", "1", "2", "--by-state-month"], "50.0"),
+                (["monthly-temp", "2"], "10.0"), (["hourly", "CO", "1"], "|40.0"),
+                (["extrema", "daily", "CO", "1", "Tavg"], "TELLURIDE"), (["unreliable", "1", "2", "-k", "1"], "|3011|2 "),
+                (["unreliable", "1", "2", "--by-state"], "|MA   |1   |14739|2")):
+            assert main(data + args) == 0
+            assert expected in capsys.readouterr().out, (layout, args)
+    data = ["--data", layer, "--layout", "partitioned"]
+    assert main(data + ["avg", "CO", "2", "2", "--unit", "°C"]) == 0
+    assert "10.0" in capsys.readouterr().out
+    assert main(data + ["extrema", "daily", "CO", "1", "Max5Speed", "--unit", "km/h"]) == 0
+    assert "40.23" in capsys.readouterr().out
+    assert main(data + ["partials", str(tmp_path / "more")]) == 0
+    assert main(data + ["cluster", "hourly", str(tmp_path / "own"), "--rows-per-range", "2"]) == 0
+    assert main(data + ["manifest"]) == 0
+    assert os.path.exists(f"{layer}/_manifest.json") and os.path.isdir(tmp_path / "more" / "_partials" / "daily")
+    with pytest.raises(SystemExit):
+        main(["--data", layer, "--layout", "maintained", "agri", "1"])
