@@ -1,19 +1,24 @@
-"""N-gram Jaccard self-join through banded MinHash signatures, verified exactly.
+"""N-gram Jaccard self-join through a MinHash LSH forest, verified exactly.
 
 Two documents are linked when the Jaccard likeness of their sets of word
 5-grams is 0.8 or more.
 
 1. ``signatures``: a document's set is hashed to ``TREES * DEPTH`` minima.
    Documents of equal sets are one class from here on; only one goes on.
-2. ``prefix_length``: documents that share the first minima of a tree share a
-   node.  Their number is fixed, the greatest up to ``DEPTH`` at which a pair
-   at the threshold shares a node of some tree with the target recall; it does
-   not depend on the data, and no trie is descended (plain banding).
-3. ``near_edges``: inside every shared node the whole signatures are compared,
-   and what is not surely far (an estimate of ``SURELY_FAR`` or more) is
-   joined into groups, given as an edge to the group's smallest member.  A
-   node with many members is cut into blocks, and pairs of blocks are
-   compared by different tasks; no pairs are written out.
+2. The forest: each of the ``TREES`` trees orders the documents by ``DEPTH``
+   minima of its own, a prefix trie written as a sorted list.  Documents that
+   share a prefix of minima share a node of the trie.
+3. ``near_edges``: a trie is walked from its longest prefixes up.  Inside a node
+   the whole signatures are compared, and what is not surely far (an estimate
+   of ``SURELY_FAR`` or more) is joined.  Documents that are joined are settled
+   in this node; the prefix is shortened for the others, and in the larger node
+   that they share then, only those not yet joined with each other are compared.
+   The walk ends at ``prefix_length``, the greatest length up to ``DEPTH`` at
+   which a pair at the threshold shares a node of some tree with the target
+   recall.  What was joined is given as an edge to the smallest member, with
+   the length of the prefix that settled it.  A shortest-prefix node with many
+   members is cut into blocks, and pairs of blocks are walked by different
+   tasks; no pairs are written out.
 4. ``components`` of the edges are the candidates: small groups in which
    links can be.
 5. ``verified``: in each candidate group the sets themselves are compared,
@@ -47,7 +52,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationspark.llm.shared import stored, whole_text
+from stationspark.llm.shared import free_names, stored, whole_text
 from stationspark.llm.shingles import Runs, hashed, mixed
 
 NGRAM = 5
@@ -163,24 +168,58 @@ def _blocks(rows: DataFrame, keys: list[str], size: str, order: str, per: int) -
         "*", "pair.low", "pair.high").drop("pair")
 
 
-def _node_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, rows in _grouped(batches, ["tree", "prefix", "low", "high"]):
-        ids = rows.column("node").to_numpy()
-        if len(ids) < 2:
-            continue
-        signs = np.frombuffer(b"".join(rows.column("signature").to_pylist()), dtype=np.uint32).reshape(len(ids), -1)
-        least = SURELY_FAR * signs.shape[1]
-        linked = np.empty((len(ids), len(ids)), dtype=bool)
-        for i in range(len(ids)):
-            linked[i] = (signs == signs[i]).sum(axis=1) >= least
-        root = _roots(linked, ids)
-        keep = root != ids
-        if keep.any():
-            yield pa.RecordBatch.from_pydict({"a": pa.array(ids[keep]), "b": pa.array(root[keep])})
+def settle(minima_of_tree: np.ndarray, signs: np.ndarray, ids: np.ndarray, shortest: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each member of a node, in trie order, the smallest id that it is
+    joined with, and the length of the prefix at which it first was (0: never)."""
+    least, depth = SURELY_FAR * signs.shape[1], minima_of_tree.shape[1]
+    if len(ids) == 2:
+        near = (signs[0] == signs[1]).sum() >= least
+        shared = int(np.append(minima_of_tree[0] == minima_of_tree[1], False).argmin())
+        return (np.full(2, ids.min()), np.full(2, shared)) if near else (ids, np.zeros(2, dtype=np.int64))
+    root, settled = ids.copy(), np.zeros(len(ids), dtype=np.int32)
+    for length in range(depth, shortest - 1, -1):
+        new_node = (minima_of_tree[1:, :length] != minima_of_tree[:-1, :length]).any(axis=1)
+        cuts = [0, *(np.flatnonzero(new_node) + 1).tolist(), len(ids)]
+        for a, b in zip(cuts, cuts[1:]):
+            own = root[a:b]
+            if (own == own[0]).all():
+                continue
+            here = signs[a:b]
+            linked = own[:, None] == own[None, :]
+            for i in range(b - a):
+                # only with those that it is not yet joined with
+                other = np.flatnonzero(~linked[i, i + 1:]) + i + 1
+                if other.size:
+                    hit = other[(here[other] == here[i]).sum(axis=1) >= least]
+                    linked[i, hit] = linked[hit, i] = True
+            joined = _roots(linked, ids[a:b])
+            grown = (linked.sum(axis=1) > 1) & (settled[a:b] == 0)
+            settled[a:b][grown] = length
+            # whatever carries a root that was joined takes the new one
+            for old, now in {(o, n) for o, n in zip(own.tolist(), joined.tolist()) if o != n}:
+                root[root == old] = min(old, now)
+    return root, settled
+
+
+def _node_edges(shortest: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (tree, *_), rows in _grouped(batches, ["tree", "prefix", "low", "high"]):
+            ids = rows.column("node").to_numpy()
+            if len(ids) < 2:
+                continue
+            signs = np.frombuffer(b"".join(rows.column("signature").to_pylist()), dtype=np.uint32).reshape(len(ids), -1)
+            root, settled = settle(signs[:, tree * DEPTH:(tree + 1) * DEPTH], signs, ids, shortest)
+            keep = root != ids
+            if keep.any():
+                yield pa.RecordBatch.from_pydict({"a": pa.array(ids[keep]), "b": pa.array(root[keep]),
+                                                  "prefix": pa.array(settled[keep].astype(np.int32))})
+
+    return run
 
 
 def near_edges(sets: DataFrame, length: int) -> DataFrame:
-    """``(a, b)``: edges of the groups inside shared nodes of the tries.
+    """``(a, b, prefix)``: edges inside shared nodes of the tries, and the
+    length of the prefix at which ``a`` was settled.
 
     ``sets`` has ``node`` (the number of a class of equal sets) and its
     ``signature``.
@@ -191,8 +230,11 @@ def near_edges(sets: DataFrame, length: int) -> DataFrame:
     shared = members.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     members = stored(members.join(shared, ["tree", "prefix"]), "trie-members")
     rows = _blocks(members.join(sets.select("node", "signature"), "node"), ["tree", "prefix"], "members", "node", NODE_BLOCK)
-    rows = rows.repartition("tree", "prefix", "low", "high").sortWithinPartitions("tree", "prefix", "low", "high", "node")
-    return rows.select("tree", "prefix", "low", "high", "node", "signature").mapInArrow(_node_edges, "a long, b long")
+    # the rest of the tree's minima: rows of a node lie in the order of the trie
+    rest = F.substring(F.col("signature"), F.col("tree") * (4 * DEPTH) + (4 * length + 1), F.lit(4 * (DEPTH - length)))
+    keys = ["tree", "prefix", "low", "high"]
+    rows = rows.withColumn("rest", rest).repartition(*keys).sortWithinPartitions(*keys, "rest", "node")
+    return rows.select(*keys, "node", "signature").mapInArrow(_node_edges(length), "a long, b long, prefix int")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -321,17 +363,18 @@ def join(docs: DataFrame) -> DataFrame:
 def survivors(docs: DataFrame) -> DataFrame:
     """The smallest id of each class, with all columns; one row of those alike
     in id and text, but all texts without words."""
-    stay = stored(_classes(docs).filter("stays").groupBy(F.col("doc_id").alias("__id"), F.col("th").alias("__th"))
-                  .agg((F.count(F.lit(1)) > 1).alias("__many"), F.first("blank").alias("__blank")), "near-stay")
-    rows = docs.withColumn("__own", F.xxhash64(whole_text()))
+    own_id, own_hash, is_many, is_blank, own = free_names(docs, "__id", "__th", "__many", "__blank", "__own")
+    stay = stored(_classes(docs).filter("stays").groupBy(F.col("doc_id").alias(own_id), F.col("th").alias(own_hash))
+                  .agg((F.count(F.lit(1)) > 1).alias(is_many), F.first("blank").alias(is_blank)), "near-stay")
+    rows = docs.withColumn(own, F.xxhash64(whole_text()))
 
     def kept(some: DataFrame) -> DataFrame:
-        return rows.join(some, rows["doc_id"].cast("long").eqNullSafe(some["__id"]) & (rows["__own"] == some["__th"]), "left_semi")
+        return rows.join(some, rows["doc_id"].cast("long").eqNullSafe(some[own_id]) & (rows[own] == some[own_hash]), "left_semi")
 
     # few texts, if any, go through the shuffle of dropDuplicates
-    twice = F.col("__many") & ~F.col("__blank")
+    twice = F.col(is_many) & ~F.col(is_blank)
     repeated = stay.filter(twice)
     out = kept(stay.filter(~twice))
     if not repeated.isEmpty():
-        out = out.unionByName(kept(repeated).dropDuplicates(["doc_id", "__own"]))
+        out = out.unionByName(kept(repeated).dropDuplicates(["doc_id", own]))
     return out.select(*docs.columns)

@@ -41,6 +41,18 @@ def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, lengthened where ``df`` has a column that is called so."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once per row."""
     return F.transform(F.array(value), body)[0]
