@@ -35,7 +35,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationspark.llm.shared import SPACE_CHARS, stored, whole_text
+from stationspark.llm.shared import SPACE_CHARS, free_names, stored, whole_text
 
 #: Bytes that a bucket may hold before it is split.
 CAPACITY = 64 << 20
@@ -113,9 +113,9 @@ def find(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def survivors(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """The documents that stay, with all their columns."""
+    own_id, own_key, key = free_names(docs, "__id", "__h", "__key")
     kept = find(docs, capacity).filter("kept").select("doc_id", "h").dropDuplicates()
-    kept = kept.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"))
-    keyed = docs.withColumn("__key", F.xxhash64(_bare_text()))
-    stay = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["__id"]) & (keyed["__key"] == kept["__h"]),
-                      "left_semi")
-    return stay.dropDuplicates(["doc_id", "__key"]).select(*[stay[c] for c in docs.columns])
+    kept = kept.select(F.col("doc_id").alias(own_id), F.col("h").alias(own_key))
+    keyed = docs.withColumn(key, F.xxhash64(_bare_text()))
+    stay = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept[own_id]) & (keyed[key] == kept[own_key]), "left_semi")
+    return stay.dropDuplicates(["doc_id", key]).select(*[stay[c] for c in docs.columns])

@@ -49,7 +49,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationspark.llm.shared import WORD, stored, whole_text
+from stationspark.llm.shared import WORD, free_names, stored, whole_text
 
 #: Weights of the sources in order, repeating.
 WEIGHTS = (1, 2, 3)
@@ -265,10 +265,11 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     that is taken twice is there twice."""
     _, taken = plan(docs)
     # a list is as long as a document is taken, MOST at most
-    lists = taken.groupBy(F.col("key").alias("__key"), F.col("occurrence").alias("__nth")).agg(F.collect_list(F.struct(
-        "shard", F.xxhash64("key", "occurrence", "copy", F.lit(seed)).alias("turn"))).alias("__draws"))
-    rows = docs.withColumn("__key", _key())
-    rows = rows.withColumn("__nth", _occurrence("__key", F.xxhash64(whole_text())))
-    rows = rows.join(lists, ["__key", "__nth"]).withColumn("__draw", F.explode("__draws"))
-    rows = rows.repartition("__draw.shard").sortWithinPartitions("__draw.shard", "__draw.turn")
+    key, nth, turns, turn = free_names(docs, "__key", "__nth", "__draws", "__draw")
+    lists = taken.groupBy(F.col("key").alias(key), F.col("occurrence").alias(nth)).agg(F.collect_list(F.struct(
+        "shard", F.xxhash64("key", "occurrence", "copy", F.lit(seed)).alias("turn"))).alias(turns))
+    rows = docs.withColumn(key, _key())
+    rows = rows.withColumn(nth, _occurrence(key, F.xxhash64(whole_text())))
+    rows = rows.join(lists, [key, nth]).withColumn(turn, F.explode(turns))
+    rows = rows.repartition(f"{turn}.shard").sortWithinPartitions(f"{turn}.shard", f"{turn}.turn")
     return rows.select(*docs.columns)
