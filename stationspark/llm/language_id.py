@@ -8,9 +8,10 @@ suffix (the last label of the host name).
    and towards the whole corpus, they give the likelihood of a text in each
    language.  Every declared code is a language, however rare.
 2. ``read_texts``: every whole text's log likelihoods, tempered, because
-   overlapping trigrams are not independent.  Where a text makes up more than
-   ``OWN_SHARE`` of its declared language's trigrams, its own are taken out of
-   them, so a text does not vouch for a rare code by itself.
+   overlapping trigrams are not independent.  A text's own trigrams are taken
+   out of those of its declared language, so it does not vouch for its code by
+   itself.  Kept with a text are the languages within ``KEPT_EVIDENCE`` of the
+   best one: a few, however many codes are declared.
 3. ``host_priors``: grouped sums of these posteriors, smoothed down a
    hierarchy: all items, the suffix, the host.  A group of n items weighs n
    against ``STRENGTH`` items of the group above.  An item's own posterior is
@@ -22,13 +23,13 @@ suffix (the last label of the host name).
 
 An item is accepted when the best language has ``LEAST_PROBABILITY`` and its
 text reads like a language: some letters, and not less likely under the best
-language than under equal odds of all buckets.  Where the other texts of the
-declared code have fewer than ``LEAST_KNOWN`` trigrams, neither test can say
-that the text is not in that language, and letters are enough.
+language than under equal odds of all buckets, with ``READABLE`` in its favour.
+Both tests count by the trust in the declared code, which grows smoothly with
+the trigrams of its other texts: a code that no other text has can reject none.
 
-Only tables with a row for each language and bucket, code or suffix are
-broadcast or brought to the driver (a code has two or three letters, so there
-are 18,252 at most; its model is 64 KB); hosts are joined.
+Only tables with a row for each language and bucket or code are brought to the
+driver (a code has two or three letters, so there are 18,252 at most; its model
+is 64 KB); hosts are joined, suffixes too unless there are few.
 
 Defined results: a null or letterless text has language ``und`` and is not
 accepted; a null or unknown declaration is a code of its own; a null host is a
@@ -50,13 +51,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationspark.llm.shared import stored, whole_text
+from stationspark.llm.shared import free_names, stored, whole_text
 
 BUCKETS = 8192
-#: Trigrams of a code's other texts from which they tell what is unlike it.
-LEAST_KNOWN = BUCKETS
-#: Share of its language's trigrams up to which a text's own ones stay in.
-OWN_SHARE = 0.01
+#: Trigrams of a declared code's other texts that give it half of full trust.
+HALF_TRUST = float(BUCKETS)
 #: Share of a text's log likelihood that counts as independent evidence.
 TEMPER = 1 / 3
 #: Items of the group above that a group is smoothed with.
@@ -66,9 +65,14 @@ STRENGTH = 20.0
 TRIGRAM_START = 0.1
 CODE_START = 0.5
 LEAST_PROBABILITY = 0.5
-#: Trigrams from which a text can be unlike all languages; a shorter one may
-#: be a sentence around a key or an address, and is kept.
-LEAST_TRIGRAMS = 200
+#: Log odds for a text's being in some language, before it is read: so much
+#: less likely than chance it may be, as a sentence around a key or an address is.
+READABLE = 120.0
+#: Tempered log likelihood that a language may lack to the best one; those that
+#: lack more (a factor of 1e-13) are not kept with a text.
+KEPT_EVIDENCE = 30.0
+#: Suffixes up to which their table is broadcast.
+MOST_SUFFIXES = 10_000
 CHUNK_BYTES = 1 << 20
 #: Languages whose counts a task holds before it hands them on.
 HELD_LANGUAGES = 256
@@ -197,9 +201,17 @@ def _alone(logs: np.ndarray, model: np.ndarray, own: np.ndarray, buckets: np.nda
     logs[here, own[here]] = np.bincount(row, weights=k * np.log(left), minlength=len(own))[here] - counts[here] * np.log(total)
 
 
+def trust(known: np.ndarray) -> np.ndarray:
+    """Weight of a code's model against what is unlike it, from 0 to 1 with
+    the trigrams of its other texts."""
+    return known / (known + HALF_TRUST)
+
+
 def read_texts(items: DataFrame, names: list[str], model: np.ndarray) -> DataFrame:
-    """``id, declared, host, suffix, evidence, readable, unjudged``; the items
-    are among those that the model is fitted on."""
+    """``id, declared, host, suffix, evidence, readable, trust``; the items
+    are among those that the model is fitted on.  ``evidence`` has a language
+    and its tempered log likelihood below the best one's, for the few that are
+    near the best, however many languages there are."""
     best_chance = float(-np.log(BUCKETS))
     place = {n: i for i, n in enumerate(names)}
 
@@ -212,28 +224,40 @@ def read_texts(items: DataFrame, names: list[str], model: np.ndarray) -> DataFra
             for row, end, buckets, owner in _trigrams(batch.column("text")):
                 own, counts = of[row:end], np.bincount(owner, minlength=end - row)
                 logs = np.stack([np.bincount(owner, weights=m[buckets], minlength=end - row) for m in chances], axis=1)
-                much = (own >= 0) & (counts > OWN_SHARE * known[own])
-                mine = much[owner]
+                mine = (own >= 0)[owner]
                 if mine.any():
                     _alone(logs, model, own, buckets[mine], owner[mine])
-                unjudged = (own >= 0) & (known[own] - counts < LEAST_KNOWN)
-                likely = unjudged | (counts < LEAST_TRIGRAMS) | (logs.max(axis=1) > best_chance * counts)
-                evidence = (TEMPER * (logs - logs.max(axis=1, keepdims=True))).astype(np.float32)
+                trusted = np.where(own >= 0, trust(np.maximum(known[own] - counts, 0.0)), 1.0)
+                # without any trust twice the chance's log is allowed, as much as unknown trigrams cost
+                likely = logs.max(axis=1) > (2 - trusted) * best_chance * counts - READABLE
+                evidence = TEMPER * (logs - logs.max(axis=1, keepdims=True))
+                at, language = np.nonzero(evidence >= -KEPT_EVIDENCE)
+                offsets = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=end - row))]).astype(np.int32)
+                pairs = pa.StructArray.from_arrays(
+                    [pa.array(language.astype(np.int32)), pa.array(evidence[at, language].astype(np.float32))], ["language", "e"])
                 rows = batch.slice(row, end - row)
                 letters = pc.match_substring_regex(rows.column("text"), r"[A-Za-z]|[^\x00-\x7F]").to_numpy(zero_copy_only=False)
                 yield pa.RecordBatch.from_pydict({c: rows.column(c) for c in ("id", "declared", "host", "suffix")} | {
-                    "evidence": pa.ListArray.from_arrays(np.arange(end - row + 1, dtype=np.int32) * len(names), evidence.ravel()),
-                    "readable": pa.array(letters & likely), "unjudged": pa.array(unjudged)})
+                    "evidence": pa.ListArray.from_arrays(offsets, pairs), "readable": pa.array(letters & likely),
+                    "trust": pa.array(trusted)})
+
+    return items.mapInArrow(read, "id long, declared string, host string, suffix string, "
+                                  "evidence array<struct<language int, e float>>, readable boolean, trust double")
+
 
-    return items.mapInArrow(read, "id long, declared string, host string, suffix string, evidence array<float>, "
-                                  "readable boolean, unjudged boolean")
+def _pairs(column: pa.Array, value: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, language and value of every pair of a column of lists."""
+    owner = np.repeat(np.arange(len(column)), pc.fill_null(column.value_lengths(), 0).to_numpy())
+    pairs = column.flatten()
+    return (owner, pairs.field("language").to_numpy().astype(np.int64),
+            pairs.field(value).to_numpy(zero_copy_only=False).astype(np.float64))
 
 
-def _by_text(batch: pa.RecordBatch, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The evidence, and the posteriors by text alone."""
-    evidence = batch.column("evidence").flatten().to_numpy().reshape(batch.num_rows, n).astype(np.float64)
+def _by_text(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, language, evidence and posterior by text alone of every pair."""
+    row, language, evidence = _pairs(batch.column("evidence"), "e")
     weights = np.exp(evidence)
-    return evidence, weights / weights.sum(axis=1, keepdims=True)
+    return row, language, evidence, weights / np.bincount(row, weights=weights, minlength=batch.num_rows)[row]
 
 
 def posterior_sums(read: DataFrame, n: int) -> DataFrame:
@@ -244,14 +268,14 @@ def posterior_sums(read: DataFrame, n: int) -> DataFrame:
         for batch in batches:
             keys = pd.DataFrame({c: batch.column(c).to_pandas() for c in ("host", "suffix", "declared")})
             group = keys.groupby(["host", "suffix", "declared"], dropna=False, sort=False).ngroup().to_numpy()
-            _, posteriors = _by_text(batch, n)
-            order = np.argsort(group, kind="stable")
-            starts = np.flatnonzero(np.diff(group[order], prepend=-1))
-            sums = np.add.reduceat(posteriors[order], starts, axis=0) if len(order) else np.zeros((0, n))
-            at, language = np.nonzero(sums)
-            first = pa.array(order[starts][at])
+            row, language, _, posteriors = _by_text(batch)
+            key, inverse = np.unique(group[row] * n + language, return_inverse=True)
+            # any row of a group has its keys
+            member = np.zeros(int(group.max(initial=-1)) + 1, dtype=np.int64)
+            member[group] = np.arange(len(group))
+            first = pa.array(member[key // n])
             yield pa.RecordBatch.from_pydict({c: batch.column(c).take(first) for c in ("host", "suffix", "declared")} | {
-                "language": pa.array(language, pa.int32()), "s": pa.array(sums[at, language])})
+                "language": pa.array(key % n, pa.int32()), "s": pa.array(np.bincount(inverse, weights=posteriors, minlength=len(key)))})
 
     parts = read.filter("readable").select("host", "suffix", "declared", "evidence").mapInArrow(
         add, "host string, suffix string, declared string, language int, s double")
@@ -283,18 +307,36 @@ def declared_odds(sums: DataFrame, names: list[str]) -> np.ndarray:
     return np.log(table) - np.log(table.sum(axis=0, keepdims=True))
 
 
-def _dense(column: pa.Array, n: int) -> np.ndarray:
-    """Lists of ``(language, s)`` as rows, a null one as zeros."""
-    out = np.zeros((len(column), n))
-    owner = np.repeat(np.arange(len(column)), column.value_lengths().fill_null(0).to_numpy())
-    pairs = column.flatten()
-    out[owner, pairs.field("language").to_numpy()] = pairs.field("s").to_numpy()
-    return out
+def _of_pairs(keys: np.ndarray, own: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The values of those ``keys`` that are among ``own`` (ascending), else 0."""
+    if not len(own):
+        return np.zeros(len(keys))
+    at = np.minimum(np.searchsorted(own, keys), len(own) - 1)
+    return np.where(own[at] == keys, values[at], 0.0)
+
+
+def _sorted_pairs(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
+    row, language, s = _pairs(column, "s")
+    keys = row * n + language
+    order = np.argsort(keys)
+    return keys[order], s[order]
 
 
-def _shares(sums: np.ndarray, above: np.ndarray) -> np.ndarray:
-    """Sums smoothed with the shares of the group above."""
-    return (sums + STRENGTH * above) / (sums.sum(axis=1, keepdims=True) + STRENGTH)
+def fused_priors(row: np.ndarray, language: np.ndarray, mine: np.ndarray, sums: pa.Array, above: pa.Array,
+                 every: np.ndarray) -> np.ndarray:
+    """For every pair of row and language the host's share of the language,
+    without the row's own part ``mine``, smoothed with the suffix's share, and
+    that with the share of all."""
+    n, rows = len(every), len(sums)
+    keys = row * n + language
+    own_keys, own = _sorted_pairs(above, n)
+    of_suffix = np.bincount(own_keys // n, weights=own, minlength=rows)
+    suffix_share = (_of_pairs(keys, own_keys, own) + STRENGTH * every[language]) / (of_suffix[row] + STRENGTH)
+    own_keys, own = _sorted_pairs(sums, n)
+    order = np.argsort(keys)
+    others = np.maximum(own - _of_pairs(own_keys, keys[order], mine[order]), 0.0)
+    of_host = np.bincount(own_keys // n, weights=others, minlength=rows)
+    return (_of_pairs(keys, own_keys, others) + STRENGTH * suffix_share) / (of_host[row] + STRENGTH)
 
 
 def identify(items: DataFrame, model_items: DataFrame | None = None) -> DataFrame:
@@ -309,34 +351,41 @@ def identify(items: DataFrame, model_items: DataFrame | None = None) -> DataFram
     sums = posterior_sums(read, n)
     odds, (hosts, suffixes, every) = declared_odds(sums, names), host_priors(sums, n)
     rows = read.join(hosts, read["host"].eqNullSafe(hosts["of_host"]) & read["suffix"].eqNullSafe(hosts["of_suffix"]), "left")
-    rows = rows.join(F.broadcast(suffixes), rows["suffix"].eqNullSafe(suffixes["suffix_of"]), "left")
+    side = F.broadcast(suffixes) if suffixes.count() <= MOST_SUFFIXES else suffixes
+    rows = rows.join(side, rows["suffix"].eqNullSafe(suffixes["suffix_of"]), "left")
 
     def fuse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = np.array([*names, "und"], dtype=object)
         for batch in batches:
-            evidence, by_text = _by_text(batch, n)
+            if not batch.num_rows:
+                continue
+            row, language, evidence, by_text = _by_text(batch)
             readable = batch.column("readable").to_numpy(zero_copy_only=False)
-            others = np.maximum(_dense(batch.column("sums"), n) - by_text * readable[:, None], 0.0)
-            prior = _shares(others, _shares(_dense(batch.column("above"), n), every))
-            said = odds[[place.get(d, n) for d in batch.column("declared").to_pylist()]]
-            logs = np.log(prior) + said + evidence
-            posterior = np.exp(logs - logs.max(axis=1, keepdims=True))
-            posterior /= posterior.sum(axis=1, keepdims=True)
-            best = posterior.max(axis=1)
-            unjudged = batch.column("unjudged").to_numpy(zero_copy_only=False)
+            prior = fused_priors(row, language, by_text * readable[row], batch.column("sums"), batch.column("above"), every)
+            said = np.array([place.get(d, n) for d in batch.column("declared").to_pylist()], dtype=np.int64)
+            logs = np.log(prior) + odds[said[row], language] + evidence
+            # every text has its best language's pair; pairs lie row by row
+            starts = np.searchsorted(row, np.arange(batch.num_rows))
+            top = np.maximum.reduceat(logs, starts)
+            weights = np.exp(logs - top[row])
+            best = 1 / np.add.reduceat(weights, starts)
+            first = lambda hit: language[np.flatnonzero(hit)[np.searchsorted(row[hit], np.arange(batch.num_rows))]]
+            named, by_words = first(logs == top[row]), first(by_text == np.maximum.reduceat(by_text, starts)[row])
+            trusted = batch.column("trust").to_numpy()
             yield pa.RecordBatch.from_pydict({
                 "id": batch.column("id"),
-                "language": pa.array(codes[np.where(readable, posterior.argmax(axis=1), n)], pa.string()),
+                "language": pa.array(codes[np.where(readable, named, n)], pa.string()),
                 "probability": pa.array(np.where(readable, best, 0.0)),
-                "text_language": pa.array(codes[np.where(readable, by_text.argmax(axis=1), n)], pa.string()),
+                "text_language": pa.array(codes[np.where(readable, by_words, n)], pa.string()),
                 "declared": batch.column("declared"),
-                "accepted": pa.array(readable & ((best >= LEAST_PROBABILITY) | unjudged))})
+                "accepted": pa.array(readable & (best >= LEAST_PROBABILITY * trusted))})
 
-    return rows.select("id", "declared", "evidence", "readable", "unjudged", "sums", "above").mapInArrow(
+    return rows.select("id", "declared", "evidence", "readable", "trust", "sums", "above").mapInArrow(
         fuse, "id long, language string, probability double, text_language string, declared string, accepted boolean")
 
 
 def accepted_rows(docs: DataFrame) -> DataFrame:
     """The documents with an accepted language, all their columns kept."""
-    names_first = identify(from_documents(docs)).filter("accepted").select(F.col("id").alias("__id")).distinct()
-    return docs.join(names_first, docs["doc_id"].cast("long").eqNullSafe(names_first["__id"]), "left_semi")
+    own = free_names(docs, "__id")[0]
+    named = identify(from_documents(docs)).filter("accepted").select(F.col("id").alias(own)).distinct()
+    return docs.join(named, docs["doc_id"].cast("long").eqNullSafe(named[own]), "left_semi")
