@@ -148,10 +148,12 @@ def repeated_spans(docs: DataFrame, copies: DataFrame) -> DataFrame:
     texts = _texts(docs)
     anchors = texts.select("doc_id", "text").mapInArrow(_anchors, ANCHORS)
     repeated = (anchors.join(_repeated(anchors, ["h"]).select("h"), "h")
-                .groupBy("doc_id").agg(F.collect_list("h").alias("repeated")))
+                .groupBy("doc_id").agg(F.collect_set("h").alias("repeated")))
     first = copies.filter("doc_id = least").select("doc_id", "th").distinct()
     found = packed(texts).join(repeated.join(first, "doc_id"), ["doc_id", "th"])
-    return stored(found.select("doc_id", "th", "packed", "repeated").mapInArrow(_spans, SPANS), "anchor-spans")
+    # rows alike in id and text have the same spans: one of them will do
+    found = found.select("doc_id", "th", "packed", "repeated").dropDuplicates(["doc_id", "th"])
+    return stored(found.mapInArrow(_spans, SPANS), "anchor-spans")
 
 
 def repeated_windows(spans: DataFrame) -> DataFrame:
@@ -228,7 +230,7 @@ def remove(docs: DataFrame) -> DataFrame:
                                                            (F.col("doc_id") > F.col("least")).alias("later")),
                           allowMissingColumns=True))
     facts = facts.groupBy("doc_id", "th").agg(
-        F.collect_list("range").alias("ranges"), F.max("longest").alias("longest"),
+        F.collect_set("range").alias("ranges"), F.max("longest").alias("longest"),
         F.bool_or("copied").alias("copied"), F.bool_or("later").alias("later"))
     rows = packed(_texts(docs)).join(facts, ["doc_id", "th"], "left").select(
         "doc_id", "packed", "ranges", F.coalesce("copied", F.lit(False)).alias("copied"),

@@ -63,6 +63,31 @@ def test_stages_keep_the_columns(spark, edge_docs, stage):
     assert stage(spark, edge_docs.limit(0), "").count() == 0
 
 
+@pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES[:-1]], ids=lambda f: f.__name__)
+def test_stages_keep_the_values_of_columns_called_like_their_own(spark, edge_docs, stage):
+    names = ("__key", "__own", "__nth", "__draws", "__draw", "__id", "__ID_", "__h", "__th", "__many", "__blank", "_row")
+    tagged = edge_docs.withColumn("tag", F.sha2(F.to_json(F.struct("doc_id", "text", "lang", "source")), 256))
+    out = stage(spark, tagged.withColumns({n: F.concat(F.col("tag"), F.lit(n)) for n in names}), "")
+    assert out.columns == [*tagged.columns, *names]
+    rows = out.collect()
+    assert rows and all(r[n] == r["tag"] + n for r in rows for n in names)
+    assert {r["tag"] for r in rows} <= {r["tag"] for r in tagged.collect()}
+
+
+def test_repeated_rows_cost_no_more_than_one(spark):
+    """Twelve hundred rows of one id and text, whose words another document has."""
+    text = " ".join(f"w{i}" for i in range(400))
+    rows = [(5, text)] * 1200 + [(2, "before " + text), (9, "x " * 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    copies = substring_dedup.whole_copies(docs)
+    spans = substring_dedup.repeated_spans(docs, copies)
+    once = spark.createDataFrame([rows[0], *rows[-2:]], "doc_id long, text string")
+    assert spans.count() == substring_dedup.repeated_spans(once, substring_dedup.whole_copies(once)).count()
+    got = substring_dedup.remove(docs).groupBy("doc_id", "n_words", "n_removed", "kept").count().collect()
+    assert sorted((r["doc_id"], r["n_words"], r["n_removed"], r["count"]) for r in got) == [
+        (2, 401, 0, 1), (5, 400, 400, 1200), (9, 60, 0, 1)]
+
+
 def test_stage_results(spark, edge_docs):
     exact = {(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_exact_copies(spark, edge_docs, "").collect()}
     ids = [i for i, _ in exact]
