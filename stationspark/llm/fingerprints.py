@@ -1,8 +1,8 @@
 """Document fingerprints from closed syncmers, in DataFrame expressions.
 
-The units are words; a word of a script that is written without blanks, or of
-more than ``LONG`` code points, is taken as so many units, its characters.  Of
-every run of ``K`` words (a k-mer) the hashes of its
+The units are words; what a word has beyond ``LONG`` code points are so many
+units more, its characters, as are those of a script that is written without
+blanks.  Of every run of ``K`` words (a k-mer) the hashes of its
 runs of ``S`` words are compared: the k-mer is chosen when the smallest of
 them is the first or the last (a closed syncmer).  Whether a k-mer is chosen
 depends on nothing but its own words, so equal passages have equal anchors at
@@ -40,18 +40,31 @@ from stationspark.llm.shared import SPACES, let, whole_text
 #: Words of an anchor, and of the runs compared inside it.
 K = 5
 S = 2
-#: Code points up to which a word is one unit.
+#: Code points of a word that are one unit.
 LONG = 32
-_UNSPACED = (r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}")
-_IN_CHARACTERS = rf"[{_UNSPACED}]|[^\x20\x09-\x0D]{{{LONG + 1}}}"
+# Blocks of scripts written without blanks (fixed values): Thai, Lao, Tibetan,
+# Myanmar, Khmer, Han, Hiragana, Katakana.  Ranges, for a look at a character's
+# script takes many times longer.
+_SCRIPTS = (r"\u0E00-\u0E7F\u0E80-\u0EFF\u0F00-\u0FFF\u1000-\u109F\u1780-\u17FF\u19E0-\u19FF\u2E80-\u2FDF\u3005-\u3007"
+            r"\u3040-\u30FF\u31F0-\u31FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{323AF}")
+_ABOVE_LATIN = r"[\u0E00-\x{10FFFF}]"
+_UNSPACED = f"[{_SCRIPTS}]"
+_UNIT = f"(?s)^[^{_SCRIPTS}]{{1,{LONG}}}|."
 PER_BLOCK = 256
 MOST_BLOCKS = 65_536
 
 
+def _units(words: Column) -> Column:
+    """Beginnings of words, and characters; asked for only where a text has such."""
+    return F.flatten(F.transform(words, lambda w: F.regexp_extract_all(w, F.lit(_UNIT), F.lit(0))))
+
+
 def _word_hashes(text: Column) -> Column:
     words = F.array_remove(F.split(text, SPACES, -1), "")
-    units = F.flatten(F.transform(words, lambda w: F.when(w.rlike(_IN_CHARACTERS), F.split(w, "")).otherwise(F.array(w))))
-    return F.transform(F.when(text.rlike(_IN_CHARACTERS), units).otherwise(words), lambda w: F.xxhash64(w))
+    # one look at the text for its script, one at the words' lengths
+    unspaced = text.rlike(_ABOVE_LATIN) & text.rlike(_UNSPACED)
+    cut = lambda ws: unspaced | F.exists(ws, lambda w: F.length(w) > LONG)
+    return let(words, lambda ws: F.transform(F.when(cut(ws), _units(ws)).otherwise(ws), lambda w: F.xxhash64(w)))
 
 
 def anchors(text: Column) -> Column:
