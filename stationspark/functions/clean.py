@@ -19,6 +19,9 @@ from stationspark.sources.schemas import PARTITION_COLUMN
 MISSING = "M"
 TRACE = "T"
 SUSPECT = "s"
+# A number holds a digit and none of these letters, which type suffixes, words
+# and markers hold; text that fails this is not parsed, so it throws nothing.
+_MAY_BE_NUMBER = r"^[^0-9DFMNTdfmnt]*+[0-9][^DFMNTdfmnt]*+$"
 
 
 def _col(c) -> Column:
@@ -35,10 +38,10 @@ def metric(c) -> Column:
     are no readings and become null too.
     """
     text = _col(c)
-    # a number holds none of these letters: type suffixes and words do
-    worded = reduce(lambda some, letter: some | text.contains(letter), "DFNdfn", F.lit(False))
-    value = F.when(~worded, text).try_cast(T.DoubleType())
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+    # each step names its input once or twice: a step that is evaluated again, for
+    # every metric, makes generated code too large for the JVM to compile
+    value = F.when(text.rlike(_MAY_BE_NUMBER), text).try_cast(T.DoubleType())
+    return F.nullif(F.nullif(value, F.lit(float("inf"))), F.lit(float("-inf")))
 
 
 def values_of(df: DataFrame):

@@ -56,3 +56,11 @@ def test_text_columns_skip_keys_and_numbers(spark):
     df = spark.createDataFrame([(1, 20130101, "x", 1.0, "y", 1)],
                                "WBAN int, YearMonthDay int, a string, b double, c string, month int")
     assert clean.text_columns(df, exclude=("WBAN", "YearMonthDay", "month")) == ["a", "c"]
+
+
+def test_metric_takes_what_the_cast_takes(spark):
+    """Long and odd texts: the check before the cast rejects no number."""
+    texts = ["0x1P3", "1e999", "-1e999", "\t3\n", "1E-5", "+5", "--5", "5.", ".", "1 2", "12t", "7" * 400 + "M", "1" * 300]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    got = [r.v for r in df.select(clean.metric("x").alias("v")).collect()]
+    assert got == [8.0, None, None, 3.0, 1e-5, 5.0, None, 5.0, None, None, None, None, float("1" * 300)]

@@ -1,6 +1,7 @@
 """Versioned ingest and maintained partials: corrections, replays, late files."""
 
 import os
+import re
 
 import pytest
 
@@ -156,3 +157,16 @@ def test_partials_are_pruned_and_pushed(spark, tmp_path):
         own.of("monthly", "Tavg")
     with pytest.raises(ValueError):
         pt.build(tables.daily, "precip")
+
+
+def test_partials_are_built_by_compiled_code(spark, capsys):
+    """HotSpot compiles no method of more than 8000 bytes; the parsing of all
+    daily metrics side by side has to stay below."""
+    facts = fixtures.load(spark, "/root/testdata/sf0.001")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")      # else code is generated only when the query runs
+    try:
+        pt.build(facts.daily, "daily", 2013).explain("codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) <= 8000
