@@ -70,6 +70,20 @@ def rows_read(df):
     return total
 
 
+def test_rows_are_dealt_to_ranges_some_at_a_time(spark, tmp_path, monkeypatch):
+    """However large one task's input, the tasks that deal it read a bounded number of rows."""
+    one_task = spark.range(0, 90_000, 1, 1).select(
+        (F.col("id") % 50).cast("int").alias("WBAN"), F.when(F.col("id") % 7 > 0, F.lit(1)).alias("month"), "id")
+    small = clustered.in_small_files(one_task, 1_000)
+    rows = [r["count"] for r in small.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(rows) == 90_000 and max(rows) <= 32 * 1_000
+    read = []
+    monkeypatch.setattr(clustered, "in_small_files", lambda df: read.append(small) or small)
+    own = clustered.read(spark, clustered.write(one_task, str(tmp_path / "own"), ranges=5))
+    assert read and own.count() == 90_000 and own.select("id").distinct().count() == 90_000
+    assert own.filter("month IS NULL").count() == one_task.filter("month IS NULL").count()
+
+
 def test_station_filter_passes_over_row_groups(spark, tmp_path):
     # a third of all rows are one station's
     df = spark.range(120_000).select(
