@@ -73,7 +73,8 @@ READABLE = 120.0
 KEPT_EVIDENCE = 30.0
 #: Suffixes up to which their table is broadcast.
 MOST_SUFFIXES = 10_000
-CHUNK_BYTES = 1 << 20
+#: Bytes of texts that a task works on at a time.
+CHUNK_BYTES = 1 << 18
 #: Languages whose counts a task holds before it hands them on.
 HELD_LANGUAGES = 256
 
@@ -106,10 +107,30 @@ def _character(found: re.Match) -> str:
     return decoded if decoded.isalnum() or not decoded.isascii() else " "
 
 
+def _limits(texts: pa.Array) -> np.ndarray:
+    """Where each text begins in the column's bytes, and where the last ends."""
+    return np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+
+
+def _chunks(limits: np.ndarray) -> Iterator[tuple[int, int]]:
+    """First and end row of some rows at a time, of ``CHUNK_BYTES`` or a single text."""
+    row, rows = 0, len(limits) - 1
+    while row < rows:
+        end = max(row + 1, int(np.searchsorted(limits, limits[row] + CHUNK_BYTES, side="right")) - 1)
+        end = min(end, rows)
+        yield row, end
+        row = end
+
+
 def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A batch's texts are Python's strings a chunk at a time, never all."""
     for batch in batches:
-        texts = [_REFERENCE.sub(_character, t) if "&" in t else t for t in batch.column("text").to_pylist()]
-        yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, batch.schema.field("text").type))
+        if not batch.num_rows:
+            continue
+        for row, end in _chunks(_limits(batch.column("text"))):
+            some = batch.slice(row, end - row)
+            texts = [_REFERENCE.sub(_character, t) if "&" in t else t for t in some.column("text").to_pylist()]
+            yield some.set_column(some.schema.get_field_index("text"), "text", pa.array(texts, some.schema.field("text").type))
 
 
 def from_pages(pages: DataFrame) -> DataFrame:
@@ -126,13 +147,12 @@ def from_pages(pages: DataFrame) -> DataFrame:
 def _trigrams(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, end row, buckets, owner)``: the letter trigrams of some
     rows, and the row of each from the first on."""
-    limits = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    if not len(texts):
+        return
+    limits = _limits(texts)
     raw = texts.buffers()[2]
     data = np.frombuffer(raw, dtype=np.uint8) if raw is not None else np.zeros(0, dtype=np.uint8)
-    row = 0
-    while row < len(texts):
-        end = max(row + 1, int(np.searchsorted(limits, limits[row] + CHUNK_BYTES, side="right")) - 1)
-        end = min(end, len(texts))
+    for row, end in _chunks(limits):
         some = _FOLD[data[limits[row]:limits[end]]].astype(np.uint32)
         owner = np.repeat(np.arange(end - row), np.diff(limits[row:end + 1]))
         if len(some) < 3:
@@ -143,7 +163,6 @@ def _trigrams(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
             use = (some[1:-1] != 32) & (owner[:-2] == owner[2:])
             three = three[use] * np.uint32(0x9E3779B1)
             yield row, end, (three >> np.uint32(19)).astype(np.int64), owner[:-2][use]
-        row = end
 
 
 def languages(items: DataFrame) -> list[str]:

@@ -1,6 +1,7 @@
 """Every operator and stage over nulls, empty and long texts, ties, repeated
 rows, clashing names and empty tables."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -168,3 +169,16 @@ def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     sums = out.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end"))
     assert out.count() and not sums.filter("n > 1024 or n <> end").count()
+
+
+def test_pages_are_decoded_some_at_a_time():
+    """A large batch is handed on in chunks; no chunk but of one text is larger."""
+    texts = ["a&amp;b " * n for n in (3, 0, 1, 90_000)] + ["caf&eacute; " * 2_000] * 200 + [""]
+    whole = pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "text": texts})
+    got = list(language_id._decoded(iter([whole.slice(1), whole.slice(0, 0), whole.slice(0, 1)])))
+    rows = [(r["id"], r["text"]) for b in got for r in b.to_pylist()]
+    want = [(i, t.replace("&amp;", " ").replace("&eacute;", "\u00e9")) for i, t in enumerate(texts)]
+    assert rows == want[1:] + want[:1]
+    assert len(got) > 10 and all(
+        b.num_rows == 1 or sum(len(t) for t in b.column("text").to_pylist()) <= language_id.CHUNK_BYTES for b in got)
+    assert language_id.CHUNK_BYTES <= 1 << 18
