@@ -13,6 +13,10 @@ are looked up in the known ones at once, those not known are encoded, and the
 ids of all words are gathered by number into one buffer; all of it is Arrow's
 but the encoding.  A text in which white space follows a blank, or that ends in
 one, goes the careful way by itself.
+
+A worker's memory is bounded: the known words lie in segments that are never
+copied as a whole, words and ids together have ``KEPT_BYTES`` at most, and all
+else is held for ``TOGETHER`` bytes of text at a time.
 """
 
 from __future__ import annotations
@@ -22,20 +26,23 @@ import struct
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words whose ids a worker keeps, and their bytes; beyond, those not met lately go.
+#: Words whose ids a worker keeps, and the bytes of both; beyond, those not met lately go.
 KEPT_WORDS = 1_500_000
 KEPT_BYTES = 96 << 20
+#: Known words of a segment, more where one run of texts brings more.
+SEGMENT = 1 << 16
 #: Pieces of words that are kept, twice: those met lately and those before.
-KEPT_PIECES = 100_000
+KEPT_PIECES = 20_000
 #: A piece of more characters is not kept.
 LONG_PART = 64
 #: Bytes of text that are cut into words together; a longer text is alone.
-TOGETHER = 16 << 20
+TOGETHER = 2 << 20
 
 # A byte-level vocabulary writes visible bytes as themselves and numbers the
 # others from 256 (fixed values of the file format).
@@ -130,17 +137,21 @@ class Encoder:
         return b"".join([self._of_part(p) for p in self.parts(text)])
 
     def _forget(self) -> None:
-        # known words, those that begin a text with a blank before them; their
-        # ids, null where the text has to go the careful way; when last met
-        self._words = pa.array([], pa.large_string())
-        self._ids = pa.array([], pa.large_binary())
-        self._met = np.zeros(0, dtype=np.int64)
+        # segments of known words, those that begin a text with a blank before
+        # them; their ids, null where the text has to go the careful way; when
+        # last met
+        self._words: list[pa.Array] = []
+        self._ids: list[pa.Array] = []
+        self._met: list[np.ndarray] = []
         self._now = 0
 
     def _made_of(self, word: str) -> tuple[str, bytes, str | None] | None:
         """A word that is known by others: one before a closing mark, or two
         with a line end between them (a pre-token of its own)."""
-        body = word[1:] if word[:1] == " " else word
+        begins = word[:1] == " "                        # it begins a text
+        body = word[1:] if begins else word
+        if body.isalpha() or not begins and (not body or body[0].isspace()) or any(s in word for s in self._special):
+            return None
         if body[-1:] in _CLOSING and body[:-1].isalpha():
             return word[:-1], self._of_word(word[-1]), None
         lines = body.split("\n")
@@ -148,64 +159,122 @@ class Encoder:
             return word[:-len(lines[1]) - 1], self._of_pretoken(_AS_WRITTEN[10]), " " + lines[1]
         return None
 
-    def _encoded_words(self, words: list[str]) -> list[bytes | None]:
-        """Ids of new words; ``None`` where a text has to go the careful way."""
-        tokenize, blank, special = self._model.tokenize, _AS_WRITTEN[32], self._special
-        out: list[bytes | None] = [None] * len(words)
-        composed = []
-        for i, word in enumerate(words):
-            begins = word[:1] == " "                    # it begins a text
-            body = word[1:] if begins else word
-            if any(s in word for s in special):
-                continue
-            if body.isalpha():
-                written = body if body.isascii() else body.encode().decode("latin-1").translate(_AS_WRITTEN)
-                out[i] = array("I", [t.id for t in tokenize(written if begins else blank + written)]).tobytes()
-            elif begins or (body and not body[0].isspace()):
+    def _of_new(self, word: str) -> bytes | None:
+        """Ids of a word by itself; ``None`` where a text has to go the careful way."""
+        begins = word[:1] == " "
+        body = word[1:] if begins else word
+        if any(s in word for s in self._special):
+            return None
+        if body.isalpha():
+            written = body if body.isascii() else body.encode().decode("latin-1").translate(_AS_WRITTEN)
+            return self._of_pretoken(written if begins else _AS_WRITTEN[32] + written)
+        if begins or (body and not body[0].isspace()):
+            return self._of_part(body if begins else " " + body)
+        return None
+
+    def _encoded_words(self, words: list[str]) -> dict[str, bytes | None]:
+        """Ids of new words, in their order, and of further new words that some are made of."""
+        out: dict[str, bytes | None] = dict.fromkeys(words)
+        made: dict[str, tuple] = {}
+        others: dict[str, None] = {}
+        todo = words
+        while todo:
+            first = len(others)
+            for word in todo:
                 parts = self._made_of(word)
-                if parts is None:
-                    out[i] = self._of_part(body if begins else " " + body)
-                else:
-                    composed.append((i, *parts))
-        if composed:
-            firsts = pa.array([c[1] for c in composed], pa.large_string()).dictionary_encode()
-            lasts = pa.array([c[3] or " " for c in composed], pa.large_string()).dictionary_encode()
-            at = self._places(pa.concat_arrays([firsts.dictionary, lasts.dictionary]).unique())
-            known = dict(zip(pa.concat_arrays([firsts.dictionary, lasts.dictionary]).unique().to_pylist(),
-                             self._ids.take(pa.array(at)).to_pylist()))
-            for i, first, mark, last in composed:
-                out[i] = known[first] + mark + known[last or " "]
+                if parts is not None:
+                    made[word] = parts
+                    others.update((p, None) for p in (parts[0], parts[2]) if p is not None and p not in out)
+            todo = list(islice(others, first, None))
+        known: dict[str, bytes] = {}
+        if others:
+            listed = pa.array(list(others), pa.large_string())
+            at = self._looked_up(listed)
+            found = np.flatnonzero(at >= 0)
+            ids, rank = self._ids_at(at[found])
+            known = dict(zip(listed.take(pa.array(found)).to_pylist(), ids.take(pa.array(rank)).to_pylist()))
+            out.update((word, None) for word in others if word not in known)
+        for word in out:
+            if word not in made:
+                out[word] = known[word] = self._of_new(word)
+        # a word is longer than those it is made of
+        for word in sorted(made, key=len):
+            if word in out:
+                first, mark, last = made[word]
+                out[word] = known[word] = known[first] + mark + (known[last] if last else b"")
         return out
 
     def _make_room(self) -> None:
         """Drops words not met lately, once there are too many."""
         self._now += 1
-        if len(self._words) <= KEPT_WORDS and self._words.nbytes <= KEPT_BYTES:
+        if self._is_room():
             return
-        late = self._met > np.median(self._met)
-        if late.any() and self._words.nbytes <= 2 * KEPT_BYTES:
-            keep = pa.array(late)
-            self._words, self._ids, self._met = self._words.filter(keep), self._ids.filter(keep), self._met[late]
-        else:
+        late_from = np.median(np.concatenate(self._met))
+        held = list(zip(self._words, self._ids, self._met))
+        now = self._now
+        self._forget()
+        self._now = now
+        while held:
+            words, ids, met = held.pop(0)
+            late = met > late_from
+            if late.any():
+                self._add(words.filter(pa.array(late)), ids.filter(pa.array(late)), met[late])
+        if not self._is_room():
             self._forget()
 
+    def _is_room(self) -> bool:
+        return (sum(map(len, self._words)) <= KEPT_WORDS
+                and sum(a.nbytes for some in (self._words, self._ids) for a in some) <= KEPT_BYTES)
+
+    def _add(self, words: pa.Array, ids: pa.Array, met: np.ndarray) -> None:
+        """Adds known words behind the others, to the last segment while it is short."""
+        if self._words and len(self._words[-1]) < SEGMENT:
+            words = pa.concat_arrays([self._words.pop(), words])
+            ids = pa.concat_arrays([self._ids.pop(), ids])
+            met = np.concatenate([self._met.pop(), met])
+        self._words.append(words)
+        self._ids.append(ids)
+        self._met.append(met)
+
+    def _looked_up(self, words: pa.Array) -> np.ndarray:
+        """Places of different words among the known ones, -1 for the others."""
+        at, before = np.full(len(words), -1), 0
+        if self._words:
+            # the table of the fewer ones is made, the known words are looked up in it
+            for found in pc.index_in(pa.chunked_array(self._words), value_set=words).chunks:
+                found = pc.fill_null(found, -1).to_numpy()
+                here = np.flatnonzero(found >= 0)
+                at[found[here]] = before + here
+                before += len(found)
+        return at
+
+    def _segments(self, places: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """The segments of ascending places, with the places inside."""
+        ends = np.cumsum([len(w) for w in self._words], dtype=np.int64)
+        cuts = np.searchsorted(places, ends).tolist()
+        for k, (a, b) in enumerate(zip([0, *cuts], cuts)):
+            if b > a:
+                yield k, places[a:b] - (ends[k] - len(self._words[k]))
+
+    def _ids_at(self, places: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """The ids of the known words at different places, and the number of each among them."""
+        order = np.argsort(places)
+        rank = np.empty(len(places), dtype=np.int64)
+        rank[order] = np.arange(len(places))
+        some = [self._ids[k].take(pa.array(inside)) for k, inside in self._segments(places[order])]
+        return pa.concat_arrays(some) if some else pa.array([], pa.large_binary()), rank
+
     def _places(self, words: pa.Array) -> np.ndarray:
         """Places of different words among the known ones, new ones added."""
-        at = np.full(len(words), -1)
-        # the table of the fewer ones is made, the known words are looked up in it
-        found = pc.fill_null(pc.index_in(self._words, value_set=words), -1).to_numpy()
-        here = np.flatnonzero(found >= 0)
-        at[found[here]] = here
+        at = self._looked_up(words)
         new = at < 0
-        unknown = words.filter(pa.array(new))
-        if len(unknown):
-            # may add the words that these are made of, before them
-            ids = pa.array(self._encoded_words(unknown.to_pylist()), pa.large_binary())
-            at[new] = np.arange(len(self._words), len(self._words) + len(unknown))
-            self._words = pa.concat_arrays([self._words, unknown])
-            self._ids = pa.concat_arrays([self._ids, ids])
-            self._met = np.concatenate([self._met, np.zeros(len(unknown), dtype=np.int64)])
-        self._met[at] = self._now
+        if new.any():
+            encoded = self._encoded_words(words.filter(pa.array(new)).to_pylist())
+            at[new] = sum(map(len, self._words)) + np.arange(np.count_nonzero(new))
+            self._add(pa.array(list(encoded), pa.large_string()), pa.array(list(encoded.values()), pa.large_binary()),
+                      np.full(len(encoded), self._now, dtype=np.int32))
+        for k, inside in self._segments(np.sort(at)):
+            self._met[k][inside] = self._now
         return at
 
     def _ids_of(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -220,13 +289,13 @@ class Encoder:
         different = numbered.dictionary.cast(pa.large_string())
         nothing, blank = pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())
         begins = pc.binary_join_element_wise(nothing, first.dictionary.cast(pa.large_string()), blank)
-        places = self._places(pa.concat_arrays([different, begins]))
-        codes = places[numbered.indices.to_numpy()]
-        codes[starts] = places[len(different) + first.indices.to_numpy()]
+        known, rank = self._ids_at(self._places(pa.concat_arrays([different, begins])))
+        codes = rank[numbered.indices.to_numpy()]
+        codes[starts] = rank[len(different) + first.indices.to_numpy()]
 
         alone = np.zeros(len(texts), dtype=bool)
-        if self._ids.null_count:
-            careful = pc.is_null(self._ids).to_numpy(zero_copy_only=False)[codes]
+        if known.null_count:
+            careful = pc.is_null(known).to_numpy(zero_copy_only=False)[codes]
             if careful.any():
                 alone = np.logical_or.reduceat(careful, starts)
         for special in self._special:
@@ -235,7 +304,7 @@ class Encoder:
         own = [self.ids_bytes(t.as_py()) for t in texts.filter(pa.array(alone))] if alone.any() else []
         # what follows the known words: the end, and the texts by themselves
         more = pa.array([struct.pack("<I", end), *own], pa.large_binary())
-        known, last = pa.concat_arrays([self._ids, more]), len(self._ids)
+        known, last = pa.concat_arrays([known, more]), len(known)
         if own:
             each = np.diff(offsets)
             each_alone = np.repeat(alone, each)

@@ -3,9 +3,10 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from stationspark.llm import language_id, toxicity
+from stationspark.llm import language_id, tokens, toxicity
 from stationspark.llm.tokens import Encoder
 
 from .conftest import prose
@@ -126,3 +127,46 @@ def test_encoder_equals_the_library():
     for text in texts * 2:
         want = np.asarray(encoder._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         assert encoder.ids_bytes(text) == want, text
+
+
+def token_runs(encoder, texts):
+    """The ids of each text, with 0 at the end, from all runs."""
+    out = {}
+    for first, ids, ends in encoder.encoded(pa.array(texts), 0):
+        for i, (start, end) in enumerate(zip([0, *ends], ends)):
+            out[first + i] = ids[start:end].tolist()
+    return [out[i] for i in range(len(texts))]
+
+
+def test_known_words_are_bounded_and_there_once(monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT_WORDS", 900)
+    monkeypatch.setattr(tokens, "KEPT_BYTES", 40_000)
+    monkeypatch.setattr(tokens, "SEGMENT", 100, raising=False)
+    monkeypatch.setattr(tokens, "TOGETHER", 2_000)
+    encoder, rng = Encoder("byte_bpe_50k.json"), np.random.default_rng(5)
+    made = ["".join(rng.choice(list("aeinrstöé"), rng.integers(2, 9))) for _ in range(3000)]
+    words = [w + m for w in made for m in ("", ".", ",", ".\nUnd", "&&&", "\nso,")]
+    texts = [" ".join(rng.choice(words, 120)) for _ in range(60)]
+    texts += ["", " ", "a  b", "  a b ", "x <|endoftext|> y", "end.\nNext line.\n Then", "z" * 5000, *texts[:9]]
+    want = [[*encoder._tokenizer.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+    assert token_runs(encoder, texts) == want
+    assert token_runs(encoder, texts[::-1]) == want[::-1]
+    encoder._make_room()
+    known = [w for some in encoder._words for w in some.to_pylist()]
+    assert 0 < len(known) <= 900 and len(known) == len(set(known))
+    assert sum(a.nbytes for some in (encoder._words, encoder._ids) for a in some) <= 40_000
+
+
+def test_encoding_a_large_batch_takes_little_memory():
+    rng = np.random.default_rng(6)
+    words = np.array([f"w{i:x}" for i in rng.integers(0, 1 << 30, 20_000)], dtype=object)
+    texts = pa.array([" ".join(words[rng.integers(0, len(words), 250)]) for _ in range(9000)])
+    encoder, pool = Encoder("byte_bpe_50k.json"), pa.default_memory_pool()
+    watched = pa.proxy_memory_pool(pool)
+    pa.set_memory_pool(watched)
+    try:
+        n = sum(len(ids) for _, ids, _ in encoder.encoded(texts, 0))
+    finally:
+        pa.set_memory_pool(pool)
+    assert texts.nbytes > 16 << 20 and n > texts.nbytes // 8
+    assert watched.max_memory() < 32 << 20
