@@ -182,3 +182,18 @@ def test_pages_are_decoded_some_at_a_time():
     assert len(got) > 10 and all(
         b.num_rows == 1 or sum(len(t) for t in b.column("text").to_pylist()) <= language_id.CHUNK_BYTES for b in got)
     assert language_id.CHUNK_BYTES <= 1 << 18
+
+
+def test_packing_a_large_batch_takes_little_memory(monkeypatch):
+    texts = pa.array([" ".join(f"w{(i * j * j) % 20_011:x}{j % 7}" for j in range(300)) for i in range(1, 9001)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), texts], names=["doc_id", "text"])
+    monkeypatch.setattr(packing, "TaskContext", type("Task", (), {"get": classmethod(lambda c: c), "partitionId": lambda: 0}))
+    pool = pa.default_memory_pool()
+    watched = pa.proxy_memory_pool(pool)
+    pa.set_memory_pool(watched)
+    try:
+        length = sum(sum(out.column("length").to_pylist()) for out in packing._packed(packing.TOKENIZER, False)(iter([batch])))
+    finally:
+        pa.set_memory_pool(pool)
+    assert texts.nbytes > 16 << 20 and length > texts.nbytes // 8
+    assert watched.max_memory() < 32 << 20
